@@ -82,9 +82,11 @@ class ZeroEndedLists:
 
     def length(self, start, end):
         width = self.row.itemsize
-        most = max(end - start, 0) // width
+        most = (end - start) // width
+        if most <= 0:
+            return 0
         if self.scanned > self.size:
-            return min(self.next_zero(start) - start, most * width) // width
+            return min((self.next_zero(start) - start) // width, most)
         n = 0
         for block in blocks(self.take, start, end, self.row):
             self.scanned += block.nbytes

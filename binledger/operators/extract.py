@@ -6,6 +6,7 @@ files without countable headers is blanked before it goes to Python.
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +48,12 @@ def _slices(data):
     return (lambda pos, n: data[pos : pos + n]), len(data)
 
 
+def _reads(file):
+    """``take`` and size over an open file."""
+    size = file.size()
+    return (lambda pos, n: file.read_at(min(n, size - pos), pos) if pos < size else b""), size
+
+
 def _contents(batch):
     """Per row: (take, size) over its content without copying, None if blank."""
     column = batch.column("content")
@@ -95,16 +102,10 @@ def _count_contents(batches):
         yield _result_batch(batch, counted)
 
 
-def _rows_in_pieces(rows, arrow_schema, most=10_000):
+def _rows_in_pieces(rows, schema, most=10_000):
     """Record batches of at most ``most`` rows from an iterator of tuples."""
-    piece = []
-    for row in rows:
-        piece.append(row)
-        if len(piece) == most:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*piece), arrow_schema)], schema=arrow_schema)
-            piece = []
-    if piece:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*piece), arrow_schema)], schema=arrow_schema)
+    while piece := list(islice(rows, most)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*piece), schema)], schema=schema)
 
 
 def _section_rows(batches):
@@ -184,7 +185,7 @@ def extract_from_store(
             if not usable:
                 return _counts(None, header)
             with open_file(path) as file:
-                return _counts((lambda pos, n: file.read_at(n, pos), file.size()), header)
+                return _counts(_reads(file), header)
 
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
