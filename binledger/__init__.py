@@ -8,5 +8,5 @@ from binledger.sources import files, tables
 
 # Functions that run in Python workers travel with the tasks, so executors need
 # no copy of this package.
-for _module in (symbols, extract, files):
+for _module in (globs, symbols, extract, files):
     cloudpickle.register_pickle_by_value(_module)

@@ -1,11 +1,18 @@
-"""Glob patterns over path columns."""
+"""Raw URI paths and glob patterns over them."""
 
 import re
-from urllib.parse import quote
 
 # One character of a raw URI path: either plain or percent-encoded.
 _ONE = "(?:%[0-9A-Fa-f]{2}|[^/%])"
-_SAFE = "/!$&'()*+,;=:@~-._"
+
+# ASCII characters a raw URI path may hold as they are.
+_PLAIN = re.compile(r"[A-Za-z0-9_\-!.~'()*,;:$&+=/@]")
+
+
+def raw_path(path: str) -> str:
+    """A file path in the form of a raw URI path: other ASCII characters are
+    percent-encoded, all others kept."""
+    return "".join(c if ord(c) > 127 or _PLAIN.match(c) else f"%{ord(c):02X}" for c in path)
 
 
 def glob_to_regex(glob: str) -> str:
@@ -14,4 +21,4 @@ def glob_to_regex(glob: str) -> str:
     if set(glob) & set("[]{}\\"):
         raise ValueError(f"only * and ? are supported in globs: {glob}")
     wild = {"*": _ONE + "*", "?": _ONE}
-    return "^" + "".join(wild.get(c) or re.escape(quote(c, safe=_SAFE)) for c in glob) + "$"
+    return "^" + "".join(wild.get(c) or re.escape(raw_path(c)) for c in glob) + "$"

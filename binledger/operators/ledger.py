@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from binledger.operators.copies import count_copies, repeat_rows
 from binledger.schemas import BROADCAST_MAX_ROWS, CATALOG_COLUMNS
 
+_LANES = 64
+
 
 def rows_for_batch(table: DataFrame, batch: DataFrame, max_rows: int | None) -> DataFrame:
     """The rows of a big table that share a path with the batch.
@@ -44,9 +47,11 @@ def drop_known_paths(
     changed is dropped too. ``'replace'`` goes by path, size and type, so that
     file passes and can be processed again.
 
-    Ledger keys are made distinct first and shuffled by key once more after it:
-    with that exchange right below the join, adaptive execution can split a path
-    that fills a whole partition of ``df``.
+    Copies of a row are counted together before the join and written out after
+    it, and ledger keys are made distinct. If one path still fills a partition
+    of ``df``, with many sizes, adaptive execution splits it; it does so only if
+    both join inputs come straight from an exchange, which the lane in the
+    distinct brings about: keys spread by key and lane must be exchanged again.
     """
     if on_change not in ("skip", "replace"):
         raise ValueError(f"on_change must be 'skip' or 'replace': {on_change}")
@@ -56,14 +61,14 @@ def drop_known_paths(
     else:
         # A struct equals another one if their fields do, NULLs included.
         key = F.struct(*CATALOG_COLUMNS)
-    known = known.select(key.alias("_known_key")).distinct()
+    lane = F.pmod(F.xxhash64(key), F.lit(_LANES))
+    known = known.select(key.alias("_known_key"), lane.alias("_lane")).distinct().drop("_lane")
+    same = F.col("_key") == F.col("_known_key")
     if on_change == "skip" and max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
         # Distinct paths of the batch: no more than its rows.
-        known = F.broadcast(known)
-    else:
-        known = known.repartition("_known_key")
-    keyed = df.withColumn("_key", key)
-    return keyed.join(known, F.col("_key") == F.col("_known_key"), "left_anti").drop("_key")
+        return df.withColumn("_key", key).join(F.broadcast(known), same, "left_anti").drop("_key")
+    counted = count_copies(df).withColumn("_key", key)
+    return repeat_rows(counted.join(known, same, "left_anti").drop("_key"))
 
 
 def current_ledger(ledger: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from binledger.operators.copies import count_copies, repeat_rows
+
 # md5 prefix digits per bucket: 4096 buckets per class. Ranking one class needs
 # exact counts per bucket and an order inside one single bucket only.
 _DIGITS = 3
 _BUCKETS = 16**_DIGITS
 _LANES = 1024
-_COPIES_AT_ONCE = 65_536
 
 
 def balanced_sample(
@@ -51,7 +52,7 @@ def balanced_sample(
 
     # One row per class, so the broadcast cannot grow.
     near = rows.join(F.broadcast(cuts), "class").filter(F.col("_bucket") <= F.col("cut"))
-    counted = near.groupBy(*keep, "_md5", "_bucket", "cut", "below").agg(F.count("*").alias("_copies"))
+    counted = count_copies(near.select(*keep, "_md5", "_bucket", "cut", "below"))
 
     edge = F.col("_bucket") == F.col("cut")
     lane = F.when(edge, -1).otherwise(F.pmod(F.xxhash64("_md5"), F.lit(_LANES)))
@@ -60,7 +61,7 @@ def balanced_sample(
     room = F.lit(k) - F.col("below") - before
     take = F.when(edge, F.greatest(F.lit(0), F.least("_copies", room))).otherwise(F.col("_copies"))
     taken = counted.withColumn("_lane", lane).withColumn("_take", take).filter(F.col("_take") > 0)
-    return _repeat_rows(taken, "_take").select(keep)
+    return repeat_rows(taken.select(*keep, "_take"), "_take")
 
 
 def _cuts(rows, k):
@@ -75,11 +76,3 @@ def _cuts(rows, k):
         F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("_bucket"))), F.lit(_BUCKETS)).alias("cut"),
         F.coalesce(F.max(F.when(F.col("upto") < k, F.col("upto"))), F.lit(0)).alias("below"),
     )
-
-
-def _repeat_rows(df, times):
-    """Each row ``times`` times, in pieces so that no array grows with it."""
-    piece = F.lit(_COPIES_AT_ONCE)
-    pieces = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / piece))
-    in_piece = F.least(piece, F.col(times) - F.col("_piece") * piece)
-    return df.withColumn("_piece", F.explode(pieces)).withColumn("_copy", F.explode(F.sequence(F.lit(1), in_piece)))

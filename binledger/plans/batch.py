@@ -1,5 +1,6 @@
 """The whole job: choose files not done yet, extract, store, record."""
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from binledger.operators.checks import check_results
 from binledger.operators.extract import extract_from_store
 from binledger.operators.ledger import append_ledger, current_ledger, drop_known_paths, drop_processed, rows_for_batch
 from binledger.operators.sample import balanced_sample
-from binledger.schemas import CATALOG_COLUMNS, LEDGER_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
+from binledger.schemas import CATALOG_COLUMNS, LEDGER_SCHEMA, LISTING_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
 from binledger.sources.files import file_catalog
 from binledger.sources.tables import ParquetTable
 
@@ -79,9 +80,9 @@ def run_batch(
     ``base`` is the folder or bucket the paths start in, by default the parent
     of the first root.
 
-    The extracted rows are written once to a staging folder, below
-    ``spark.checkpoint.dir`` unless ``staging`` names another, and checked
-    there; both tables are filled from it. Calling again with the same ``batch``
+    The listing and the extracted rows are written once to a staging folder, below
+    ``spark.checkpoint.dir`` unless ``staging`` names another; the rows are
+    checked there, and both tables filled from them. The same call with the same ``batch``
     after a failure goes on from the staged rows and appends only what is
     missing in each table.
 
@@ -92,10 +93,14 @@ def run_batch(
     batch = time.time_ns() // 1_000_000 if batch is None else batch
     if base is None:
         base = list(roots)[0].rstrip("/").rsplit("/", 1)[0]
-    staged = ParquetTable(f"{_staging_folder(spark, staging)}/batch={batch}")
+    wanted = (list(roots), glob, n, seed, on_change, results.location, ledger and ledger.location)
+    staged = ParquetTable(f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}")
     resume = _is_complete(spark, staged.path)
     if not resume:
-        catalog = file_catalog(spark, roots, glob)
+        # Listed once; the sample takes two passes over it.
+        listing = ParquetTable(staged.path + "-files")
+        file_catalog(spark, roots, glob, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
+        catalog = listing.read(spark, LISTING_SCHEMA)
         chosen = choose_files(catalog, _recorded(spark, ledger, results), n, seed, strict, on_change)
         parsed = extract_from_store(spread(chosen, n), base, filesystem, strict_headers)
         parsed.write.mode("overwrite").parquet(staged.path)
@@ -146,6 +151,10 @@ def _staging_folder(spark, staging):
     return folder.rstrip("/") + "/batches"
 
 
+def _digest(value):
+    return hashlib.md5(repr(value).encode()).hexdigest()[:16]
+
+
 def _is_complete(spark, folder):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder + "/_SUCCESS")
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

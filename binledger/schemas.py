@@ -13,6 +13,8 @@ CATALOG_SCHEMA = T.StructType(
     ]
 )
 
+LISTING_SCHEMA = T.StructType(CATALOG_SCHEMA.fields + [T.StructField("class", T.IntegerType())])
+
 # "batch" orders the versions of one path; it grows from one run to the next.
 LEDGER_SCHEMA = T.StructType(CATALOG_SCHEMA.fields + [T.StructField("batch", T.LongType())])
 

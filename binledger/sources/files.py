@@ -1,5 +1,6 @@
 """Files in object stores and directories: listing and reading."""
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
@@ -8,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binledger.functions.binary import int_column
+from binledger.functions.globs import glob_to_regex, raw_path
 from binledger.schemas import CATALOG_COLUMNS
 
 
@@ -36,7 +38,9 @@ def _decoded(path: Column) -> Column:
     ).otherwise(path)
 
 
-def file_catalog(spark: SparkSession, roots, glob: str = "*.???", with_content: bool = False) -> DataFrame:
+def file_catalog(
+    spark: SparkSession, roots, glob: str = "*.???", with_content: bool = False, empty_files: bool = True, filesystem=None
+) -> DataFrame:
     """path, size, type, class of the files right below each root folder.
 
     ``roots`` is a list of folder URIs whose last segments are the classes
@@ -45,18 +49,50 @@ def file_catalog(spark: SparkSession, roots, glob: str = "*.???", with_content:
     only with ``with_content=True``. Store settings (``fs.s3a.*`` endpoint,
     credentials) are those of the session.
 
-    Spark lists a folder through the driver. Where one folder holds hundreds of
-    millions of files, give ``describe_files`` an inventory table instead.
+    Spark's file scan passes over files of zero bytes; they come from a second
+    listing, one task per root, through ``filesystem`` (see ``file_opener``);
+    ``empty_files=False`` leaves them out.
+
+    A folder is listed by one process, the driver. Where one folder holds
+    hundreds of millions of files, give ``describe_files`` an inventory table
+    instead.
     """
     if not isinstance(roots, dict):
         roots = {root: int(root.rstrip("/").rsplit("/", 1)[-1]) for root in roots}
-    parts = [_scan(spark, root.rstrip("/"), glob, value, with_content) for root, value in roots.items()]
+    roots = {root.rstrip("/"): value for root, value in roots.items()}
+    parts = [_scan(spark, root, glob, value, with_content) for root, value in roots.items()]
+    if empty_files:
+        parts.append(_empty_files(spark, roots, glob, with_content, filesystem))
     catalog = parts[0]
     for part in parts[1:]:
         catalog = catalog.unionByName(part)
     return catalog
 
 
+def _empty_files(spark, roots, glob, with_content, filesystem):
+    connect = store_connector(filesystem)
+    pattern = glob_to_regex(glob)
+
+    def list_empty(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for root, value in zip(batch.column("root").to_pylist(), batch.column("class").to_pylist()):
+                store, folder = connect(root)
+                found = [f.base_name for f in store.get_file_info(fs.FileSelector(folder)) if f.is_file and not f.size]
+                found = [name for name in found if re.match(pattern, raw_path(name))]
+                paths = ["/" + raw_path(root.rsplit("/", 1)[-1] + "/" + name) for name in found]
+                types = [name.split(".")[-1] for name in found]
+                yield pa.RecordBatch.from_pydict(
+                    {"path": paths, "size": [0] * len(found), "type": types, "class": [value] * len(found)},
+                    schema=pa.schema([("path", "string"), ("size", "int64"), ("type", "string"), ("class", "int32")]),
+                )
+
+    names = spark.createDataFrame(list(roots.items()), "root string, class int").repartition(len(roots), "root")
+    files = names.mapInArrow(list_empty, "path string, size long, type string, class int")
+    return files.withColumn("content", F.lit(b"")) if with_content else files
+
+
 def _scan(spark, root, glob, class_value, with_content):
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
     # Two segments at the end of the raw path: the root folder and the file.
@@ -80,22 +116,32 @@ def store_uri(base: str) -> str:
     return base if "://" in base or not base.startswith("file:") else "file://" + base[len("file:") :]
 
 
+def store_connector(filesystem=None):
+    """Function for use inside tasks: folder URI -> (``pyarrow.fs`` store, folder
+    in it). ``filesystem`` is a function giving the store, for settings a URI
+    cannot hold, such as anonymous access; without it the scheme decides."""
+
+    def connect(base):
+        from pyarrow import fs
+
+        uri = store_uri(base)
+        store, folder = (filesystem(), uri.split("://", 1)[-1]) if filesystem else fs.FileSystem.from_uri(uri)
+        return store, folder.rstrip("/")
+
+    return connect
+
+
 def file_opener(base: str, filesystem=None):
     """Function for use inside tasks: path of a catalogue row -> open file below
-    ``base``. The connection is made once per Python worker process."""
-    uri = store_uri(base)
-    connection = {}
+    ``base``. The connection is made once per Python worker."""
+    connect = store_connector(filesystem)
+    connection = []
 
     def open_file(path):
-        from pyarrow import fs
-
         if not connection:
-            if filesystem is None:
-                store, folder = fs.FileSystem.from_uri(uri)
-            else:
-                store, folder = filesystem(), uri.split("://", 1)[-1]
-            connection["store"], connection["folder"] = store, folder.rstrip("/")
-        return connection["store"].open_input_file(connection["folder"] + "/" + unquote(path).lstrip("/"))
+            connection.append(connect(base))
+        store, folder = connection[0]
+        return store.open_input_file(folder + "/" + unquote(path).lstrip("/"))
 
     return open_file
 

@@ -13,6 +13,10 @@ class ParquetTable:
 
     path: str
 
+    @property
+    def location(self) -> str:
+        return self.path
+
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         """The table with the given schema; empty before the first append."""
         try:
@@ -41,6 +45,10 @@ class JdbcTable:
     options: dict = field(default_factory=dict)
     split_by_size: tuple | None = None
 
+    @property
+    def location(self) -> str:
+        return f"{self.url} {self.table}"
+
     def read_options(self) -> dict:
         split = {}
         if self.split_by_size:
