@@ -13,6 +13,7 @@ from binledger.operators import catalog as C
 from binledger.operators import checks, extract, headers, ledger, sample
 from binledger.plans import table_files as tables
 from binledger.plans.batch import choose_files
+from binledger.plans.spread import spread
 from binledger.schemas import CATALOG_COLUMNS
 from binledger.sources.files import describe_files
 
@@ -177,14 +178,15 @@ def q_check_results(spark, sf_dir):
 
 def q_incremental_batch(spark, sf_dir):
     chosen = choose_files(_globbed(spark, sf_dir), _log(spark, sf_dir), N, SEED, strict=False)
-    return extract.extract_metadata(tables.catalog_contents(chosen))
+    return extract.extract_metadata(tables.catalog_contents(spread(chosen, N)))
 
 
 def q_full_backlog(spark, sf_dir):
     """All files not recorded with their present size, with their metadata."""
     done = ledger.current_ledger(_log(spark, sf_dir))
     chosen = ledger.drop_processed(_globbed(spark, sf_dir), done)
-    return extract.extract_metadata(tables.catalog_contents(chosen))
+    n = _read(spark, sf_dir, "documents").count()
+    return extract.extract_metadata(tables.catalog_contents(spread(chosen, n)))
 
 
 def entry(spark: SparkSession) -> DataFrame:

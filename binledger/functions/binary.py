@@ -1,34 +1,30 @@
-"""Little-endian reads from BINARY columns with built-in functions."""
+"""SQL text for little-endian numbers in BINARY columns and hex digits."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def int_column(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
-
-
-def read_uint(data: Column, offset, width: int) -> Column:
+def read_uint(data: str, offset, width: int) -> str:
     """Unsigned little-endian integer of ``width`` bytes at a 0-based offset, as
-    BIGINT. The caller makes sure that the bytes exist."""
-    at = int_column(offset).cast("int")
-    digits = [F.hex(F.substring(data, at + i, F.lit(1))) for i in range(width, 0, -1)]
-    return F.conv(F.concat(*digits), 16, 10).cast("bigint")
+    BIGINT; NULL past the end of the bytes."""
+    digits = ", ".join(f"hex(substring({data}, {offset} + {i}, 1))" for i in range(width, 0, -1))
+    return f"cast(conv(concat({digits}), 16, 10) as bigint)"
 
 
-def u16(data: Column, offset) -> Column:
+def u16(data: str, offset) -> str:
     return read_uint(data, offset, 2)
 
 
-def u32(data: Column, offset) -> Column:
+def u32(data: str, offset) -> str:
     return read_uint(data, offset, 4)
 
 
-def hex_le(value, width: int = 4) -> Column:
+def hex_le(value, width: int = 4) -> str:
     """Hex digits of an unsigned integer below 2**(8 * width), lowest byte first."""
-    value = int_column(value).cast("bigint")
-    swapped = None
-    for i in range(width):
-        byte = F.shiftleft(F.shiftright(value, 8 * i).bitwiseAND(0xFF), 8 * (width - 1 - i))
-        swapped = byte if swapped is None else swapped.bitwiseOR(byte)
-    return F.lpad(F.hex(swapped), 2 * width, "0")
+    value = f"cast({value} as bigint)"
+    swapped = " | ".join(
+        f"shiftleft(shiftright({value}, {8 * i}) & 255, {8 * (width - 1 - i)})" for i in range(width)
+    )
+    return f"lpad(hex({swapped}), {2 * width}, '0')"
+
+
+def zeros(n) -> str:
+    """Hex digits of ``n`` zero bytes."""
+    return f"'{'00' * n}'" if isinstance(n, int) else f"repeat('00', {n})"

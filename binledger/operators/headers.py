@@ -1,7 +1,6 @@
 """Executable headers as columns, in built-in functions only."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from binledger.functions.binary import u16, u32
 
@@ -60,63 +59,45 @@ def header_columns(df: DataFrame, content: str = "content", strict_headers: bool
     ``has_exports`` and ``has_imports`` are false for a zero address or zero
     size in them.
     """
-    keep = df.columns
+    data = f"substring(`{content}`, 1, {HEADER_LIMIT})"
     window_size = COFF_SIZE + FIXED_PART_64 + 2 * DIRECTORY_SIZE
-
-    prefix = F.substring(F.col(content), F.lit(1), F.lit(HEADER_LIMIT))
-    staged = df.withColumn("_prefix", prefix).withColumn("_n", F.coalesce(F.octet_length("_prefix"), F.lit(0)))
-    starts_mz = (F.col("_n") >= DOS_HEADER_SIZE) & (F.hex(F.substring("_prefix", 1, 2)) == "4D5A")
-    staged = staged.withColumn("_nt", F.when(starts_mz, u32(F.col("_prefix"), LFANEW_AT)))
-
-    # A header offset past the prefix, up to 4 GiB, gives an empty window.
-    start = F.least(F.col("_nt"), F.lit(HEADER_LIMIT)).cast("int") + 1
-    staged = staged.withColumn("_w", F.substring(F.col("_prefix"), start, F.lit(window_size)))
-    w = F.col("_w")
-
-    # The shortest complete header guards every field read below.
-    signed = (F.octet_length(w) >= COFF_SIZE + FIXED_PART_32) & (F.hex(F.substring("_w", 1, 4)) == "50450000")
-    staged = staged.withColumn("_magic", F.when(signed, u16(w, COFF_SIZE)))
-    fixed = F.when(F.col("_magic") == MAGIC_64, FIXED_PART_64).otherwise(FIXED_PART_32)
-    staged = staged.withColumn("_fixed", F.when(F.col("_magic").isNotNull(), fixed))
-    end = F.col("_nt") + COFF_SIZE + F.col("_fixed")
-    staged = staged.withColumn("is_pe", F.coalesce(end <= F.col("_n"), F.lit(False)))
-
-    tried = HEADER_STEP * (F.ceil(F.col("_n") / HEADER_STEP) + 1)
-    headers_read = F.when(F.col("is_pe"), HEADER_STEP * F.ceil(end / HEADER_STEP)).otherwise(
-        F.least(F.lit(HEADER_LIMIT), tried)
-    )
-
-    def field(value: Column) -> Column:
-        return F.when(F.col("is_pe"), value)
-
-    directories = COFF_SIZE + F.col("_fixed")
-    present = F.floor((F.octet_length(w) - directories) / DIRECTORY_SIZE)
-    usable = F.least(u32(w, directories - 4), present, F.lit(2))
-    staged = (
-        staged.withColumn("headers_read", headers_read.cast("int"))
-        .withColumn("size_of_headers", field(u32(w, COFF_SIZE + SIZE_OF_HEADERS_AT)))
-        .withColumn("n_sections", field(u16(w, N_SECTIONS_AT)).cast("int"))
-        .withColumn("section_offset", field(F.col("_nt") + COFF_SIZE + u16(w, OPTIONAL_SIZE_AT)))
-        .withColumn("n_directories", field(usable).cast("int"))
-    )
-
-    architecture = F.when(F.col("_magic") == MAGIC_32, "32").when(F.col("_magic") == MAGIC_64, "64")
-    corrupted = ~F.col("is_pe") | architecture.isNull()
-    if strict_headers:
-        corrupted = corrupted | (F.col("size_of_headers") > F.col("headers_read"))
-    staged = staged.withColumn("corrupted", corrupted).withColumn("architecture", F.when(~F.col("corrupted"), architecture))
-
-    def directory(index: int, part: int) -> Column:
-        at = directories + DIRECTORY_SIZE * index + part
-        return F.when(F.col("n_directories") > index, u32(w, at))
-
-    staged = (
-        staged.withColumn("export_rva", directory(0, 0))
-        .withColumn("export_size", directory(0, 4))
-        .withColumn("import_rva", directory(1, 0))
-        .withColumn("import_size", directory(1, 4))
-    )
-    for kind in ("export", "import"):
-        used = (F.col(f"{kind}_rva") != 0) & (F.col(f"{kind}_size") != 0)
-        staged = staged.withColumn(f"has_{kind}s", F.coalesce(used, F.lit(False)))
-    return staged.select(*keep, *[c for c in HEADER_COLUMNS if c not in keep])
+    strict = "or size_of_headers > headers_read" if strict_headers else ""
+    directories = f"{COFF_SIZE} + _fixed"
+
+    def directory(index, part):
+        at = f"{directories} + {DIRECTORY_SIZE * index + part}"
+        return f"if(n_directories > {index}, {u32('_window', at)}, null)"
+
+    # A header offset past the prefix, up to 4 GiB, gives an empty window; no
+    # field is read unless the shortest complete header is there.
+    columns = {
+        "_prefix": data,
+        "_n": "coalesce(octet_length(_prefix), 0)",
+        "_nt": f"if(_n >= {DOS_HEADER_SIZE} and hex(substring(_prefix, 1, 2)) = '4D5A', {u32('_prefix', LFANEW_AT)}, null)",
+        "_window": f"substring(_prefix, cast(least(_nt, {HEADER_LIMIT}) as int) + 1, {window_size})",
+        "_signed": f"octet_length(_window) >= {COFF_SIZE + FIXED_PART_32} and hex(substring(_window, 1, 4)) = '50450000'",
+        "_magic": f"if(_signed, {u16('_window', COFF_SIZE)}, null)",
+        "_fixed": f"if(_magic = {MAGIC_64}, {FIXED_PART_64}, {FIXED_PART_32})",
+        "_end": f"if(_signed, _nt + {COFF_SIZE} + _fixed, null)",
+        "is_pe": "coalesce(_end <= _n, false)",
+        "headers_read": f"""cast(if(is_pe, {HEADER_STEP} * ceil(_end / {HEADER_STEP}),
+            least({HEADER_LIMIT}, {HEADER_STEP} * (ceil(_n / {HEADER_STEP}) + 1))) as int)""",
+        "size_of_headers": f"if(is_pe, {u32('_window', COFF_SIZE + SIZE_OF_HEADERS_AT)}, null)",
+        "_architecture": f"case _magic when {MAGIC_32} then '32' when {MAGIC_64} then '64' end",
+        "corrupted": f"not is_pe or _architecture is null {strict}",
+        "architecture": "if(corrupted, null, _architecture)",
+        "n_sections": f"if(is_pe, cast({u16('_window', N_SECTIONS_AT)} as int), null)",
+        "section_offset": f"if(is_pe, _nt + {COFF_SIZE} + {u16('_window', OPTIONAL_SIZE_AT)}, null)",
+        "n_directories": f"""if(is_pe, cast(least({u32('_window', f'{directories} - 4')},
+            (octet_length(_window) - ({directories})) div {DIRECTORY_SIZE}, 2) as int), null)""",
+        "export_rva": directory(0, 0),
+        "export_size": directory(0, 4),
+        "import_rva": directory(1, 0),
+        "import_size": directory(1, 4),
+        "has_exports": "coalesce(export_rva != 0 and export_size != 0, false)",
+        "has_imports": "coalesce(import_rva != 0 and import_size != 0, false)",
+    }
+    keep = [c for c in df.columns if c not in HEADER_COLUMNS]
+    # Later columns refer to earlier ones of the same SELECT.
+    staged = df.select(keep).selectExpr("*", *[f"{value} as {name}" for name, value in columns.items()])
+    return staged.select(*keep, *HEADER_COLUMNS)

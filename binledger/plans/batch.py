@@ -11,14 +11,11 @@ from binledger.operators.checks import check_results
 from binledger.operators.extract import extract_from_store
 from binledger.operators.ledger import append_ledger, current_ledger, drop_known_paths, drop_processed, rows_for_batch
 from binledger.operators.sample import balanced_sample
+from binledger.plans.spread import spread
 from binledger.schemas import CATALOG_COLUMNS, LEDGER_SCHEMA, LISTING_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
 from binledger.sources.files import file_catalog
 from binledger.sources.tables import ParquetTable
 
-FILES_PER_TASK = 2_000
-MAX_TASKS = 50_000
-
-
 class BatchRejected(ValueError):
     """The batch breaks constraints of the results table."""
 
@@ -39,26 +36,19 @@ def choose_files(
     """
     if on_change not in ("process", "skip"):
         raise ValueError(f"on_change must be 'process' or 'skip': {on_change}")
-    picked = distinct_files(balanced_sample(catalog, n, seed, strict))
+    picked = balanced_sample(catalog, n, seed, strict).select(CATALOG_COLUMNS)
     if on_change == "skip":
-        return drop_known_paths(picked, ledger, "skip", max_rows=n)
+        return drop_known_paths(distinct_files(picked), ledger, "skip", max_rows=n)
+    # The difference is one of sets: it drops copies as well.
     known = rows_for_batch(ledger, picked, n)
     if "batch" in ledger.columns:
         known = current_ledger(known)
     return drop_processed(picked, known)
 
 
-def spread(df: DataFrame, n: int) -> DataFrame:
-    """At most ``n`` files over enough tasks for the costly step; without this,
-    adaptive execution would merge such small rows into one task."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(n, cores), -(-n // FILES_PER_TASK), 1)
-    return df.repartition(min(tasks, MAX_TASKS), "path")
-
-
 def run_batch(
     spark: SparkSession,
-    roots,
+    roots=(),
     n: int = 100,
     *,
     results,
@@ -72,9 +62,13 @@ def run_batch(
     glob: str = "*.???",
     filesystem=None,
     staging: str | None = None,
+    catalog: DataFrame | None = None,
 ) -> DataFrame:
     """Process up to ``n`` files below ``roots`` and return their result rows.
 
+    ``catalog`` gives the files instead, as path, size, type, class, e.g. from
+    ``describe_files`` over an inventory table; ``base`` is needed then.
+
     ``results`` and ``ledger`` are tables (``ParquetTable``, ``JdbcTable``);
     without a ledger, files in the results table count as done.
     ``base`` is the folder or bucket the paths start in, by default the parent
@@ -97,10 +91,11 @@ def run_batch(
     staged = ParquetTable(f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}")
     resume = _is_complete(spark, staged.path)
     if not resume:
-        # Listed once; the sample takes two passes over it.
-        listing = ParquetTable(staged.path + "-files")
-        file_catalog(spark, roots, glob, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
-        catalog = listing.read(spark, LISTING_SCHEMA)
+        if catalog is None:
+            # Listed once; the sample takes two passes over it.
+            listing = ParquetTable(staged.path + "-files")
+            file_catalog(spark, roots, glob, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
+            catalog = listing.read(spark, LISTING_SCHEMA)
         chosen = choose_files(catalog, _recorded(spark, ledger, results), n, seed, strict, on_change)
         parsed = extract_from_store(spread(chosen, n), base, filesystem, strict_headers)
         parsed.write.mode("overwrite").parquet(staged.path)

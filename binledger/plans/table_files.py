@@ -2,10 +2,11 @@
 expressions. They let the operators run on tables that hold no binaries: the
 bytes of a file follow from its row, so the expected counts do too."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.functions.binary import hex_le, int_column
+from binledger.functions.binary import hex_le, zeros
+from binledger.plans.spread import widen
 
 # Addresses and layout used in the derived executables.
 TEXT_ADDRESS = 0x1000
@@ -16,15 +17,16 @@ IMPORT_ADDRESS = PAYLOAD_ADDRESS + 40
 def add_executable(
     df: DataFrame,
     *,
-    wide: Column,
-    exports: Column,
-    dlls: Column,
-    header_offset=64,
-    size_of_headers=512,
-    unknown_magic: Column | None = None,
-    n_sections=1,
+    wide: str,
+    exports: str,
+    dlls: str,
+    header_offset: str = "64",
+    size_of_headers: str = "512",
+    unknown_magic: str = "false",
+    n_sections: str = "1",
 ) -> DataFrame:
-    """Add ``content``: the bytes of a small executable.
+    """Add ``content``: the bytes of a small executable. All arguments are SQL
+    expressions over ``df``.
 
     ``wide`` tells 64- from 32-bit; ``exports`` is NumberOfFunctions, ``dlls`` an
     array of symbol counts, one per imported DLL. The headers start at
@@ -32,70 +34,46 @@ def add_executable(
     ``.idata``, holds the tables; the others are ``.text`` and ``.rsrc`` in
     turns, section i with raw size 16 * (i + 1).
     """
-    zeros = lambda n: F.repeat(F.lit("00"), n.cast("int")) if isinstance(n, Column) else F.lit("00" * n)
-    keep = df.columns
-    # Every list takes as many entries as the longest one, and a zero.
-    rows = (
-        df.withColumn("_wide", wide)
-        .withColumn("_exports", exports.cast("int"))
-        .withColumn("_dlls", dlls)
-        .withColumn("_header", int_column(header_offset).cast("int"))
-        .withColumn("_sections", int_column(n_sections).cast("int"))
-        .withColumn("_width", F.when(F.col("_wide"), 8).otherwise(4))
-        .withColumn("_fixed", F.when(F.col("_wide"), 112).otherwise(96))
-        .withColumn("_n", F.size("_dlls"))
-        .withColumn("_list", F.col("_width") * (F.coalesce(F.array_max("_dlls"), F.lit(0)) + 1))
-        .withColumn("_start", F.col("_header") + 152 + F.col("_fixed") + 40 * F.col("_sections"))
-        .withColumn("_rows_size", 20 * (F.col("_n") + 1))
-        .withColumn("_payload_size", 40 + F.col("_rows_size") + F.col("_n") * F.col("_list"))
-    )
-
-    n, width, fixed, start = F.col("_n"), F.col("_width"), F.col("_fixed"), F.col("_start")
-    lists_at = IMPORT_ADDRESS + F.col("_rows_size")
-    symbol = F.when(F.col("_wide"), "0100000000000080").otherwise("01000080")
-    import_rows = F.transform("_dlls", lambda c, i: F.concat(hex_le(lists_at + i * F.col("_list")), zeros(16)))
-    lists = F.transform("_dlls", lambda c: F.concat(F.repeat(symbol, c), zeros(F.col("_list") - c * width)))
-    payload = F.concat(
-        zeros(20), hex_le(F.col("_exports")), zeros(16),
-        F.array_join(import_rows, ""), zeros(20), F.array_join(lists, ""),
-    )
 
     def section(name, va, raw_size):
         size = hex_le(raw_size)
-        return F.concat(F.rpad(F.hex(F.encode(name, "UTF-8")), 16, "0"), size, hex_le(va), size, hex_le(start), zeros(16))
+        return f"concat(rpad(hex({name}), 16, '0'), {size}, {hex_le(va)}, {size}, {hex_le('_start')}, {zeros(16)})"
 
-    fillers = F.transform(
-        F.slice(F.sequence(F.lit(0), F.col("_sections")), F.lit(1), F.col("_sections") - 1),
-        lambda i: section(F.when(i % 2 == 0, ".text").otherwise(".rsrc"), TEXT_ADDRESS * (i + 1), 16 * (i + 1)),
-    )
-    magic = F.when(F.col("_wide"), "0B02").otherwise("0B01")
-    if unknown_magic is not None:
-        magic = F.when(unknown_magic, "0701").otherwise(magic)
-    has_exports, has_imports = F.col("_exports") > 0, n > 0
-    directories = F.concat(
-        F.when(has_exports, F.concat(hex_le(PAYLOAD_ADDRESS), hex_le(40))).otherwise(zeros(8)),
-        F.when(has_imports, F.concat(hex_le(IMPORT_ADDRESS), hex_le(F.col("_rows_size")))).otherwise(zeros(8)),
-        zeros(112),
-    )
-    rows = (
-        rows.withColumn("_payload", payload)
-        .withColumn("_fillers", F.array_join(fillers, ""))
-        .withColumn("_directories", directories)
-        .withColumn(
-            "_coff",
-            F.concat(
-                F.lit("4D5A" + "00" * 58), hex_le(F.col("_header")), zeros(F.col("_header") - 64),
-                F.lit("50450000"), F.when(F.col("_wide"), "6486").otherwise("4C01"), hex_le(F.col("_sections"), 2),
-                zeros(12), F.when(F.col("_wide"), "F000").otherwise("E000"), F.lit("0200"),
-            ),
-        )
-        .withColumn(
-            "_optional", F.concat(magic, zeros(58), hex_le(size_of_headers), zeros(fixed - 68), hex_le(16))
-        )
-        .withColumn("_last", section(F.lit(".idata"), F.lit(PAYLOAD_ADDRESS), F.col("_payload_size")))
-    )
-    parts = ["_coff", "_optional", "_directories", "_fillers", "_last", "_payload"]
-    return rows.withColumn("content", F.unhex(F.concat(*parts))).select(*keep, "content")
+    # Every list takes as many entries as the longest one, and a zero.
+    columns = {
+        "_wide": wide,
+        "_exports": f"cast({exports} as int)",
+        "_dlls": dlls,
+        "_header": f"cast({header_offset} as int)",
+        "_sections": f"cast({n_sections} as int)",
+        "_width": "if(_wide, 8, 4)",
+        "_fixed": "if(_wide, 112, 96)",
+        "_count": "size(_dlls)",
+        "_list": "_width * (coalesce(array_max(_dlls), 0) + 1)",
+        "_start": "_header + 152 + _fixed + 40 * _sections",
+        "_rows_size": "20 * (_count + 1)",
+        "_payload_size": "40 + _rows_size + _count * _list",
+        "_symbol": "if(_wide, '0100000000000080', '01000080')",
+        "_dos": f"concat('4D5A', {zeros(58)}, {hex_le('_header')}, {zeros('_header - 64')})",
+        "_coff": f"concat('50450000', if(_wide, '6486', '4C01'), {hex_le('_sections', 2)}, {zeros(12)}, "
+        "if(_wide, 'F000', 'E000'), '0200')",
+        "_magic": f"if({unknown_magic}, '0701', if(_wide, '0B02', '0B01'))",
+        "_optional": f"concat(_magic, {zeros(58)}, {hex_le(size_of_headers)}, {zeros('_fixed - 68')}, '10000000')",
+        "_export_entry": f"if(_exports > 0, concat({hex_le(PAYLOAD_ADDRESS)}, {hex_le(40)}), {zeros(8)})",
+        "_import_entry": f"if(_count > 0, concat({hex_le(IMPORT_ADDRESS)}, {hex_le('_rows_size')}), {zeros(8)})",
+        "_fillers": f"""array_join(transform(slice(sequence(0, _sections), 1, _sections - 1), i ->
+            {section("if(i % 2 = 0, '.text', '.rsrc')", f"{TEXT_ADDRESS} * (i + 1)", "16 * (i + 1)")}), '')""",
+        "_last": section("'.idata'", PAYLOAD_ADDRESS, "_payload_size"),
+        "_import_rows": f"""array_join(transform(_dlls, (c, i) ->
+            concat({hex_le(f"{IMPORT_ADDRESS} + _rows_size + i * _list")}, {zeros(16)})), '')""",
+        "_lists": f"array_join(transform(_dlls, c -> concat(repeat(_symbol, c), {zeros('_list - c * _width')})), '')",
+    }
+    parts = [
+        "_dos", "_coff", "_optional", "_export_entry", "_import_entry", zeros(112), "_fillers", "_last",
+        zeros(20), hex_le("_exports"), zeros(16), "_import_rows", zeros(20), "_lists",
+    ]
+    staged = df.selectExpr("*", *[f"{value} as {name}" for name, value in columns.items()])
+    return staged.selectExpr(*df.columns, f"unhex(concat({', '.join(parts)})) as content")
 
 
 def document_catalog(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -146,54 +124,44 @@ def document_log(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def catalog_contents(catalog: DataFrame) -> DataFrame:
     """Add ``content``: 64-bit for odd sizes, size % 11 exports, three DLLs with
     size % 5, size % 7 and doc_id % 37 symbols."""
-    doc_id = F.regexp_extract("path", "/([0-9]+)[.]", 1).cast("bigint")
-    dlls = F.array(*[v.cast("int") for v in (F.col("size") % 5, F.col("size") % 7, doc_id % 37)])
-    return add_executable(catalog, wide=F.col("size") % 2 == 1, exports=F.col("size") % 11, dlls=dlls)
+    doc_id = "cast(regexp_extract(path, '/([0-9]+)[.]', 1) as bigint)"
+    dlls = f"array(cast(size % 5 as int), cast(size % 7 as int), cast({doc_id} % 37 as int))"
+    return add_executable(catalog, wide="size % 2 = 1", exports="size % 11", dlls=dlls)
 
 
 def document_files(documents: DataFrame) -> DataFrame:
     """path, size, type, content: an executable per document with its whole text
     at the end; French ones are the bare text, without headers."""
-    dlls = F.transform(
-        F.sequence(F.lit(0), (F.col("n_chars") % 4).cast("int")), lambda i: ((F.col("doc_id") + i) % 50).cast("int")
-    )
     files = add_executable(
-        documents.select("doc_id", "lang", "n_chars", "text"),
-        wide=F.col("lang") == "en",
-        exports=F.col("n_chars") % 13,
-        dlls=dlls,
-        header_offset=128,
-        size_of_headers=1024,
+        widen(documents.select("doc_id", "lang", "n_chars", "text")),
+        wide="lang = 'en'",
+        exports="n_chars % 13",
+        dlls="transform(sequence(0, cast(n_chars % 4 as int)), i -> cast((doc_id + i) % 50 as int))",
+        header_offset="128",
+        size_of_headers="1024",
     )
-    text = F.encode("text", "UTF-8")
-    content = F.when(F.col("lang") == "fr", text).otherwise(F.concat("content", text))
-    return _as_files(files.withColumn("content", content), F.col("doc_id"))
+    text = "encode(text, 'UTF-8')"
+    return _as_files(files, "doc_id", f"if(lang = 'fr', {text}, concat(content, {text}))")
 
 
 def part_files(part: DataFrame) -> DataFrame:
     """path, size, type, content, one executable per part, with sound and damaged
     ones: p_size 49 is plain text, 50 has an unknown magic, and one in seven
     claims 4 KiB of headers."""
-    key, size = F.col("p_partkey"), F.col("p_size")
-    dlls = F.transform(F.sequence(F.lit(0), size % 4), lambda i: ((key + i) % 40).cast("int"))
+    dlls = "transform(sequence(0, p_size % 4), i -> cast((p_partkey + i) % 40 as int))"
     files = add_executable(
-        part.select("p_partkey", "p_size", "p_name"),
-        wide=key % 2 == 1,
-        exports=size - 1,
-        dlls=F.when(size % 10 == 0, F.array().cast("array<int>")).otherwise(dlls),
-        header_offset=64 + 8 * (key % 300),
-        size_of_headers=F.when(size % 7 == 0, 4096).otherwise(512),
-        unknown_magic=size == 50,
-        n_sections=1 + size % 5,
+        widen(part.select("p_partkey", "p_size", "p_name")),
+        wide="p_partkey % 2 = 1",
+        exports="p_size - 1",
+        dlls=f"if(p_size % 10 = 0, cast(array() as array<int>), {dlls})",
+        header_offset="64 + 8 * (p_partkey % 300)",
+        size_of_headers="if(p_size % 7 = 0, 4096, 512)",
+        unknown_magic="p_size = 50",
+        n_sections="1 + p_size % 5",
     )
-    content = F.when(size == 49, F.encode("p_name", "UTF-8")).otherwise(F.col("content"))
-    return _as_files(files.withColumn("content", content), key)
+    return _as_files(files, "p_partkey", "if(p_size = 49, encode(p_name, 'UTF-8'), content)")
 
 
-def _as_files(df, key):
-    return df.select(
-        F.concat(F.lit("/0/"), key, F.lit(".exe")).alias("path"),
-        F.octet_length("content").cast("bigint").alias("size"),
-        F.lit("exe").alias("type"),
-        "content",
-    )
+def _as_files(df, key, content):
+    files = df.selectExpr(f"concat('/0/', {key}, '.exe') as path", f"{content} as content")
+    return files.selectExpr("path", "cast(octet_length(content) as bigint) as size", "'exe' as type", "content")

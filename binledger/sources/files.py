@@ -8,10 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binledger.functions.binary import int_column
 from binledger.functions.globs import glob_to_regex, raw_path
 from binledger.schemas import CATALOG_COLUMNS
 
+# Most file bytes a Python worker holds at a time, beyond a single larger file.
+_PIECE_BYTES = 64 * 1024 * 1024
+
 
 def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
     """Catalogue rows from any table of file URIs and sizes, such as a store's
@@ -23,7 +25,7 @@ def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
     path = F.parse_url(uri, F.lit("PATH"))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.regexp_extract("path", "^/([0-9]+)/", 1).try_cast("int")
-    class_column = folder if class_value is None else int_column(class_value).cast("int")
+    class_column = folder if class_value is None else F.lit(class_value).cast("int")
     return (
         df.select(path.alias("path"), size.cast("bigint").alias("size"))
         .withColumn("type", F.element_at(F.split(_decoded(name), "[.]"), -1))
@@ -160,10 +162,8 @@ def read_files(df: DataFrame, base: str, range_bytes: int = 0, filesystem=None,
     def read(batches):
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                # Pieces of a few rows, so that whole files never pile up.
-                step = batch.num_rows if range_bytes else threads
-                for start in range(0, batch.num_rows, max(step, 1)):
-                    piece = batch.slice(start, step)
+                sizes = [range_bytes + 1] * batch.num_rows if range_bytes else batch.column("size").to_pylist()
+                for piece in _pieces(batch, sizes):
                     content = list(pool.map(one, piece.column("path").to_pylist()))
                     yield pa.RecordBatch.from_arrays(
                         piece.columns + [pa.array(content, pa.binary())], names=piece.schema.names + ["content"]
@@ -171,3 +171,16 @@ def read_files(df: DataFrame, base: str, range_bytes: int = 0, filesystem=None,
 
     rows = df.select(*CATALOG_COLUMNS, *[c for c in df.columns if c not in CATALOG_COLUMNS])
     return rows.mapInArrow(read, rows.select("*", F.lit(None).cast("binary").alias("content")).schema)
+
+
+def _pieces(batch, sizes):
+    """Slices of a record batch whose files add up to ``_PIECE_BYTES`` at most, or
+    are one file."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + (size or 0) > _PIECE_BYTES:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size or 0
+    if batch.num_rows:
+        yield batch.slice(start)
