@@ -3,11 +3,15 @@ SQL that gives the same rows on the same tables."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 import binledger  # noqa: F401  (makes task functions travel by value)
 from binledger.operators import catalog as C
 from binledger.operators import checks, extract, headers, ledger, sample

@@ -2,8 +2,10 @@
 
 import re
 
-# One character of a raw URI path: either plain or percent-encoded.
+# One character of a raw URI path, plain or percent-encoded, and a run of them
+# that does not end inside an encoded one.
 _ONE = "(?:%[0-9A-Fa-f]{2}|[^/%])"
+_RUN = "[^/]*(?<!%)(?<!%[0-9A-Fa-f])"
 
 # ASCII characters a raw URI path may hold as they are.
 _PLAIN = re.compile(r"[A-Za-z0-9_\-!.~'()*,;:$&+=/@]")
@@ -16,9 +18,9 @@ def raw_path(path: str) -> str:
 
 
 def glob_to_regex(glob: str) -> str:
-    """Anchored regular expression for a glob with ``*`` (any run of characters
-    within one folder) and ``?`` (one character), over raw URI paths."""
+    """Regular expression for a glob with ``*`` (any run of characters within one
+    folder) and ``?`` (one character), to match a whole raw URI path."""
     if set(glob) & set("[]{}\\"):
         raise ValueError(f"only * and ? are supported in globs: {glob}")
-    wild = {"*": _ONE + "*", "?": _ONE}
-    return "^" + "".join(wild.get(c) or re.escape(raw_path(c)) for c in glob) + "$"
+    wild = {"*": _RUN, "?": _ONE}
+    return "".join(wild.get(c) or re.escape(raw_path(c)) for c in glob)

@@ -9,7 +9,7 @@ from binledger.schemas import CATALOG_COLUMNS
 
 def glob_files(df: DataFrame, glob: str) -> DataFrame:
     """Rows whose whole path matches the glob, e.g. ``/?/*.???``."""
-    return df.filter(F.col("path").rlike(glob_to_regex(glob)))
+    return df.filter(F.col("path").rlike(f"\\A{glob_to_regex(glob)}\\z"))
 
 
 def path_parts(df: DataFrame) -> DataFrame:

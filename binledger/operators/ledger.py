@@ -1,5 +1,8 @@
 """Files done before: difference with the ledger and its upkeep."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,20 +58,18 @@ def drop_known_paths(
     """
     if on_change not in ("skip", "replace"):
         raise ValueError(f"on_change must be 'skip' or 'replace': {on_change}")
-    known = rows_for_batch(ledger, df, max_rows)
+    keys = ["path"] if on_change == "skip" else CATALOG_COLUMNS
+    lane = F.pmod(F.xxhash64(*keys), F.lit(_LANES)).alias("_lane")
+    known = rows_for_batch(ledger, df, max_rows).select(*[F.col(c).alias(f"_known_{c}") for c in keys], lane)
+    known = known.distinct().drop("_lane")
     if on_change == "skip":
-        key = F.col("path")
+        same = F.col("path") == F.col("_known_path")
     else:
-        # A struct equals another one if their fields do, NULLs included.
-        key = F.struct(*CATALOG_COLUMNS)
-    lane = F.pmod(F.xxhash64(key), F.lit(_LANES))
-    known = known.select(key.alias("_known_key"), lane.alias("_lane")).distinct().drop("_lane")
-    same = F.col("_key") == F.col("_known_key")
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in keys])
     if on_change == "skip" and max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
         # Distinct paths of the batch: no more than its rows.
-        return df.withColumn("_key", key).join(F.broadcast(known), same, "left_anti").drop("_key")
-    counted = count_copies(df).withColumn("_key", key)
-    return repeat_rows(counted.join(known, same, "left_anti").drop("_key"))
+        return df.join(F.broadcast(known), same, "left_anti")
+    return repeat_rows(count_copies(df).join(known, same, "left_anti"))
 
 
 def current_ledger(ledger: DataFrame) -> DataFrame:

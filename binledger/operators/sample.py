@@ -9,7 +9,7 @@ from binledger.operators.copies import count_copies, repeat_rows
 # md5 prefix digits per bucket: 4096 buckets per class. Ranking one class needs
 # exact counts per bucket and an order inside one single bucket only.
 _DIGITS = 3
-_BUCKETS = 16**_DIGITS
+_PAST_LAST = "g"
 _LANES = 1024
 
 
@@ -38,7 +38,7 @@ def balanced_sample(
     rows = (
         df.filter(F.col("class").isin(*classes))
         .withColumn("_md5", digest)
-        .withColumn("_bucket", F.conv(F.substring("_md5", 1, _DIGITS), 16, 10).cast("int"))
+        .withColumn("_bucket", F.substring("_md5", 1, _DIGITS))
     )
     cuts = _cuts(rows, k)
     if strict:
@@ -73,6 +73,6 @@ def _cuts(rows, k):
     counts = counts.withColumn("upto", running)
     return counts.groupBy("class").agg(
         F.sum("files").alias("total"),
-        F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("_bucket"))), F.lit(_BUCKETS)).alias("cut"),
+        F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("_bucket"))), F.lit(_PAST_LAST)).alias("cut"),
         F.coalesce(F.max(F.when(F.col("upto") < k, F.col("upto"))), F.lit(0)).alias("below"),
     )

@@ -82,7 +82,7 @@ def _empty_files(spark, roots, glob, with_content, filesystem):
             for root, value in zip(batch.column("root").to_pylist(), batch.column("class").to_pylist()):
                 store, folder = connect(root)
                 found = [f.base_name for f in store.get_file_info(fs.FileSelector(folder)) if f.is_file and not f.size]
-                found = [name for name in found if re.match(pattern, raw_path(name))]
+                found = [name for name in found if re.fullmatch(pattern, raw_path(name))]
                 paths = ["/" + raw_path(root.rsplit("/", 1)[-1] + "/" + name) for name in found]
                 types = [name.split(".")[-1] for name in found]
                 yield pa.RecordBatch.from_pydict(

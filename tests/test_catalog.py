@@ -1,7 +1,13 @@
+import fnmatch
 import os
+import re
 
 import pytest
 from conftest import rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from binledger.functions.globs import glob_to_regex, raw_path
 
 from binledger.operators.catalog import (
     class_counts,
@@ -115,6 +121,20 @@ def test_glob(spark, files):
         glob_files(df, "/{0,1}/*")
 
 
+NAME = st.text(st.sampled_from("ab.x0 %#é+2"), max_size=7)
+
+
+@settings(max_examples=300, deadline=None)
+@given(name=NAME, glob=st.text(st.sampled_from("ab.x0 %*?2"), max_size=5))
+def test_globs_are_those_of_plain_names(name, glob):
+    assert bool(re.fullmatch(glob_to_regex(glob), raw_path(name))) == fnmatch.fnmatchcase(name, glob)
+
+
+def test_glob_on_long_names(files):
+    df = files([("/0/" + "a" * 100_000 + ".exe", 1, ""), ("/0/" + "%20" * 30_000, 1, ""), ("/0/a.exe\n", 1, "")])
+    assert glob_files(df, "/0/*.exe").count() == 1
+
+
 def test_path_parts(spark, files):
     names = ["test_path/test_name.dll", "/0/a.b.exe", "/a.exe", "plain", "/0/.profile", "/0/..ab", "/1/x..ab", "a//b.c", "/0/d."]
     got = {r.path: (r.dir, r.name, r.extension) for r in path_parts(files([(n, 1, "") for n in names])).collect()}

@@ -115,12 +115,12 @@ class Recorder:
 
 
 def test_jdbc_table_options():
-    table = JdbcTable("jdbc:x://db/files", "files_info", {"user": "u", "batchsize": 5000}, split_by_size=(0, 10**6, 16))
+    table = JdbcTable("jdbc:x://db/files", "results", {"user": "u", "batchsize": 5000}, split_by_size=(0, 10**6, 16))
     writer = Recorder()
     table.append(type("Frame", (), {"write": writer})())
     assert [c[0] for c in writer.calls] == ["format", "options", "mode", "save"]
     assert writer.calls[0][1] == ("jdbc",) and writer.calls[2][1] == ("append",)
-    assert writer.calls[1][2] == {"url": "jdbc:x://db/files", "dbtable": "files_info", "user": "u", "batchsize": 5000}
+    assert writer.calls[1][2] == {"url": "jdbc:x://db/files", "dbtable": "results", "user": "u", "batchsize": 5000}
     assert table.read_options()["partitionColumn"] == "size" and table.read_options()["numPartitions"] == 16
 
 
