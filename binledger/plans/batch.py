@@ -94,7 +94,7 @@ def run_batch(
         if catalog is None:
             # Listed once; the sample takes two passes over it.
             listing = ParquetTable(staged.path + "-files")
-            file_catalog(spark, roots, glob, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
+            file_catalog(spark, roots, glob, base, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
             catalog = listing.read(spark, LISTING_SCHEMA)
         chosen = choose_files(catalog, _recorded(spark, ledger, results), n, seed, strict, on_change)
         parsed = extract_from_store(spread(chosen, n), base, filesystem, strict_headers)

@@ -1,7 +1,9 @@
 """Files in object stores and directories: listing and reading."""
 
 import re
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -13,6 +15,7 @@ from binledger.schemas import CATALOG_COLUMNS
 
 # Most file bytes a Python worker holds at a time, beyond a single larger file.
 _PIECE_BYTES = 64 * 1024 * 1024
+_LISTING_TASKS = 1_000
 
 
 def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
@@ -41,37 +44,67 @@ def _decoded(path: Column) -> Column:
 
 
 def file_catalog(
-    spark: SparkSession, roots, glob: str = "*.???", with_content: bool = False, empty_files: bool = True, filesystem=None
+    spark: SparkSession,
+    roots,
+    glob: str = "*.???",
+    base: str | None = None,
+    with_content: bool = False,
+    empty_files: bool = True,
+    filesystem=None,
 ) -> DataFrame:
     """path, size, type, class of the files right below each root folder.
 
     ``roots`` is a list of folder URIs whose last segments are the classes
-    (``s3a://bucket/0``), or a dict from folder URI to class. Paths start at the
-    parent of the root, so they are those inside the bucket. File bytes are read
-    only with ``with_content=True``. Store settings (``fs.s3a.*`` endpoint,
-    credentials) are those of the session.
+    (``s3a://bucket/0``), or a dict from folder URI to class. Paths start below
+    ``base``, by default the parent of each root; for a bucket that makes them
+    the paths in it. File bytes are read only with ``with_content=True``. Store
+    settings (``fs.s3a.*`` endpoint, credentials) are those of the session.
 
     Spark's file scan passes over files of zero bytes; they come from a second
-    listing, one task per root, through ``filesystem`` (see ``file_opener``);
+    listing, one task per root, through ``filesystem`` (see ``store_connector``);
     ``empty_files=False`` leaves them out.
 
-    A folder is listed by one process, the driver. Where one folder holds
-    hundreds of millions of files, give ``describe_files`` an inventory table
-    instead.
+    Each folder is listed by one process, and the list kept on the driver; more
+    than 32 folders are listed by a Spark job. Where there are hundreds of
+    millions of files, give ``describe_files`` an inventory table instead.
     """
     if not isinstance(roots, dict):
         roots = {root: int(root.rstrip("/").rsplit("/", 1)[-1]) for root in roots}
     roots = {root.rstrip("/"): value for root, value in roots.items()}
-    parts = [_scan(spark, root, glob, value, with_content) for root, value in roots.items()]
+    scans = defaultdict(list)
+    for root, value in roots.items():
+        scans[value, _folders_kept(root, base)].append(root)
+    parts = [_scan(spark, group, glob, *key, with_content) for key, group in scans.items()]
     if empty_files:
-        parts.append(_empty_files(spark, roots, glob, with_content, filesystem))
-    catalog = parts[0]
-    for part in parts[1:]:
-        catalog = catalog.unionByName(part)
-    return catalog
+        parts.append(_empty_files(spark, roots, glob, base, with_content, filesystem))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _empty_files(spark, roots, glob, with_content, filesystem):
+def _folders_kept(root, base):
+    """How many of the last folders of a root belong to the paths below base."""
+    if base is None:
+        return 1
+    base = base.rstrip("/")
+    if not root.startswith(base + "/"):
+        raise ValueError(f"root {root} is not below {base}")
+    return root[len(base) :].count("/")
+
+
+def _scan(spark, roots, glob, class_value, folders, with_content):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(roots)
+    raw = F.parse_url("_metadata.file_path", F.lit("PATH"))
+    path = F.regexp_extract(raw, f"((?:/[^/]+){{{folders + 1}}})$", 1)
+    columns = [
+        path.alias("path"),
+        F.col("length").alias("size"),
+        # The scan's own path column is decoded.
+        F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "[.]"), -1).alias("type"),
+        F.lit(class_value).alias("class"),
+    ]
+    return files.select(*columns, *(["content"] if with_content else []))
+
+
+def _empty_files(spark, roots, glob, base, with_content, filesystem):
     connect = store_connector(filesystem)
     pattern = glob_to_regex(glob)
 
@@ -79,37 +112,29 @@ def _empty_files(spark, roots, glob, with_content, filesystem):
         from pyarrow import fs
 
         for batch in batches:
-            for root, value in zip(batch.column("root").to_pylist(), batch.column("class").to_pylist()):
+            for root, value, folders in zip(*[batch.column(c).to_pylist() for c in ("root", "class", "folders")]):
                 store, folder = connect(root)
                 found = [f.base_name for f in store.get_file_info(fs.FileSelector(folder)) if f.is_file and not f.size]
                 found = [name for name in found if re.fullmatch(pattern, raw_path(name))]
-                paths = ["/" + raw_path(root.rsplit("/", 1)[-1] + "/" + name) for name in found]
-                types = [name.split(".")[-1] for name in found]
+                inside = "/" + "/".join(root.split("/")[-folders:]) + "/"
                 yield pa.RecordBatch.from_pydict(
-                    {"path": paths, "size": [0] * len(found), "type": types, "class": [value] * len(found)},
+                    {
+                        "path": [raw_path(inside + name) for name in found],
+                        "size": [0] * len(found),
+                        "type": [name.split(".")[-1] for name in found],
+                        "class": [value] * len(found),
+                    },
                     schema=pa.schema([("path", "string"), ("size", "int64"), ("type", "string"), ("class", "int32")]),
                 )
 
-    names = spark.createDataFrame(list(roots.items()), "root string, class int").repartition(len(roots), "root")
-    files = names.mapInArrow(list_empty, "path string, size long, type string, class int")
+    rows = [(root, value, _folders_kept(root, base)) for root, value in roots.items()]
+    folders = spark.createDataFrame(rows, "root string, class int, folders int")
+    files = folders.repartition(min(len(rows), _LISTING_TASKS), "root").mapInArrow(
+        list_empty, "path string, size long, type string, class int"
+    )
     return files.withColumn("content", F.lit(b"")) if with_content else files
 
 
-def _scan(spark, root, glob, class_value, with_content):
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
-    # Two segments at the end of the raw path: the root folder and the file.
-    raw = F.parse_url("_metadata.file_path", F.lit("PATH"))
-    path = F.regexp_extract(raw, "(/[^/]+/[^/]+)$", 1)
-    name = F.element_at(F.split("path", "/"), -1)
-    columns = [
-        path.alias("path"),
-        F.col("length").alias("size"),
-        F.element_at(F.split(name, "[.]"), -1).alias("type"),
-        F.lit(class_value).alias("class"),
-    ]
-    return files.select(*columns, *(["content"] if with_content else []))
-
-
 def store_uri(base: str) -> str:
     """The Hadoop scheme names as ``pyarrow.fs`` spells them."""
     for prefix in ("s3a://", "s3n://"):

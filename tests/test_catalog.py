@@ -63,6 +63,22 @@ def test_file_catalog_with_classes_given(spark, folder):
     assert {(r.path, r["class"]) for r in df.collect()} >= {("/0/skip.html5", 7), ("/0/a.exe", 7)}
 
 
+def test_folders_below_a_base(spark, tmp_path):
+    """Classes spread over folders of their own, more than 32 of them."""
+    roots = {}
+    for c in (0, 1):
+        for shard in range(20):
+            folder = tmp_path / f"data/{c}/s{shard}"
+            folder.mkdir(parents=True)
+            (folder / "a b.exe").write_bytes(b"x" * shard)
+            roots[str(folder)] = c
+    df = file_catalog(spark, roots, base=str(tmp_path / "data"))
+    assert rows(df) == sorted(((f"/{c}/s{i}/a%20b.exe", i, "exe", c) for c in (0, 1) for i in range(20)), key=repr)
+    assert {len(bytes(r.content)) for r in read_files(df, str(tmp_path / "data")).collect()} == set(range(20))
+    with pytest.raises(ValueError):
+        file_catalog(spark, roots, base=str(tmp_path / "other"))
+
+
 def test_listing_does_not_read_contents(spark, folder):
     df = file_catalog(spark, [f"{folder}/0"], empty_files=False).filter("size > 1")
     plan = df._jdf.queryExecution().executedPlan().toString()
