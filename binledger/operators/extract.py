@@ -184,6 +184,8 @@ def extract_from_store(
             path, usable, header = item
             if not usable:
                 return _counts(None, header)
+            if not header["import_rva"] and not header["export_rva"]:
+                return header["architecture"], 0, 0
             with open_file(path) as file:
                 return _counts(_reads(file), header)
 

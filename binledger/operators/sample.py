@@ -16,8 +16,8 @@ _LANES = 1024
 def balanced_sample(
     df: DataFrame, n: int = 100, seed: int = 42, strict: bool = True, classes: tuple = (0, 1)
 ) -> DataFrame:
-    """``n // 2`` rows of each class without replacement, the first ones by
-    md5(seed:path); equal rows count as often as they occur. An odd ``n`` gives
+    """``n // 2`` rows of each of two classes without replacement, the first ones
+    by md5(seed:path); equal rows count as often as they occur. An odd ``n`` gives
     ``n - 1`` rows.
 
     With ``strict`` a class with too few rows raises ValueError (one small
@@ -29,7 +29,7 @@ def balanced_sample(
     """
     if n < 0:
         raise ValueError(f"n must not be negative: {n}")
-    k = n // 2
+    k = n // len(classes)
     if k == 0:
         return df.filter(F.lit(False))
 

@@ -76,22 +76,18 @@ def add_executable(
     return staged.selectExpr(*df.columns, f"unhex(concat({', '.join(parts)})) as content")
 
 
+def _documents_as_files(documents, labels):
+    kind = "case doc_id % 3 when 0 then 'dll' when 1 then 'exe' else 'html5' end as type"
+    joined = documents.select("doc_id", "n_chars", "lang").join(labels, "doc_id", "left")
+    return joined.selectExpr("*", "coalesce(toxic, 0) as class", kind).selectExpr(
+        "concat('/', class, '/', doc_id, '.', type) as path", "n_chars as size", "type", "class", "lang", "quality"
+    )
+
+
 def document_catalog(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """One file per document: toxic ones are class 1, all others, also without
     label, class 0. path /class/doc_id.type, size in characters."""
-    kind = F.when(F.col("doc_id") % 3 == 0, "dll").when(F.col("doc_id") % 3 == 1, "exe").otherwise("html5")
-    toxic = labels.select("doc_id", "toxic")
-    return (
-        documents.select("doc_id", "n_chars", kind.alias("type"))
-        .join(toxic, "doc_id", "left")
-        .withColumn("class", F.coalesce("toxic", F.lit(0)))
-        .select(
-            F.concat(F.lit("/"), "class", F.lit("/"), "doc_id", F.lit("."), "type").alias("path"),
-            F.col("n_chars").alias("size"),
-            "type",
-            "class",
-        )
-    )
+    return _documents_as_files(documents, labels).select("path", "size", "type", "class")
 
 
 def text_catalog(documents: DataFrame) -> DataFrame:
@@ -108,17 +104,11 @@ def document_log(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Ledger log: batch 1 recorded all documents of good quality, non-English
     ones with another size than now; batch 2 the toxic ones among them again,
     with the present size."""
-    catalog = document_catalog(documents, labels)
-    doc_id = F.regexp_extract("path", "/([0-9]+)[.]", 1).cast("bigint")
-    marks = labels.join(documents.select("doc_id", "lang"), "doc_id").filter("quality = 1")
-    rows = catalog.withColumn("doc_id", doc_id).join(marks.select("doc_id", "lang", "toxic"), "doc_id")
-    old_size = F.when(F.col("lang") == "en", F.col("size")).otherwise(F.col("size") + 1)
-    versions = F.array(
-        F.struct(old_size.alias("size"), F.lit(1).cast("bigint").alias("batch")),
-        F.struct("size", F.lit(2).cast("bigint").alias("batch")),
-    )
-    kept = F.slice(versions, F.lit(1), F.when(F.col("toxic") == 1, 2).otherwise(1))
-    return rows.select("path", "type", F.inline(kept)).select("path", "size", "type", "batch")
+    first = "named_struct('size', if(lang = 'en', size, size + 1), 'batch', 1L)"
+    second = "named_struct('size', size, 'batch', 2L)"
+    rows = _documents_as_files(documents, labels).filter("quality = 1")
+    versions = rows.selectExpr("path", "type", f"inline(if(class = 1, array({first}, {second}), array({first})))")
+    return versions.select("path", "size", "type", "batch")
 
 
 def catalog_contents(catalog: DataFrame) -> DataFrame:

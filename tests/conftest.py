@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
         .appName("binledger-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()

@@ -73,12 +73,13 @@ def random_file(rng: random.Random):
 # name -> (bytes, expected architecture, imports, exports)
 CORRUPTED = (None, -1, -1)
 NAMED = {
-    "/0/a.exe": (build(64, [100, 55]), "64", 155, 0),
+    "/0/a.exe": (build(64, [100, 55]).ljust(170_496, b"\0"), "64", 155, 0),
     "/0/b.dll": (build(32, [3], 7), "32", 3, 7),
     "/0/noimp.dll": (build(32, [], 2), "32", 0, 2),
     "/1/c%20d.exe": (build(64, [1, 2, 3], 5), "64", 6, 5),
     "/1/big.exe": (build(64, [2], size_of_headers=4096), *CORRUPTED),
     "/1/junk.dll": (b"x" * 528, *CORRUPTED),
+    "/1/junk.exe": (b"MZ" + b"x" * 541, *CORRUPTED),
     "/1/empty.exe": (b"", *CORRUPTED),
     "/1/cut.exe": (build(32, [50])[:-100], "32", 26, 0),
     "/1/badmagic.exe": (build(32, [4], magic=0x107), *CORRUPTED),
