@@ -30,6 +30,11 @@ def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _catalog_and_log(spark, sf_dir):
+    sources = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return tables.document_catalog(*sources), tables.document_log(*sources)
+
+
 def _catalog(spark, sf_dir):
     return tables.document_catalog(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -38,12 +43,9 @@ def _globbed(spark, sf_dir):
     return C.glob_files(_catalog(spark, sf_dir), GLOB)
 
 
-def _log(spark, sf_dir):
-    return tables.document_log(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
-
-
-def _sample(spark, sf_dir):
-    return sample.balanced_sample(_globbed(spark, sf_dir), N, SEED, strict=False)
+def _globbed_and_log(spark, sf_dir):
+    catalog, log = _catalog_and_log(spark, sf_dir)
+    return C.glob_files(catalog, GLOB), log
 
 
 def _part_files(spark, sf_dir):
@@ -73,12 +75,13 @@ def q_path_parts(spark, sf_dir):
 
 
 def q_balanced_sample(spark, sf_dir):
-    return _sample(spark, sf_dir)
+    return sample.balanced_sample(_globbed(spark, sf_dir), N, SEED, strict=False)
 
 
 def q_balanced_sample_large(spark, sf_dir):
     """Half of all files, from a catalogue with copies: past any top-k shortcut."""
-    files = C.union_files(_globbed(spark, sf_dir), _catalog(spark, sf_dir).filter("class = 1"))
+    catalog = _catalog(spark, sf_dir)
+    files = C.union_files(C.glob_files(catalog, GLOB), catalog.filter("class = 1"))
     n = 2 * _read(spark, sf_dir, "labels").filter("toxic = 1").count()
     return sample.balanced_sample(files, n, SEED, strict=True)
 
@@ -89,11 +92,11 @@ def q_distinct_files(spark, sf_dir):
 
 def q_union_files(spark, sf_dir):
     files = _catalog(spark, sf_dir)
-    return C.union_files(files.filter("class = 0"), _globbed(spark, sf_dir)).select(CATALOG_COLUMNS)
+    return C.union_files(files.filter("class = 0"), C.glob_files(files, GLOB)).select(CATALOG_COLUMNS)
 
 
 def q_drop_processed(spark, sf_dir):
-    return ledger.drop_processed(_globbed(spark, sf_dir), _log(spark, sf_dir))
+    return ledger.drop_processed(*_globbed_and_log(spark, sf_dir))
 
 
 def q_drop_processed_nulls(spark, sf_dir):
@@ -104,11 +107,12 @@ def q_drop_processed_nulls(spark, sf_dir):
 
 
 def q_drop_processed_sample(spark, sf_dir):
-    return ledger.drop_processed(_sample(spark, sf_dir), _log(spark, sf_dir), max_rows=N)
+    files, log = _globbed_and_log(spark, sf_dir)
+    return ledger.drop_processed(sample.balanced_sample(files, N, SEED, strict=False), log, max_rows=N)
 
 
 def q_drop_known_paths(spark, sf_dir):
-    return ledger.drop_known_paths(_globbed(spark, sf_dir), _log(spark, sf_dir), "skip")
+    return ledger.drop_known_paths(*_globbed_and_log(spark, sf_dir), "skip")
 
 
 def q_drop_known_paths_replace(spark, sf_dir):
@@ -118,7 +122,7 @@ def q_drop_known_paths_replace(spark, sf_dir):
 
 
 def q_current_ledger(spark, sf_dir):
-    return ledger.current_ledger(_log(spark, sf_dir))
+    return ledger.current_ledger(_catalog_and_log(spark, sf_dir)[1])
 
 
 def q_class_counts(spark, sf_dir):
@@ -181,14 +185,14 @@ def q_check_results(spark, sf_dir):
 
 
 def q_incremental_batch(spark, sf_dir):
-    chosen = choose_files(_globbed(spark, sf_dir), _log(spark, sf_dir), N, SEED, strict=False)
+    chosen = choose_files(*_globbed_and_log(spark, sf_dir), N, SEED, strict=False)
     return extract.extract_metadata(tables.catalog_contents(spread(chosen, N)))
 
 
 def q_full_backlog(spark, sf_dir):
     """All files not recorded with their present size, with their metadata."""
-    done = ledger.current_ledger(_log(spark, sf_dir))
-    chosen = ledger.drop_processed(_globbed(spark, sf_dir), done)
+    files, log = _globbed_and_log(spark, sf_dir)
+    chosen = ledger.drop_processed(files, ledger.current_ledger(log))
     n = _read(spark, sf_dir, "documents").count()
     return extract.extract_metadata(tables.catalog_contents(spread(chosen, n)))
 

@@ -15,9 +15,8 @@ def count_copies(df: DataFrame, name: str = "_copies") -> DataFrame:
 def repeat_rows(df: DataFrame, times: str = "_copies") -> DataFrame:
     """Each row ``times`` times, without that column; in pieces, so that no array
     grows with the number."""
-    keep = [c for c in df.columns if c != times]
-    piece = F.lit(_AT_ONCE)
-    pieces = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / piece))
-    in_piece = F.least(piece, F.col(times) - F.col("_piece") * piece)
-    rows = df.withColumn("_piece", F.explode(pieces)).withColumn("_copy", F.explode(F.sequence(F.lit(1), in_piece)))
-    return rows.select(keep)
+    keep = [f"`{c}`" for c in df.columns if c != times]
+    pieces = df.selectExpr("*", f"explode(sequence(0, ({times} - 1) div {_AT_ONCE})) as _piece")
+    return pieces.selectExpr(
+        *keep, f"explode(sequence(1, least({_AT_ONCE}, {times} - _piece * {_AT_ONCE}))) as _copy"
+    ).select(keep)

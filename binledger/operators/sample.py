@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from binledger.operators.copies import count_copies, repeat_rows
 
@@ -34,11 +33,8 @@ def balanced_sample(
         return df.filter(F.lit(False))
 
     keep = df.columns
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce("path", F.lit(""))))
-    rows = (
-        df.filter(F.col("class").isin(*classes))
-        .withColumn("_md5", digest)
-        .withColumn("_bucket", F.substring("_md5", 1, _DIGITS))
+    rows = df.filter(F.col("class").isin(*classes)).selectExpr(
+        "*", f"md5(concat('{int(seed)}:', coalesce(path, ''))) as _md5", f"substring(_md5, 1, {_DIGITS}) as _bucket"
     )
     cuts = _cuts(rows, k)
     if strict:
@@ -51,17 +47,19 @@ def balanced_sample(
         cuts = df.sparkSession.createDataFrame(found, cuts.schema)
 
     # One row per class, so the broadcast cannot grow.
-    near = rows.join(F.broadcast(cuts), "class").filter(F.col("_bucket") <= F.col("cut"))
+    near = rows.join(F.broadcast(cuts), "class").filter("_bucket <= cut")
     counted = count_copies(near.select(*keep, "_md5", "_bucket", "cut", "below"))
 
-    edge = F.col("_bucket") == F.col("cut")
-    lane = F.when(edge, -1).otherwise(F.pmod(F.xxhash64("_md5"), F.lit(_LANES)))
-    order = Window.partitionBy("class", "_lane").orderBy("_md5", *[c for c in keep if c != "class"])
-    before = F.coalesce(F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    room = F.lit(k) - F.col("below") - before
-    take = F.when(edge, F.greatest(F.lit(0), F.least("_copies", room))).otherwise(F.col("_copies"))
-    taken = counted.withColumn("_lane", lane).withColumn("_take", take).filter(F.col("_take") > 0)
-    return repeat_rows(taken.select(*keep, "_take"), "_take")
+    # Rows of the last bucket are ordered; all others are taken, in lanes of no meaning.
+    order = ", ".join(["_md5"] + [f"`{c}`" for c in keep if c != "class"])
+    taken = counted.selectExpr(
+        "*", "_bucket = cut as _edge", f"if(_edge, -1, pmod(xxhash64(_md5), {_LANES})) as _lane"
+    ).selectExpr(
+        *[f"`{c}`" for c in keep],
+        f"""if(_edge, least(_copies, {k} - below - coalesce(sum(_copies) over (partition by class, _lane
+            order by {order} rows between unbounded preceding and 1 preceding), 0)), _copies) as _take""",
+    )
+    return repeat_rows(taken.filter("_take > 0"), "_take")
 
 
 def _cuts(rows, k):
@@ -69,10 +67,9 @@ def _cuts(rows, k):
     fewer), below (rows in buckets before the cut)."""
     counts = rows.groupBy("class", "_bucket").agg(F.count("*").alias("files"))
     # At most 4096 rows per class are left here.
-    running = F.sum("files").over(Window.partitionBy("class").orderBy("_bucket"))
-    counts = counts.withColumn("upto", running)
-    return counts.groupBy("class").agg(
+    running = counts.selectExpr("*", "sum(files) over (partition by class order by _bucket) as upto")
+    return running.groupBy("class").agg(
         F.sum("files").alias("total"),
-        F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("_bucket"))), F.lit(_PAST_LAST)).alias("cut"),
-        F.coalesce(F.max(F.when(F.col("upto") < k, F.col("upto"))), F.lit(0)).alias("below"),
+        F.expr(f"coalesce(min(if(upto >= {k}, _bucket, null)), '{_PAST_LAST}')").alias("cut"),
+        F.expr(f"coalesce(max(if(upto < {k}, upto, null)), 0)").alias("below"),
     )
