@@ -79,7 +79,8 @@ def q_balanced_sample(spark, sf_dir):
 
 
 def q_balanced_sample_large(spark, sf_dir):
-    """Half of all files, from a catalogue with copies: past any top-k shortcut."""
+    """As many files of each class as there are toxic labels, from a catalogue in
+    which class 1 partly occurs twice."""
     catalog = _catalog(spark, sf_dir)
     files = C.union_files(C.glob_files(catalog, GLOB), catalog.filter("class = 1"))
     n = 2 * _read(spark, sf_dir, "labels").filter("toxic = 1").count()
