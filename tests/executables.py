@@ -3,6 +3,8 @@
 import random
 import struct
 
+CORRUPTED = (None, -1, -1)
+
 
 def build(
     bits=32,
@@ -70,8 +72,55 @@ def random_file(rng: random.Random):
     return data, str(bits), sum(dlls), exports or 0
 
 
+def brute_force(data: bytes):
+    """(architecture, imports, exports) entry by entry, by the plainest reading of
+    the layout; for comparison on small files."""
+    u16 = lambda at: int.from_bytes(data[at : at + 2], "little")
+    u32 = lambda at: int.from_bytes(data[at : at + 4], "little")
+    head = data[:8192]
+    nt = u32(60)
+    if len(head) < 64 or head[:2] != b"MZ" or head[nt : nt + 4] != b"PE\0\0" or nt + 24 + 96 > len(head):
+        return CORRUPTED
+    wide = u16(nt + 24) == 0x20B
+    fixed_end = nt + 24 + (112 if wide else 96)
+    if fixed_end > len(head) or u16(nt + 24) not in (0x10B, 0x20B):
+        return CORRUPTED
+    if u32(nt + 24 + 60) > -(-fixed_end // 1024) * 1024 or u32(fixed_end - 4) < 2 or fixed_end + 16 > len(head):
+        return CORRUPTED
+    sections = []
+    for i in range(u16(nt + 6)):
+        at = nt + 24 + u16(nt + 20) + 40 * i
+        if at + 40 <= len(data):
+            sections.append([u32(at + k) for k in (8, 12, 16, 20)])
+
+    def place(rva):
+        for virtual, va, raw, ptr in sections:
+            if va <= rva < va + max(virtual, raw):
+                return ptr + rva - va, min(ptr + raw, len(data))
+        return rva, len(data)
+
+    def symbols(rva):
+        (at, end), n = place(rva) if rva else (0, 0), 0
+        width = 8 if wide else 4
+        while at + width <= end and any(data[at : at + width]):
+            at, n = at + width, n + 1
+        return n
+
+    imports = exports = 0
+    if u32(fixed_end + 8):
+        at, end = place(u32(fixed_end + 8))
+        while at + 20 <= end and any(data[at : at + 20]):
+            imports += symbols(u32(at)) or symbols(u32(at + 16))
+            at += 20
+    if u32(fixed_end):
+        at, end = place(u32(fixed_end))
+        exports = u32(at + 20) if at + 40 <= end else 0
+    if max(imports, exports) > 2**31 - 1:
+        return CORRUPTED
+    return "64" if wide else "32", imports, exports
+
+
 # name -> (bytes, expected architecture, imports, exports)
-CORRUPTED = (None, -1, -1)
 NAMED = {
     "/0/a.exe": (build(64, [100, 55]).ljust(170_496, b"\0"), "64", 155, 0),
     "/0/b.dll": (build(32, [3], 7), "32", 3, 7),
