@@ -3,6 +3,7 @@ SQL that gives the same rows on the same tables."""
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -21,6 +22,12 @@ from binledger.plans.spread import spread
 from binledger.schemas import CATALOG_COLUMNS
 from binledger.sources.files import describe_files
 
+# The operators for training data come with a subpackage that may be absent.
+if importlib.util.find_spec("binledger.llm"):
+    from binledger.llm import entry as llm
+else:
+    llm = None
+
 GLOB = "/?/*.???"
 N = 100
 SEED = 42
@@ -204,7 +211,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
+    return own | (llm.queries() if llm else {})
 
 
 _CATALOG = """
@@ -295,7 +303,7 @@ from {chosen} t"""
     page_files = f"""
 select path, octet_length(encode(html)) as size, regexp_extract(path, '([^/.]*)$', 1) as type, 0 as class
 from ({page_paths}) t"""
-    return {
+    own = {
         "catalog": _with(_CATALOG, select="select path, size, type, class from catalog"),
         "describe_files": page_files,
         "glob_filter": _with(_CATALOG, select="select path, size, type, class from globbed"),
@@ -473,3 +481,4 @@ select path, rule, count(*) as n_rows from broken group by path, rule""",
             ),
         ),
     }
+    return own | (llm.oracle_sql() if llm else {})
