@@ -23,6 +23,19 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
 
 
+def op3_simhash_groups(spark, sf_dir):
+    from binledger.llm import near
+
+    return near.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark, sf_dir):
+    from binledger.llm import rules
+
+    found = rules.judged(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "labels"))
+    return found.select("doc_id", *rules.STATISTICS, "base_failed", "kept")
+
+
 def op7_jump_shards(spark, sf_dir):
     from binledger.llm import shards
 
