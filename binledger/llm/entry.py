@@ -68,6 +68,12 @@ def op9_token_files(spark, sf_dir):
     return tokens.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_fuzzy_lines(spark, sf_dir):
+    from binledger.llm import lines
+
+    return lines.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     """One query per operator, and the pipeline."""
     return {name: fn for name, fn in globals().items() if name.startswith("op")}

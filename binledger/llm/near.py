@@ -14,6 +14,8 @@ from binledger.llm.components import components
 from binledger.llm.staging import staged
 
 SHARD_NODES = 4096
+_SAMPLED = 64
+_BROADCAST_ROWS = 100_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _AT_ONCE = 1 << 16
 
@@ -144,63 +146,71 @@ def blocks(number, radius: int, extra: int):
     return F.array(*tables)
 
 
-def shard_links(numbers: DataFrame, radius: int, extra: int = 2, column: str = "fp") -> DataFrame:
-    """Links (a, b) between different numbers at ``radius`` bits or fewer, enough to
-    join all that are so connected, without all pairs of a dense group.
+def shard_links(numbers: DataFrame, radius: int, extra: int = 2, every: bool = False) -> DataFrame:
+    """Links (a, b) between ids whose numbers differ in ``radius`` bits or fewer.
 
-    ``numbers``: distinct BIGINT values. Numbers that agree in a table's parts form a
-    shard (``blocks``), which has a BK-tree. A shard of over ``SHARD_NODES`` numbers is dealt
-    out by hash into lots of about that size; each lot's tree then meets the numbers of
-    each lot in a task of its own, so a tree is bounded and no shard is one task. A
-    shard or pair of lots sends one link per number at most.
+    ``numbers``: distinct id and BIGINT fp, best a written table, as it is read twice.
+    Without ``every`` there are enough links to join all that are so connected, at most one
+    per id and tree met, and not all pairs of a dense group. With it, ``numbers`` also has
+    a label, and all pairs of different labels are given.
+
+    Numbers that agree in a table's parts form a shard (``blocks``), which has a BK-tree.
+    Keys of over about ``SHARD_NODES`` numbers, found in a sample of one number in
+    ``_SAMPLED``, are dealt out by hash into lots of that size; each pair of lots is a
+    shard of its own. What the sample misses is not lost, its shard is only larger.
     """
-    keyed = staged(numbers.select(F.col(column).alias("fp"), F.explode(blocks(F.col(column), radius, extra)).alias("key")), "shard-keys")
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    lots = F.ceil(F.col("n") / SHARD_NODES).cast("int")
-    sized = keyed.join(sizes, "key").withColumn("lots", lots)
-    lot = F.pmod(F.xxhash64("fp", "key"), F.col("lots")).cast("int")
-    others = F.sequence(F.lit(0), F.col("lots") - 1)
-    dealt = sized.withColumn("lot", lot).withColumn("other", F.explode(others)).select(
-        F.xxhash64("key", F.least("lot", "other"), F.greatest("lot", "other")).alias("shard"), "fp"
-    )
-    meets = dealt.repartition("shard").sortWithinPartitions("shard")
+    labels = ["label"] if every else []
+    keyed = numbers.select("id", "fp", *labels, F.explode(blocks(F.col("fp"), radius, extra)).alias("key"))
+    sampled = keyed.filter(F.pmod(F.xxhash64("fp", F.lit("sample")), F.lit(_SAMPLED)) == 0)
+    found = sampled.groupBy("key").agg((F.count("*") * _SAMPLED).alias("n")).filter(F.col("n") > SHARD_NODES)
+    hot = staged(found.select("key", F.ceil(F.col("n") / SHARD_NODES).cast("int").alias("lots")), "hot-keys")
+    n_hot = hot.count()
+    shards = keyed.select(F.col("key").alias("shard"), "id", "fp", *labels)
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= _BROADCAST_ROWS else hot
+        lot = F.pmod(F.xxhash64("id", "key"), F.col("lots")).cast("int")
+        dealt = keyed.join(hot, "key").withColumn("lot", lot).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+        pair = F.xxhash64("key", F.least("lot", "other"), F.greatest("lot", "other")).alias("shard")
+        cold = keyed.join(hot.select("key"), "key", "left_anti").select(F.col("key").alias("shard"), "id", "fp", *labels)
+        shards = cold.union(dealt.select(pair, "id", "fp", *labels))
+    meets = shards.repartition("shard").sortWithinPartitions("shard")
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
         for frame in _whole_groups(frames):
-            shard, fp = frame["shard"].to_numpy(), frame["fp"].to_numpy().view(np.uint64)
-            ids, group = np.unique(shard, return_inverse=True)
-            tree, labels = BKTree(fp, group), np.arange(len(fp))
+            ids, fp = frame["id"].to_numpy(), frame["fp"].to_numpy().view(np.uint64)
+            group = np.unique(frame["shard"].to_numpy(), return_inverse=True)[1]
+            tree = BKTree(fp, group)
+            labels = frame["label"].to_numpy() if every else np.arange(len(fp))
             for at in range(0, len(fp), SHARD_NODES):
                 queries = slice(at, at + SHARD_NODES)
                 for who, node in tree.search(fp[queries], group[queries], radius):
-                    join_labels(labels, who + at, node)
-            linked = np.flatnonzero(labels != np.arange(len(fp)))
-            a, b = fp[linked].view(np.int64), fp[labels[linked]].view(np.int64)
-            held = pd.DataFrame({"a": a, "b": b})
-            if len(held):
-                yield held
+                    if every:
+                        new = (labels[who + at] != labels[node]) & (ids[who + at] > ids[node])
+                        yield pd.DataFrame({"a": ids[who + at][new], "b": ids[node][new]})
+                    else:
+                        join_labels(labels, who + at, node)
+            if not every:
+                linked = np.flatnonzero(labels != np.arange(len(fp)))
+                yield pd.DataFrame({"a": ids[linked], "b": ids[labels[linked]]})
 
     return meets.mapInPandas(link, "a long, b long").distinct()
 
 
 def _whole_groups(frames, least=50_000):
-    """Frames sorted by shard, put together so that no shard is cut."""
-    held = []
+    """Frames sorted by shard, put together so that no shard is cut; shards of a
+    single row are left out."""
+    held, size = [], 0
     for frame in frames:
-        if not len(frame):
-            continue
         held.append(frame)
-        if sum(map(len, held)) < least:
-            continue
-        frame = pd.concat(held, ignore_index=True)
-        shard = frame["shard"].to_numpy()
-        cut = int(np.searchsorted(shard, shard[-1]))
-        held = [frame[cut:]]
-        if cut:
-            yield frame[:cut]
+        size += len(frame)
+        if size >= least:
+            frame = pd.concat(held, ignore_index=True)
+            cut = int(frame["shard"].searchsorted(frame["shard"].iloc[-1]))
+            yield frame[:cut][frame["shard"][:cut].duplicated(keep=False)]
+            held, size = [frame[cut:]], 0
     if held:
-        yield pd.concat(held, ignore_index=True)
+        frame = pd.concat(held, ignore_index=True)
+        yield frame[frame["shard"].duplicated(keep=False)]
 
 
 def near_duplicates(
@@ -217,8 +227,8 @@ def near_duplicates(
     """
     hashed = fingerprints(df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias(text)), text, n, seed, "fp")
     rows = staged(hashed.select(key, "fp"), "fingerprints")
-    numbers = rows.groupBy("fp").agg(F.min(key).alias("first"))
-    linked = components(shard_links(numbers, radius))
+    numbers = staged(rows.groupBy("fp").agg(F.min(key).alias("first")), "fingerprint-numbers")
+    linked = components(shard_links(numbers.select(F.col("fp").alias("id"), "fp"), radius))
     reached = numbers.join(linked, numbers["fp"] == linked["id"], "left").select(
         numbers["fp"], "first", F.coalesce("component", "fp").alias("component")
     )
