@@ -3,8 +3,8 @@ in the package imports this one."""
 
 from pyspark import cloudpickle
 
-from binledger.llm import bpe, language, lines, near, pieces, shards, token_files
+from binledger.llm import bpe, language, lines, near, pieces, shards, staging, tiling, token_files
 
 # As in the package above: functions of tasks travel by value.
-for _module in (bpe, language, lines, near, pieces, shards, token_files):
+for _module in (bpe, language, lines, near, pieces, shards, staging, tiling, token_files):
     cloudpickle.register_pickle_by_value(_module)

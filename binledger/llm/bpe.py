@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from binledger.llm.pieces import PieceTable, groups, ranges
+from binledger.llm.staging import share
 
 _NONE = np.int32(2**31 - 1)
 _LONG = 256  # bytes; a longer pretoken has a heap of its own instead of a matrix row
@@ -212,14 +213,14 @@ def encode_texts(df: DataFrame, codec: RankCodec, text: str = "text", ids: str =
     Each row stands for itself, so copies, ties and missing keys make no
     difference; an empty table stays empty. Texts are encoded whole.
     """
-    shared = df.sparkSession.sparkContext.broadcast(codec)
+    codec_here = share(df.sparkSession, codec)
 
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts, out = batch.to_pylist(), []
             for a, b in groups(texts):
-                out += [row.astype("<u4").tobytes() for row in shared.value.encode(texts[a:b])]
+                out += [row.astype("<u4").tobytes() for row in codec_here().encode(texts[a:b])]
             yield pa.array(out, pa.binary())
 
     return df.withColumn(ids, encoded(F.col(f"`{text}`")))
@@ -228,13 +229,13 @@ def encode_texts(df: DataFrame, codec: RankCodec, text: str = "text", ids: str =
 def decode_ids(df: DataFrame, codec: RankCodec, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the bytes behind the ids of ``encode_texts`` as BINARY column
     ``decoded``, empty for missing or no ids. An unknown id fails the job."""
-    shared = df.sparkSession.sparkContext.broadcast(codec)
+    codec_here = share(df.sparkSession, codec)
 
     @F.arrow_udf("binary")
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             rows = (np.frombuffer(v.as_buffer() if v.is_valid else b"", "<u4") for v in batch)
-            yield pa.array([shared.value.decode(row) for row in rows], pa.binary())
+            yield pa.array([codec_here().decode(row) for row in rows], pa.binary())
 
     return df.withColumn(decoded, bytes_of(F.col(f"`{ids}`")))
 

@@ -29,6 +29,12 @@ def op3_simhash_groups(spark, sf_dir):
     return near.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_tiled_leaks(spark, sf_dir):
+    from binledger.llm import tiling
+
+    return tiling.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark, sf_dir):
     from binledger.llm import rules
 

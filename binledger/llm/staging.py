@@ -4,6 +4,7 @@ the step that was running."""
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,3 +26,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def share(spark: SparkSession, value):
+    """Broadcasts an object of this package; call the result for it in a task. A worker
+    unpacks it once and keeps it for its later tasks."""
+    sent = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    def get():
+        held = sent.value
+        if "object" not in held:
+            held["object"] = cloudpickle.loads(held["pickled"])
+        return held["object"]
+
+    return get

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from binledger.llm.pieces import PieceTable, groups
-from binledger.llm.staging import shared_folder, staged
+from binledger.llm.staging import share, shared_folder, staged
 
 INDEX = "part int, file string, doc_id long, file_start long, n_tokens long"
 
@@ -108,7 +108,7 @@ def write_sequences(
     index. Other columns are not read. A task that runs twice writes a file of another
     name, and the index names the files of the tasks that counted.
     """
-    shared = df.sparkSession.sparkContext.broadcast(codec)
+    codec_here = share(df.sparkSession, codec)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -119,7 +119,7 @@ def write_sequences(
             texts, keys = batch.column("text").to_pylist(), batch.column("key")
             starts, counts = [], []
             for a, b in groups(texts):
-                for ids in shared.value.encode(texts[a:b]):
+                for ids in codec_here().encode(texts[a:b]):
                     if out is None:
                         store.create_dir(root, recursive=True)
                         name = f"tokens-{context.partitionId():06d}-{context.taskAttemptId()}.arrow"
