@@ -24,7 +24,7 @@ class PieceTable:
     """Token ids of pieces, encoded when first met. It forgets all of them once it
     holds ``most`` pieces, which bounds memory and changes no result."""
 
-    def __init__(self, encode, most=600_000):
+    def __init__(self, encode, most=250_000):
         self.encode, self.most = encode, most
         self._forget()
 
@@ -73,7 +73,7 @@ def ranges(starts, lengths):
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
-def groups(texts, characters=2_000_000):
+def groups(texts, characters=1_000_000):
     """Slices of a list of texts of about so many characters; a longer text is a
     slice of its own."""
     begin = size = 0
