@@ -23,6 +23,15 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
 
 
+def op2_ppm_scores(spark, sf_dir):
+    from binledger.llm import ppm
+
+    scores = ppm.ppm_scores(_read(spark, sf_dir, "documents"), ~_held_out(7))
+    return scores.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_simhash_groups(spark, sf_dir):
     from binledger.llm import near
 

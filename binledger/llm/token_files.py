@@ -12,8 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
-import pyarrow.ipc
+from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +55,7 @@ class _SequenceFile:
         self.length, self.rows, self.kind = length, rows, kind
         fields = [("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))]
         self.schema = pa.schema(fields)
-        self.writer = pa.ipc.new_file(stream, self.schema)
+        self.writer = ipc.new_file(stream, self.schema)
         self.waiting, self.held, self.start = [], 0, 0
 
     def add(self, ids):
@@ -114,7 +113,7 @@ def write_sequences(
         from pyspark import TaskContext
 
         context, out, file = TaskContext.get(), None, ""
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("key")
             starts, counts = [], []
@@ -162,9 +161,9 @@ class SequenceReader:
     """Random access to the ids of one file; the file is mapped where it is local."""
 
     def __init__(self, uri: str):
-        store, path = pa.fs.FileSystem.from_uri(uri)
-        local = isinstance(store, pa.fs.LocalFileSystem)
-        self.file = pa.ipc.open_file(pa.memory_map(path) if local else store.open_input_file(path))
+        store, path = fs.FileSystem.from_uri(uri)
+        local = isinstance(store, fs.LocalFileSystem)
+        self.file = ipc.open_file(pa.memory_map(path) if local else store.open_input_file(path))
         self.length = self.file.schema.field("ids").type.list_size
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
 
