@@ -38,6 +38,14 @@ def op3_simhash_groups(spark, sf_dir):
     return near.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op4_surrogates(spark, sf_dir):
+    from binledger.llm import surrogates
+
+    # The secret of real runs is the caller's.
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(documents, secret="check")
+
+
 def op5_tiled_leaks(spark, sf_dir):
     from binledger.llm import tiling
 
