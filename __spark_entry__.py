@@ -23,10 +23,11 @@ from binledger.schemas import CATALOG_COLUMNS
 from binledger.sources.files import describe_files
 
 # The operators for training data come with a subpackage that may be absent.
-if importlib.util.find_spec("binledger.llm"):
+if importlib.util.find_spec("binledger.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
     from binledger.llm import entry as llm
 else:
-    llm = None
+    corpus_pipeline = llm = None
 
 GLOB = "/?/*.???"
 N = 100
@@ -212,7 +213,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
-    return own | (llm.queries() if llm else {})
+    return own | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 _CATALOG = """
@@ -481,4 +482,6 @@ select path, rule, count(*) as n_rows from broken group by path, rule""",
             ),
         ),
     }
-    return own | (llm.oracle_sql() if llm else {})
+    if llm:
+        own |= llm.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return own
