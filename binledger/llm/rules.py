@@ -62,7 +62,10 @@ def text_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     places = F.col("_places")
     covered = F.transform(places, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - p, F.lit(3))))
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, b: a + b)
-    return found.select(*kept, *[(total if c == "n_repeat_words" else F.col(c)).alias(c) for c in names])
+    columns = [(total if c == "n_repeat_words" else F.col(c)).alias(c) for c in names]
+    # As a generator's output, so that a filter on them is not pushed below and worked out
+    # anew for each column that it names.
+    return found.select(*kept, F.inline(F.array(F.struct(*columns))))
 
 
 def base_failed():
