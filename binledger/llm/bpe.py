@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.llm.pieces import PieceTable, groups, ranges
+from binledger.llm.pieces import PieceTable, ranges, slices
 from binledger.llm.staging import share
 
 _NONE = np.int32(2**31 - 1)
@@ -218,10 +218,9 @@ def encode_texts(df: DataFrame, codec: RankCodec, text: str = "text", ids: str =
     @F.arrow_udf("binary")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts, out = batch.to_pylist(), []
-            for a, b in groups(texts):
-                out += [row.astype("<u4").tobytes() for row in codec_here().encode(texts[a:b])]
-            yield pa.array(out, pa.binary())
+            for texts in slices(batch):
+                out = [row.astype("<u4").tobytes() for row in codec_here().encode(texts.to_pylist())]
+                yield pa.array(out, pa.binary())
 
     return df.withColumn(ids, encoded(F.col(f"`{text}`")))
 
@@ -234,8 +233,9 @@ def decode_ids(df: DataFrame, codec: RankCodec, ids: str = "ids", decoded: str =
     @F.arrow_udf("binary")
     def bytes_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = (np.frombuffer(v.as_buffer() if v.is_valid else b"", "<u4") for v in batch)
-            yield pa.array([codec_here().decode(row) for row in rows], pa.binary())
+            for part in slices(batch):
+                rows = (np.frombuffer(v.as_buffer() if v.is_valid else b"", "<u4") for v in part)
+                yield pa.array([codec_here().decode(row) for row in rows], pa.binary())
 
     return df.withColumn(decoded, bytes_of(F.col(f"`{ids}`")))
 

@@ -6,6 +6,7 @@ encoded apart from each other, each different one once."""
 import re
 
 import numpy as np
+import pyarrow.compute as pc
 
 _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -85,3 +86,19 @@ def groups(texts, characters=1_000_000):
         size += n
     if begin < len(texts):
         yield begin, len(texts)
+
+
+def slices(column, size=1 << 20):
+    """Slices of an Arrow array of strings or binaries of about so many bytes; a longer
+    value is a slice of its own. An empty array has one, itself."""
+    if not len(column):
+        yield column
+        return
+    lengths = np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(float))
+    begin = held = 0
+    for i, n in enumerate(lengths.tolist()):
+        if held and held + n > size:
+            yield column.slice(begin, i - begin)
+            begin, held = i, 0
+        held += n
+    yield column.slice(begin)
