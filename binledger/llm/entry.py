@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from binledger.llm.staging import small_batches
+
 TOKENIZERS = "byte_bpe_50k"
 
 
 def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _held_out(modulus):

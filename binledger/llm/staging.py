@@ -40,3 +40,10 @@ def share(spark: SparkSession, value):
         return held["object"]
 
     return get
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> SparkSession:
+    """Lets Arrow batches to and from Python workers be no larger than this: a batch is
+    held several times, and texts are large rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return spark
