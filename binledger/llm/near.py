@@ -171,7 +171,7 @@ def shard_links(numbers: DataFrame, radius: int, extra: int = 2, every: bool = F
         pair = F.xxhash64("key", F.least("lot", "other"), F.greatest("lot", "other")).alias("shard")
         cold = keyed.join(hot.select("key"), "key", "left_anti").select(F.col("key").alias("shard"), "id", "fp", *labels)
         shards = cold.union(dealt.select(pair, "id", "fp", *labels))
-    meets = shards.repartition("shard").sortWithinPartitions("shard")
+    meets = shards.repartition("shard").sortWithinPartitions("shard", "id")  # so all shards name the same id
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _whole_groups(frames):
