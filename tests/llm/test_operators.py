@@ -1,0 +1,461 @@
+"""Each operator on missing, empty, long, equal and repeated rows, with columns of
+clashing names, against plain restatements of what it promises."""
+
+import collections
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from binledger.llm import bpe, language, lines, near, ppm, rules, shards, surrogates, tiling, token_files
+from binledger.llm.components import components
+
+P = pytest.importorskip("public_tokenizers")
+random.seed(7)
+WORDS = ["the", "tion", "hand", "erst", "and", "über", "für", "A", "was", "on", "re", "漢字", "ing", "lo"]
+LONG = " ".join(random.choice(WORDS) for _ in range(9000))
+BASE = [" ".join(random.choice(WORDS) for _ in range(60)) for _ in range(12)]
+TEXTS = [
+    *[(i, t) for i, t in enumerate(BASE)],
+    (20, None),
+    (21, ""),
+    (22, " \n\t "),
+    (23, BASE[0]),
+    (24, BASE[0] + " lo"),
+    (25, BASE[1].upper()),
+    (26, "one"),
+    (27, "12 34!\r\n\x0b\x1c\x85 ?"),
+    (28, LONG),
+    (29, "line one is here\n" + BASE[2] + "\nline one is here\nLine 1 is here."),
+    (30, "line one is her\n\nother"),
+    (31, "a" * 3000),
+    (None, "no key here"),
+    (None, BASE[3]),
+]
+EXTRA = "doc_id long, text string, lang string, n_tokens string, ids string, fp int, key int, row int, norm int, kind int, score string"
+
+
+def table(spark, rows=TEXTS):
+    return spark.createDataFrame([(i, t, "x", "n", "i", 1, 2, 3, 4, 5, "s") for i, t in rows], EXTRA)
+
+
+def same_rows(got, want):
+    key = lambda r: tuple((x is not None, str(x)) for x in r)
+    return sorted(map(tuple, got), key=key) == sorted(map(tuple, want), key=key)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.RankCodec.from_file(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(codec):
+    tiktoken = pytest.importorskip("tiktoken")
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+
+
+def test_bpe_equals_library(spark, codec, library):
+    df = bpe.decode_ids(bpe.encode_texts(table(spark), codec), codec)
+    assert df.columns == [*table(spark).columns, "decoded"]
+    got = df.select("text", "ids", "decoded", bpe.token_count().alias("n")).collect()
+    assert len(got) == len(TEXTS)
+    for text, ids, decoded, n in got:
+        want = library.encode_ordinary(text or "")
+        assert np.frombuffer(ids, "<u4").tolist() == want and n == len(want)
+        assert bytes(decoded) == (text or "").encode()
+    assert bpe.encode_texts(table(spark, []), codec).count() == 0
+
+
+def test_bpe_on_random_texts(codec, library):
+    letters = "ab \n\t é漢字12'!?　\x1c\x85😀"
+    texts = ["".join(random.choice(letters) for _ in range(random.randrange(50))) for _ in range(1500)]
+    for text, ids in zip(texts, codec.encode(texts)):
+        assert ids.tolist() == library.encode_ordinary(text)
+        assert codec.decode(ids) == text.encode()
+    with pytest.raises(ValueError):
+        codec.decode([10**6])
+
+
+def test_token_files_round_trip(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    json = open(P.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    library = tokenizers.Tokenizer.from_str(json)
+    got = token_files.document_tokens(table(spark), token_files.LibraryCodec(json), length=16, rows=4).collect()
+    assert len(got) == len(TEXTS)
+    start = 0
+    by_key = collections.defaultdict(list)
+    for i, text in TEXTS:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        by_key[i].append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    for row in sorted(got, key=lambda r: r["start"]):
+        assert row["start"] == start
+        start += row["n_tokens"]
+        by_key[row["doc_id"]].remove((row["n_tokens"], row["ids_crc32"]))
+    order = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    files = {r["file"] for r in got}
+    for file in files:
+        reader = token_files.SequenceReader(file)
+        ids, mask = reader.batch(0)
+        assert ids.shape[1] == mask.shape[1] == 16 and mask[0].any()
+    assert token_files.document_tokens(table(spark, []), token_files.LibraryCodec(json)).count() == 0
+
+
+def test_language(spark):
+    rows = [(i, random.choice(["der die und", "le la et que", "the and of"]), None) for i in range(60)]
+    rows = [(i, f"{t} {t}", {"d": "de", "l": "fr", "t": "en"}[t[0]]) for i, t, _ in rows]
+    train = spark.createDataFrame([*rows, (99, None, "de"), (98, "the", None)], "doc_id long, text string, lang string")
+    names, matrix = language.train(train, buckets=1 << 12)
+    assert names == ["de", "en", "fr"]
+    assert np.allclose(np.exp(matrix.astype(float)).sum(axis=0), 1, atol=1e-3)
+    tests = [(1, "die und der"), (2, "THE of and"), (3, None), (4, "12 !"), (5, ""), (None, "la que et")]
+    got = language.predict(table(spark, tests), names, matrix)
+    found = {r["text"]: (r["lang_pred"], r["score"]) for r in got.collect()}
+    assert [found[t][0] for _, t in tests] == ["de", "en", "und", "und", "und", "fr"]
+    assert all(0 <= s <= 1 for _, s in found.values())
+    empty, none = language.train(train.limit(0))
+    assert empty == [] and language.predict(table(spark, tests), empty, none).filter("lang_pred <> 'und'").count() == 0
+
+
+def brute_ppm(docs, order):
+    split = lambda t: (t or "").encode().lower().split()
+
+    def coded(words):
+        history = b" "
+        for byte in b" ".join(words) + (b" " if words else b"") + b"\n":
+            yield history[-order:], byte
+            history += bytes([byte])
+
+    tokens, contexts = collections.Counter(), collections.defaultdict(collections.Counter)
+    for text, train in docs:
+        if train:
+            tokens.update([*split(text), None])
+            for context, byte in coded(split(text)):
+                for k in range(len(context) + 1):
+                    contexts[context[len(context) - k :]][byte] += 1
+    n, v = sum(tokens.values()), len(tokens)
+
+    def log(context, byte):
+        gone, out = set(), 0.0
+        for k in range(len(context), -1, -1):
+            counts = contexts.get(context[len(context) - k :])
+            if counts:
+                live = {b: c for b, c in counts.items() if b not in gone}
+                if byte in live:
+                    return out + math.log10(live[byte] / (sum(live.values()) + len(live)))
+                out += math.log10(len(live) / (sum(live.values()) + len(live))) if live else 0
+                gone |= set(counts)
+        return out - math.log10(256 - len(gone))
+
+    for text, _ in docs:
+        words = [*split(text), None]
+        base = sum(math.log10((tokens[w] + 1) / (n + v + 1)) for w in words)
+        yield len(words), sum(tokens[w] > 0 for w in words), n, base, sum(log(c, b) for c, b in coded(words[:-1]))
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_ppm(spark, order, monkeypatch):
+    texts = [(i, t[:2000] if t else t) for i, t in TEXTS]
+    held = F.coalesce(F.col("doc_id") % 5 == 2, F.lit(False))
+    got = ppm.ppm_scores(table(spark, texts), ~held, order=order).collect()
+    want = list(brute_ppm([(t, i is None or i % 5 != 2) for i, t in texts], order))
+    rounded = lambda rows: sorted((a, b, c, round(d, 5), round(e, 5)) for a, b, c, d, e in rows)
+    assert rounded(r[2:] for r in got) == rounded(want)
+    assert ppm.ppm_scores(table(spark, []), F.lit(True)).count() == 0
+    unlearned = ppm.ppm_scores(table(spark, [(1, "ab")]), F.lit(False)).first()
+    assert unlearned["n_known"] == 0 and abs(unlearned["score"] - 4 * math.log10(1 / 256)) < 1e-9
+
+
+def brute_simhash(text, n=4):
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    joined = [b" ".join(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in joined]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def grouped(ids, linked):
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        x, y = sorted((find(a), find(b)))
+        parent[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_near_duplicates(spark):
+    copies = [(100 + i, BASE[4] + f" {random.choice(WORDS)}" * (i % 4)) for i in range(40)]
+    rows = [*TEXTS, *copies]
+    got = near.near_duplicates(table(spark, rows)).collect()
+    prints = [(i, brute_simhash(t)) for i, t in rows]
+    numbers = sorted({p for _, p in prints})
+    of = grouped(numbers, [(a, b) for a in numbers for b in numbers if a < b and (a ^ b).bit_count() <= 4])
+    first = {}
+    for i, p in prints:
+        if i is not None:
+            first[of[p]] = min(i, first.get(of[p], i))
+    assert same_rows(got, [(i, f"{p:016x}", first.get(of[p])) for i, p in prints])
+    assert near.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_shard_links_splits_hot_shards(spark, monkeypatch):
+    monkeypatch.setattr(near, "SHARD_NODES", 16)
+    monkeypatch.setattr(near, "_SAMPLED", 2)
+    numbers = sorted({random.getrandbits(64) & 0xFF | 5 << 50 for _ in range(120)} | {random.getrandbits(63) for _ in range(50)})
+    df = spark.createDataFrame([(n, n) for n in numbers], "id long, fp long")
+    pairs = [(b, a) for a in numbers for b in numbers if a < b and (a ^ b).bit_count() <= 3]
+    found = [tuple(r) for r in near.shard_links(df, 3).collect()]
+    assert all((a ^ b).bit_count() <= 3 * 20 for a, b in found)
+    assert grouped(numbers, found) == grouped(numbers, pairs)
+    labelled = df.withColumn("label", F.col("id"))
+    assert sorted(tuple(r) for r in near.shard_links(labelled, 3, every=True).collect()) == sorted(pairs)
+
+
+def test_bk_tree_finds_all(spark):
+    numbers = np.array([random.getrandbits(64) & random.getrandbits(64) & random.getrandbits(64) for _ in range(300)], np.uint64)
+    group = np.array([i % 3 for i in range(300)])
+    tree = near.BKTree(numbers, group)
+    found = {(int(a), int(b)) for q, n in tree.search(numbers, group, 9) for a, b in zip(q, n)}
+    want = {(a, b) for a in range(300) for b in range(300) if group[a] == group[b] and int(numbers[a] ^ numbers[b]).bit_count() <= 9}
+    assert found == want
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(100, 140)] + [(5, 900)] * 3 + [(7, 7), (None, 3)] + [(500, k) for k in range(501, 560)]
+    random.shuffle(links)
+    got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    known = [(a, b) for a, b in links if a is not None]
+    assert got == set(grouped({x for p in known for x in p}, known).items())
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_surrogates(spark):
+    rows = [
+        (1, "Call +1 (017) 555-7713 or +1 017 555 7713, Und.34@Mail7.example.com und.34@mail7.example.com"),
+        (2, "Mr. John Smith met Mrs. Mary Smith and Mr Smith. Господин Иван Петров"),
+        (3, None),
+        (4, ""),
+        (5, "no data, 3. and 4.0. 2024"),
+        (6, "at 97.51.17.173 card 4111 1111 1111 1111 and 4111111111111111 is 4111111111111129"),
+        (None, 'token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"!! und.34@mail7.example.com'),
+    ]
+    df = surrogates.replace_entities(table(spark, rows), "secret")
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in df.collect()}
+    assert [got[i][1] for i, _ in rows] == [4, 4, 0, 0, 0, 4, 2]
+    assert got[3][0] is None and got[4][0] == "" and got[5][0] == rows[4][1]
+    for private in ("7713", "und.34", "Und.34", "mail7", "Smith", "John", "Mary", "Иван", "97.51", "4111 1111", "9233A8"):
+        assert not any(private in (t or "") for t, _ in got.values()), private
+    phones = re.match(r"Call \+1 \((\d{3})\) (\d{3})-(\d{4}) or \+1 (\d{3}) (\d{3}) (\d{4}), (\S+) (\S+)$", got[1][0])
+    assert phones.groups()[:3] == phones.groups()[3:6] and phones.group(7).lower() == phones.group(8)
+    assert phones.group(8) in got[None][0] and phones.group(7)[0].isupper()
+    names = re.match(r"Mr\. (\w+) (\w+) met Mrs\. (\w+) (\w+) and Mr (\w+)\. Господин ([а-яА-Я]+) ([а-яА-Я]+)$", got[2][0])
+    assert names.group(2) == names.group(4) == names.group(5) and names.group(1) != names.group(3)
+    cards = re.findall(r"\d[\d ]{14,}\d", got[6][0])
+    digits = [c.replace(" ", "") for c in re.match(r".*card (.+) and (.+) is (.+)$", got[6][0]).groups()]
+    assert cards and digits[0] == digits[1] != digits[2]
+    double = [sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits[0]))]
+    assert sum(double) % 10 == 0
+    again = surrogates.replace_entities(table(spark, rows), "secret").collect()
+    assert {r["doc_id"]: r["text"] for r in again} == {i: t for i, (t, _) in got.items()}
+    assert surrogates.replace_entities(table(spark, []), "secret").count() == 0
+
+
+def test_surrogates_are_distinct(spark):
+    # Few numbers of this length: proposals clash with each other and with real ones.
+    rows = [("number", f"5{i:03d}") for i in range(60)] + [("surname", f"name{i}") for i in range(300)]
+    entities = spark.createDataFrame(rows, "kind string, canonical string")
+    found = [tuple(r) for r in surrogates.assign_surrogates(entities, "k").collect()]
+    assert len(found) == len(rows) and len({(k, s) for k, _, s in found}) == len(rows)
+    assert not {(k, s) for k, _, s in found} & set(rows)
+
+
+def brute_tiles(a, b, n):
+    used_a, used_b, out = [0] * len(a), [0] * len(b), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
+                    k += 1
+                best = (k, i, j) if k > best[0] else best
+        k, i, j = best
+        if k < n:
+            return out
+        used_a[i : i + k], used_b[j : j + k] = [1] * k, [1] * k
+        out.append((i, j, k))
+
+
+def test_greedy_tiles():
+    for _ in range(200):
+        a = [random.randrange(3) for _ in range(random.randrange(1, 25))]
+        b = [random.randrange(3) for _ in range(random.randrange(1, 40))]
+        seeds = [(i, j) for i in range(len(a) - 2) for j in range(len(b) - 2) if a[i : i + 3] == b[j : j + 3]]
+        assert tiling.greedy_tiles(a, b, seeds, 3) == brute_tiles(a, b, 3)
+
+
+@pytest.mark.parametrize("block", [1 << 24, 100])
+def test_contaminated(spark, block, monkeypatch):
+    monkeypatch.setattr(tiling, "BLOCK_BYTES", block)
+    words = BASE[5].split()
+    moved = " ".join(words[30:] + ["x", "y"] + words[:30])
+    rows = [*TEXTS, (50, "lo lo " + moved), (51, BASE[5].upper().replace(" ", ", ")), (52, " ".join(words[:15]))]
+    items = [(1, BASE[5]), (2, None), (3, ""), (4, "one"), (5, BASE[0]), (6, BASE[0]), (None, BASE[6])]
+    benchmark = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
+    got = tiling.contaminated(table(spark, rows), benchmark).collect()
+    want = []
+    for i, text in rows:
+        for item, passage in items:
+            a, b = tiling.words_of(passage), tiling.words_of(text)
+            tiles = brute_tiles(a, b[:400], 5)
+            covered = sum(k for _, _, k in tiles)
+            if covered and covered >= 0.5 * len(a) and len(b) < 400:
+                want.append((i, item, len(a), covered, covered / len(a), max(k for _, _, k in tiles), len(tiles)))
+    assert same_rows([r for r in got if r["doc_id"] != 28], want)
+    assert {r["doc_id"] for r in got} >= {5, 50, 51, 0, 23, 24} and 52 not in {r["doc_id"] for r in got}
+    assert tiling.contaminated(table(spark, rows), benchmark.limit(0)).count() == 0
+    assert tiling.contaminated(table(spark, []), benchmark).count() == 0
+
+
+def brute_statistics(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    split = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = collections.Counter(zip(words, words[1:], words[2:]))
+    places = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for k in range(3)}
+    return len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(split) - len(set(split)), len(places)
+
+
+def test_text_statistics(spark):
+    rows = [*TEXTS, (60, "a|b # $ <x>\n a\n a\nb\n\nb"), (61, "x y z x y z x y"), (62, "a a a a a")]
+    df = rules.text_statistics(table(spark, rows))
+    got = [(r["doc_id"], r["text"], *[r[c] for c in rules.STATISTICS]) for r in df.collect()]
+    assert same_rows(got, [(i, t, *brute_statistics(t)) for i, t in rows])
+    assert rules.text_statistics(table(spark, [])).count() == 0
+
+
+def test_learned_rules(spark):
+    good = [(i, " ".join(random.choice(WORDS) + str(random.randrange(999)) for _ in range(80))) for i in range(150)]
+    bad = [(1000 + i, " ".join(random.choice(WORDS) + "$$$" + str(random.randrange(999)) for _ in range(80))) for i in range(60)]
+    labels = [(i, 1) for i, _ in good[:100]] + [(i, 0) for i, _ in bad[:40]] + [(None, 0), (1, None), (5000, 0)]
+    docs = table(spark, [*good, *bad, *TEXTS])
+    found = rules.judged(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r["doc_id"]: r for r in found.filter("doc_id is not null").collect()}
+    assert found.count() == len(good) + len(bad) + len(TEXTS)
+    assert all(got[i]["kept"] for i, _ in good[12:] if i > 31) and not any(got[i]["kept"] for i, _ in bad)
+    for i, r in got.items():
+        n = r["n_words"]
+        assert r["base_failed"] == (n < 50 or 100 * r["n_repeat_words"] > 50 * n) and not (r["base_failed"] and r["kept"])
+    none = rules.judged(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert none.filter("kept = base_failed").count() == 0
+    assert str(rules.Condition("upper_share", True, 0.25)) == "upper_share > 0.25"
+
+
+def brute_jump(key, n):
+    b, j = -1, 0
+    while j < n:
+        b, key = j, (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (float(1 << 31) / ((key >> 33) + 1)))
+    return b
+
+
+def test_jump_hash(spark):
+    keys = [random.getrandbits(64) for _ in range(3000)]
+    array = np.array(keys, np.uint64)
+    for n in (1, 2, 40, 41):
+        assert shards.jump_hash(array, n).tolist() == [brute_jump(k, n) for k in keys]
+    before, after = shards.jump_hash(array, 40), shards.jump_hash(array, 41)
+    assert set(after[before != after]) == {40}
+    rows = [*TEXTS, *TEXTS[:3], *[(77, "copy")] * 500, *[(i, f"t{i}") for i in range(1000, 1600)]]
+    got = shards.place_in_shards(table(spark, rows), n=7).collect()
+    crc = lambda t: zlib.crc32((t or "").encode())
+    want = [(i, len((t or "").encode()) + 16, crc(t)) for i, t in rows]
+    assert same_rows([tuple(r)[:3] for r in got], want)
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 7)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({(r["doc_id"], r["shard"]) for r in got}) == len({r["doc_id"] for r in got})
+    assert shards.place_in_shards(table(spark, []), n=7).count() == 0
+
+
+def brute_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_edit_distance():
+    for _ in range(2000):
+        a, b = ("".join(random.choice("abc") for _ in range(random.randrange(12))) for _ in range(2))
+        assert lines.edit_distance(a, b) == brute_distance(a, b)
+
+
+def test_fuzzy_lines(spark):
+    import regex
+    import xxhash
+
+    line = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(60))
+    edited = [line.replace(f"w{chr(97 + i)}ax", f"w{chr(97 + i)}ay") for i in range(20)]
+    shuffled = " ".join(reversed(line.split(" ")))
+    rows = [*[(i, t) for i, t in TEXTS if i != 31], (70, line + "\n" + shuffled), *[(71 + i, f"{e}\nown {i} line") for i, e in enumerate(edited)], (99, shuffled)]
+    got = {(r["doc_id"], r["text"]): 0 for r in lines.dedup_lines(table(spark, rows)).select("doc_id", "text").collect()}
+
+    def norm(x):
+        return regex.sub(r"[^\p{L}\p{N}]+", " ", regex.sub(r"\p{N}+", "0", x.lower())).strip()
+
+    def simhash(x):
+        hashes = [xxhash.xxh64_intdigest(w) for w in x.split(" ")]
+        return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    every = list(dict.fromkeys(norm(x) for _, t in ordered for x in (t or "").split("\n")))
+    every = [x for x in every if x]
+    prints = [simhash(x) for x in every]
+    close = [
+        (a, b)
+        for a in range(len(every))
+        for b in range(a)
+        if (prints[a] ^ prints[b]).bit_count() <= 3 and brute_distance(every[a], every[b]) <= 0.2 * max(len(every[a]), len(every[b])) + 1e-9
+    ]
+    of, place, seen, want = grouped(range(len(every)), close), {x: i for i, x in enumerate(every)}, set(), {}
+    for i, text in ordered:
+        left = []
+        for x in (text or "").split("\n"):
+            group = of.get(place.get(norm(x)))
+            if group is None or group not in seen:
+                left.append(x)
+            seen.add(group)
+            seen.discard(None)
+        want[i, None if text is None else "\n".join(left)] = 0
+    nulls = lambda found: {k for k in found if k[0] is not None}  # noqa: E731  (two rows have no key; their order is by hash)
+    assert nulls(got) == nulls(want)
+    assert lines.dedup_lines(table(spark, [])).count() == 0
+
+
+def test_queries_and_pipeline(spark):
+    import __spark_entry__ as entry
+    import corpus_pipeline
+    from binledger.llm import entry as llm
+
+    names = set(llm.queries())
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names} == set(range(1, 11))
+    assert names | {"pipeline"} <= set(entry.queries())
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "SimHash near-dedup", "benchmark decontamination", "byte-level BPE"]
+
+
