@@ -16,7 +16,7 @@ from pyarrow import fs, ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from binledger.llm.pieces import PieceTable, groups
+from binledger.llm.pieces import PieceTable, groups, ranges
 from binledger.llm.staging import share, shared_folder, staged
 
 INDEX = "part int, file string, doc_id long, file_start long, n_tokens long"
@@ -38,13 +38,29 @@ class LibraryCodec:
             library = Tokenizer.from_str(self.json)
             library.encode_special_tokens = True
 
+            # A token of a byte-level vocabulary has a character for each byte.
+            vocabulary = library.get_vocab()
+            n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            n_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+
             def encoded(pieces):
-                rows = [e.ids for e in library.encode_batch_fast(pieces, add_special_tokens=False)]
-                counts = np.fromiter(map(len, rows), np.int64, len(rows))
-                return np.fromiter((i for r in rows for i in r), np.uint32, int(counts.sum())), counts
+                """Pieces that can stand in one text are encoded as one: fewer calls."""
+                alone = [i for i, p in enumerate(pieces) if p[:1] != " " or p[1:2].isspace() or p[-1].isspace()]
+                apart = set(alone)
+                joined = [i for i in range(len(pieces)) if i not in apart]
+                texts = ["".join([pieces[i] for i in joined[a : a + 1000]]) for a in range(0, len(joined), 1000)]
+                rows = library.encode_batch_fast(texts + [pieces[i] for i in alone], add_special_tokens=False)
+                ids = np.array([i for r in rows for i in r.ids], np.uint32)
+                order = joined + alone
+                ends = np.cumsum([len(pieces[i].encode()) for i in order])
+                last = np.searchsorted(np.cumsum(n_bytes[ids]), ends) + 1
+                counts, starts = np.diff(last, prepend=0), np.concatenate([[0], last[:-1]])
+                of = np.empty(len(order), np.int64)
+                of[order] = np.arange(len(order))
+                return ids[ranges(starts[of], counts[of])], counts[of]
 
             # Only for vocabularies that split at spaces as byte-level ones do.
-            self.table = PieceTable(encoded)
+            self.table = PieceTable(encoded, most=700_000)
         return self.table.ids(texts)
 
 
