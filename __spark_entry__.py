@@ -65,7 +65,9 @@ def _document_files(spark, sf_dir):
 
 
 def q_catalog(spark, sf_dir):
-    return _catalog(spark, sf_dir)
+    """From the URIs of the documents' files."""
+    uri = F.concat(F.lit("s3a://bucket"), "path")
+    return describe_files(_catalog(spark, sf_dir).drop("type", "class"), uri, "size")
 
 
 def q_describe_files(spark, sf_dir):
@@ -86,6 +88,12 @@ def q_balanced_sample(spark, sf_dir):
     return sample.balanced_sample(_globbed(spark, sf_dir), N, SEED, strict=False)
 
 
+def q_balanced_sample_new(spark, sf_dir):
+    """A sample of what is not recorded yet: later runs go on where earlier ended."""
+    files, log = _globbed_and_log(spark, sf_dir)
+    return sample.balanced_sample(ledger.drop_known_paths(files, log, "skip"), N, SEED, strict=False)
+
+
 def q_balanced_sample_large(spark, sf_dir):
     """As many files of each class as there are toxic labels, from a catalogue in
     which class 1 partly occurs twice."""
@@ -147,9 +155,7 @@ def q_header_columns(spark, sf_dir):
 
 
 def q_header_columns_lenient(spark, sf_dir):
-    files = _part_files(spark, sf_dir).withColumn("content", F.substring("content", 1, 8192))
-    rows = headers.header_columns(files, strict_headers=False)
-    return rows.groupBy("architecture", "corrupted", "headers_read").agg(F.count("*").alias("files"))
+    return headers.header_columns(_part_files(spark, sf_dir), strict_headers=False).drop("content")
 
 
 def q_extract_metadata(spark, sf_dir):
@@ -289,6 +295,24 @@ dlls as (
 """
 
 
+_HEADERS = """
+select path, cast(case when is_pe then exe_size else octet_length(encode(p_name)) end as bigint) as size, 'exe' as type,
+       is_pe, cast(case when is_pe then read else 2048 end as int) as headers_read,
+       cast(case when is_pe then claimed end as bigint) as size_of_headers, corrupted,
+       case when not corrupted then bits end as architecture,
+       cast(case when is_pe then sections end as int) as n_sections,
+       cast(case when is_pe then header + 24 + fixed + 128 end as bigint) as section_offset,
+       cast(n_directories as int) as n_directories,
+       cast(case when n_directories = 2 then case when p_size > 1 then 1048576 else 0 end end as bigint) as export_rva,
+       cast(case when n_directories = 2 then case when p_size > 1 then 40 else 0 end end as bigint) as export_size,
+       cast(case when n_directories = 2 then case when importing then 1048616 else 0 end end as bigint) as import_rva,
+       cast(case when n_directories = 2 then case when importing then 20 * (n_dlls + 1) else 0 end end as bigint)
+         as import_size,
+       coalesce(n_directories = 2 and p_size > 1, false) as has_exports,
+       coalesce(n_directories = 2 and importing, false) as has_imports
+from judged"""
+
+
 def _with(*parts, select):
     return "with " + ",".join(parts) + select
 
@@ -297,8 +321,8 @@ def oracle_sql() -> dict[str, str]:
     picked_new = "(select path, size, type from picked except select path, size, type from {done})"
     metadata = """
 select path, size, type, case when size % 2 = 1 then '64' else '32' end as architecture,
-       cast(size % 5 + size % 7 + cast(regexp_extract(path, '/([0-9]+)[.]', 1) as bigint) % 37 as int) as imports,
-       cast(size % 11 as int) as exports
+       cast(size % 5 + size % 7 + cast(regexp_extract(path, '/([0-9]+)[.]', 1) as bigint) % 37 as bigint) as imports,
+       cast(size % 11 as bigint) as exports
 from {chosen} t"""
     page_paths = "select regexp_extract(url, '^[a-z]+://[^/]*([^?#]*)', 1) as path, html from pages"
     page_files = f"""
@@ -370,39 +394,24 @@ select class, type, count(*) as files, cast(sum(size) as bigint) as bytes from c
         "smallest_files": _with(
             _CATALOG, select="select path, size, type, class from catalog order by size, path, type limit 50"
         ),
-        "header_columns": _with(
-            _PARTS,
-            select="""
-select path, cast(case when is_pe then exe_size else octet_length(encode(p_name)) end as bigint) as size, 'exe' as type,
-       is_pe, cast(case when is_pe then read else 2048 end as int) as headers_read,
-       cast(case when is_pe then claimed end as bigint) as size_of_headers, corrupted,
-       case when not corrupted then bits end as architecture,
-       cast(case when is_pe then sections end as int) as n_sections,
-       cast(case when is_pe then header + 24 + fixed + 128 end as bigint) as section_offset,
-       cast(n_directories as int) as n_directories,
-       cast(case when n_directories = 2 then case when p_size > 1 then 1048576 else 0 end end as bigint) as export_rva,
-       cast(case when n_directories = 2 then case when p_size > 1 then 40 else 0 end end as bigint) as export_size,
-       cast(case when n_directories = 2 then case when importing then 1048616 else 0 end end as bigint) as import_rva,
-       cast(case when n_directories = 2 then case when importing then 20 * (n_dlls + 1) else 0 end end as bigint)
-         as import_size,
-       coalesce(n_directories = 2 and p_size > 1, false) as has_exports,
-       coalesce(n_directories = 2 and importing, false) as has_imports
-from judged""",
-        ),
+        "header_columns": _with(_PARTS, select=_HEADERS),
         "header_columns_lenient": _with(
-            _PARTS,
+            _PARTS, "lenient as (select * exclude (corrupted), not is_pe or p_size = 50 as corrupted from judged)",
+            select=_HEADERS.replace("from judged", "from lenient"),
+        ),
+        "balanced_sample_new": _with(
+            _CATALOG,
             select="""
-select architecture, corrupted, headers_read, count(*) as files from (
-  select case when is_pe and p_size <> 50 then bits end as architecture, not is_pe or p_size = 50 as corrupted,
-         cast(case when is_pe then read else 2048 end as int) as headers_read
-  from judged
-) t group by all""",
+select path, size, type, class from (
+  select *, row_number() over (partition by class order by md5('42:' || path), path, size, type) as place
+  from globbed g where not exists (select 1 from log l where l.path = g.path)
+) t where place <= 50""",
         ),
         "extract_metadata": """
 select path, cast(case when lang = 'fr' then bytes else head + payload + bytes end as bigint) as size, 'exe' as type,
        case when lang = 'fr' then null when wide then '64' else '32' end as architecture,
-       cast(case when lang = 'fr' then -1 else imports end as int) as imports,
-       cast(case when lang = 'fr' then -1 else n_chars % 13 end as int) as exports
+       cast(case when lang = 'fr' then -1 else imports end as bigint) as imports,
+       cast(case when lang = 'fr' then -1 else n_chars % 13 end as bigint) as exports
 from (
   select *, 40 + 20 * (n + 1) + n * (longest + 1) * case when wide then 8 else 4 end as payload
   from (
@@ -420,8 +429,8 @@ from (
 select path, cast(case when is_pe then exe_size else octet_length(encode(p_name)) end as bigint) as size, 'exe' as type,
        case when not corrupted then bits end as architecture,
        cast(case when corrupted then -1
-            else coalesce(list_sum([(p_partkey + i) % 40 for i in range(0, n_dlls)]), 0) end as int) as imports,
-       cast(case when corrupted then -1 else p_size - 1 end as int) as exports
+            else coalesce(list_sum([(p_partkey + i) % 40 for i in range(0, n_dlls)]), 0) end as bigint) as imports,
+       cast(case when corrupted then -1 else p_size - 1 end as bigint) as exports
 from judged""",
         ),
         "file_sections": _with(

@@ -3,7 +3,8 @@
 
 def read_uint(data: str, offset, width: int) -> str:
     """Unsigned little-endian integer of ``width`` bytes at a 0-based offset, as
-    BIGINT; NULL past the end of the bytes."""
+    BIGINT. Bytes past the end count as absent digits: callers see to it that the
+    field is there."""
     digits = ", ".join(f"hex(substring({data}, {offset} + {i}, 1))" for i in range(width, 0, -1))
     return f"cast(conv(concat({digits}), 16, 10) as bigint)"
 

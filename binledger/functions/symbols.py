@@ -6,6 +6,8 @@ size. Nothing here trusts an address: every read is cut to its section and to
 the file, and a list without terminator ends there.
 """
 
+from bisect import bisect_right
+
 import numpy as np
 
 # Published layout of PE section rows, import rows and exports.
@@ -25,8 +27,6 @@ ADDRESS_AT = 4
 EXPORT_TABLE_SIZE = 40
 N_FUNCTIONS_AT = 20
 
-MAX_INT = 2**31 - 1
-
 
 def read_sections(take, offset, count):
     """Section table as a structured array, cut to the rows present."""
@@ -69,45 +69,69 @@ def blocks(take, start, end, row):
 
 
 class ZeroEndedLists:
-    """Lengths of zero-ended lists. Lists are scanned where they lie; a damaged
-    file whose rows all point into one long list would make that quadratic, so
-    once more than the file's size was scanned, an index of zeros takes over."""
+    """Lengths of zero-ended lists, scanned where they lie. A damaged file whose rows
+    all point into one long list would make that quadratic; so what was scanned is
+    kept as stretches without a zero, and a scan that comes to one goes on behind it.
+    There are no more stretches than lists."""
 
     def __init__(self, take, size, width):
         self.take = take
         self.size = size
         self.row = np.dtype(f"<u{width}")
-        self.scanned = 0
-        self.zeros = {}
+        # By alignment: starts in order, and start -> (end, whether a zero is there).
+        self.starts = {}
+        self.stretches = {}
 
     def length(self, start, end):
         width = self.row.itemsize
         most = (end - start) // width
         if most <= 0:
             return 0
-        if self.scanned > self.size:
-            return min((self.next_zero(start) - start) // width, most)
-        n = 0
-        for block in blocks(self.take, start, end, self.row):
-            self.scanned += block.nbytes
-            zeros = np.flatnonzero(block == 0)
-            if len(zeros):
-                return n + int(zeros[0])
-            n += len(block)
-        return n
-
-    def next_zero(self, start):
+        return min((self._next_zero(start, start + most * width) - start) // width, most)
+
+    def _next_zero(self, start, end):
+        """Position of the first zero from ``start`` on, or ``end``."""
         width = self.row.itemsize
-        first = start % width
-        if first not in self.zeros:
-            found, at = [np.empty(0, np.int64)], first
-            for block in blocks(self.take, first, self.size, self.row):
-                found.append(at + width * np.flatnonzero(block == 0))
+        starts = self.starts.setdefault(start % width, [])
+        stretches = self.stretches.setdefault(start % width, {})
+        at = start
+        while at < end:
+            i = bisect_right(starts, at)
+            if i and at <= stretches[starts[i - 1]][0]:
+                stop, zero = stretches[starts[i - 1]]
+                if zero:
+                    return self._keep(starts, stretches, start, stop, True)
+                if stop > at:
+                    at = stop
+                    continue
+            until = min(end, starts[i]) if i < len(starts) else end
+            for block in blocks(self.take, at, until, self.row):
+                zeros = np.flatnonzero(block == 0)
+                if len(zeros):
+                    return self._keep(starts, stretches, start, at + width * int(zeros[0]), True)
                 at += block.nbytes
-            self.zeros[first] = np.concatenate(found)
-        zeros = self.zeros[first]
-        i = np.searchsorted(zeros, start)
-        return int(zeros[i]) if i < len(zeros) else self.size
+            if at < until:  # the file ends here
+                break
+        return self._keep(starts, stretches, start, at, False) if at >= end else end
+
+    def _keep(self, starts, stretches, start, stop, zero):
+        """Remember a stretch in place of those it covers; gives its end."""
+        i = bisect_right(starts, start)
+        if i and stretches[starts[i - 1]][0] >= start:
+            i, start = i - 1, starts[i - 1]
+            if stretches[start][0] >= stop:
+                return stop
+        j = i
+        while j < len(starts) and starts[j] <= stop:
+            end, ended = stretches.pop(starts[j])
+            if end >= stop and (end, ended) != (stop, False):
+                stretches[start] = (end, ended)
+                starts[i : j + 1] = [start]
+                return stop
+            j += 1
+        stretches[start] = (stop, zero)
+        starts[i:j] = [start]
+        return stop
 
 
 def dll_symbol_counts(take, size, spans, rva, width):

@@ -25,8 +25,8 @@ _RESULT_ARROW = pa.schema(
         ("size", pa.int64()),
         ("type", pa.string()),
         ("architecture", pa.string()),
-        ("imports", pa.int32()),
-        ("exports", pa.int32()),
+        ("imports", pa.int64()),
+        ("exports", pa.int64()),
     ]
 )
 _SECTION_ARROW = pa.schema(
@@ -71,8 +71,7 @@ def _width(header):
 
 
 def _counts(source, header):
-    """(architecture, imports, exports); (None, -1, -1) without usable headers or
-    if a count does not fit the INT columns of the result."""
+    """(architecture, imports, exports); (None, -1, -1) without usable headers."""
     if source is None:
         return None, -1, -1
     take, size = source
@@ -82,8 +81,6 @@ def _counts(source, header):
         imports = sum(symbols.dll_symbol_counts(take, size, spans, header["import_rva"], _width(header)))
     if header["export_rva"]:
         exports = symbols.export_count(take, size, spans, header["export_rva"])
-    if max(imports, exports) > symbols.MAX_INT:
-        return None, -1, -1
     return header["architecture"], imports, exports
 
 
@@ -91,7 +88,7 @@ def _result_batch(batch, counted):
     architecture, imports, exports = zip(*counted) if counted else ((), (), ())
     return pa.RecordBatch.from_arrays(
         [batch.column(c) for c in CATALOG_COLUMNS]
-        + [pa.array(architecture, pa.string()), pa.array(imports, pa.int32()), pa.array(exports, pa.int32())],
+        + [pa.array(architecture, pa.string()), pa.array(imports, pa.int64()), pa.array(exports, pa.int64())],
         schema=_RESULT_ARROW,
     )
 
@@ -146,33 +143,41 @@ def _countable():
     return ~F.col("corrupted") & (F.col("n_directories") >= 2)
 
 
-def _with_headers(df, keep, strict_headers):
-    content = F.when(_countable(), F.col("content")).alias("content")
-    return header_columns(df.select(*keep, "content"), strict_headers=strict_headers).select(
+def _with_headers(df, keep, strict_headers, header_limit, usable=None):
+    content = F.when(_countable() if usable is None else usable, F.col("content")).alias("content")
+    rows = df.select(*keep, "content")
+    return header_columns(rows, strict_headers=strict_headers, header_limit=header_limit).select(
         *keep, content, *_HEADER_FIELDS
     )
 
 
-def extract_metadata(df: DataFrame, strict_headers: bool = True) -> DataFrame:
+def extract_metadata(
+    df: DataFrame, strict_headers: bool = True, header_limit: int | None = HEADER_LIMIT
+) -> DataFrame:
     """path, size, type, architecture, imports, exports from rows with the whole
     ``content`` of each file.
 
     A file whose headers are corrupted (see ``header_columns``) or lack the
     export and import directories gets ``(NULL, -1, -1)``; no content makes the
     batch fail. Counts follow every non-zero directory address, whatever the
-    directory's size field says.
+    directory's size field says. ``header_limit`` as in ``header_columns``.
     """
-    rows = _with_headers(df, CATALOG_COLUMNS, strict_headers)
+    rows = _with_headers(df, CATALOG_COLUMNS, strict_headers, header_limit)
     return rows.mapInArrow(_count_contents, RESULT_SCHEMA)
 
 
 def extract_from_store(
-    df: DataFrame, base: str, filesystem=None, strict_headers: bool = True, threads: int = 8
+    df: DataFrame,
+    base: str,
+    filesystem=None,
+    strict_headers: bool = True,
+    threads: int = 8,
+    header_limit: int = HEADER_LIMIT,
 ) -> DataFrame:
     """Same as ``extract_metadata`` for rows of path, size, type whose files lie
-    under ``base``: each task fetches the 8 KiB header of its own rows, then
-    only the section table and symbol lists, never whole files. A missing file
-    fails the task.
+    under ``base``: each task fetches the first ``header_limit`` bytes of its own
+    rows, then only the section table and symbol lists, never whole files. A
+    missing file fails the task.
 
     ``filesystem`` is a function giving a ``pyarrow.fs.FileSystem``; without it
     the scheme of ``base`` decides. ``threads`` files are read at a time.
@@ -194,17 +199,21 @@ def extract_from_store(
                 items = zip(batch.column("path").to_pylist(), batch.column("usable").to_pylist(), _headers(batch))
                 yield _result_batch(batch, list(pool.map(one, items)))
 
-    heads = read_files(df.select(CATALOG_COLUMNS), base, HEADER_LIMIT - 1, filesystem, threads)
-    rows = header_columns(heads, strict_headers=strict_headers).select(
+    heads = read_files(df.select(CATALOG_COLUMNS), base, header_limit - 1, filesystem, threads)
+    rows = header_columns(heads, strict_headers=strict_headers, header_limit=header_limit).select(
         *CATALOG_COLUMNS, F.coalesce(_countable(), F.lit(False)).alias("usable"), *_HEADER_FIELDS
     )
     return rows.mapInArrow(count_files, RESULT_SCHEMA)
 
 
-def file_sections(df: DataFrame, strict_headers: bool = True) -> DataFrame:
-    """One row per section of each sound file: path, idx, name without NULs,
-    address, raw size and position, and the raw sizes of all sections before."""
-    return _with_headers(df, ["path"], strict_headers).mapInArrow(_section_rows, SECTION_SCHEMA)
+def file_sections(
+    df: DataFrame, strict_headers: bool = True, header_limit: int | None = HEADER_LIMIT
+) -> DataFrame:
+    """One row per section of each sound file, whatever directories it has: path,
+    idx, name without NULs, address, raw size and position, and the raw sizes of all
+    sections before."""
+    sound = ~F.col("corrupted")
+    return _with_headers(df, ["path"], strict_headers, header_limit, sound).mapInArrow(_section_rows, SECTION_SCHEMA)
 
 
 def sections_by_name(sections: DataFrame) -> DataFrame:
@@ -212,10 +221,12 @@ def sections_by_name(sections: DataFrame) -> DataFrame:
     return sections.groupBy("path", "name").agg(F.max("idx").alias("idx"))
 
 
-def file_imports(df: DataFrame, strict_headers: bool = True) -> DataFrame:
+def file_imports(
+    df: DataFrame, strict_headers: bool = True, header_limit: int | None = HEADER_LIMIT
+) -> DataFrame:
     """One row per imported DLL of each sound file: path, position in the import
     table, number of symbols."""
-    return _with_headers(df, ["path"], strict_headers).mapInArrow(_import_rows, IMPORT_SCHEMA)
+    return _with_headers(df, ["path"], strict_headers, header_limit).mapInArrow(_import_rows, IMPORT_SCHEMA)
 
 
 def imports_by_file(imports: DataFrame) -> DataFrame:

@@ -39,18 +39,22 @@ HEADER_COLUMNS = [
 ]
 
 
-def header_columns(df: DataFrame, content: str = "content", strict_headers: bool = True) -> DataFrame:
+def header_columns(
+    df: DataFrame, content: str = "content", strict_headers: bool = True, header_limit: int | None = HEADER_LIMIT
+) -> DataFrame:
     """Add ``HEADER_COLUMNS`` to a DataFrame with file bytes.
 
-    Only the first 8 KiB of ``content`` are looked at, so a column holding just
-    that prefix gives the same answer as the whole file.
+    Only the first ``header_limit`` bytes of ``content`` are looked at, so a column
+    holding just that prefix gives the same answer as the whole file. 8 KiB is the
+    rule of the job this package does; headers that end later count as corrupted.
+    With None they are followed wherever they lie in ``content``.
 
     ``headers_read`` counts the bytes asked for, in steps of 1 KiB, until the
     headers parse. They parse once the fixed part of the optional header (96
     bytes, 112 for 64-bit) is complete; how a parser treats shorter headers is
     its own choice, this one rejects them. If they never parse, it is the
     number asked for before giving up: one empty read past the end of a short
-    file, 8 KiB at most.
+    file, ``header_limit`` at most.
 
     ``corrupted`` is true if the headers do not parse, if ``size_of_headers``
     exceeds ``headers_read`` (dropped by ``strict_headers=False``), or if the
@@ -59,7 +63,8 @@ def header_columns(df: DataFrame, content: str = "content", strict_headers: bool
     ``has_exports`` and ``has_imports`` are false for a zero address or zero
     size in them.
     """
-    data = f"substring(`{content}`, 1, {HEADER_LIMIT})"
+    limit = 2**31 - 1 if header_limit is None else header_limit
+    data = f"`{content}`" if header_limit is None else f"substring(`{content}`, 1, {limit})"
     window_size = COFF_SIZE + FIXED_PART_64 + 2 * DIRECTORY_SIZE
     strict = "or size_of_headers > headers_read" if strict_headers else ""
     directories = f"{COFF_SIZE} + _fixed"
@@ -74,14 +79,14 @@ def header_columns(df: DataFrame, content: str = "content", strict_headers: bool
         "_prefix": data,
         "_n": "coalesce(octet_length(_prefix), 0)",
         "_nt": f"if(_n >= {DOS_HEADER_SIZE} and hex(substring(_prefix, 1, 2)) = '4D5A', {u32('_prefix', LFANEW_AT)}, null)",
-        "_window": f"substring(_prefix, cast(least(_nt, {HEADER_LIMIT}) as int) + 1, {window_size})",
+        "_window": f"substring(_prefix, cast(least(_nt, {limit - 1}) as int) + 1, {window_size})",
         "_signed": f"octet_length(_window) >= {COFF_SIZE + FIXED_PART_32} and hex(substring(_window, 1, 4)) = '50450000'",
         "_magic": f"if(_signed, {u16('_window', COFF_SIZE)}, null)",
         "_fixed": f"if(_magic = {MAGIC_64}, {FIXED_PART_64}, {FIXED_PART_32})",
         "_end": f"if(_signed, _nt + {COFF_SIZE} + _fixed, null)",
         "is_pe": "coalesce(_end <= _n, false)",
         "headers_read": f"""cast(if(is_pe, {HEADER_STEP} * ceil(_end / {HEADER_STEP}),
-            least({HEADER_LIMIT}, {HEADER_STEP} * (ceil(_n / {HEADER_STEP}) + 1))) as int)""",
+            least({limit}, {HEADER_STEP} * (ceil(_n / {HEADER_STEP}) + 1))) as int)""",
         "size_of_headers": f"if(is_pe, {u32('_window', COFF_SIZE + SIZE_OF_HEADERS_AT)}, null)",
         "_architecture": f"case _magic when {MAGIC_32} then '32' when {MAGIC_64} then '64' end",
         "corrupted": f"not is_pe or _architecture is null {strict}",

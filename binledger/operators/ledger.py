@@ -12,15 +12,24 @@ from binledger.schemas import BROADCAST_MAX_ROWS, CATALOG_COLUMNS
 _LANES = 64
 
 
-def rows_for_batch(table: DataFrame, batch: DataFrame, max_rows: int | None) -> DataFrame:
+def _is_small(batch, max_rows, sampled=False):
+    """Whether the batch may be broadcast: the caller's bound is no larger than
+    ``BROADCAST_MAX_ROWS``, and holds, which a small job counts unless the batch is a
+    sample of that size by its making."""
+    if max_rows is None or max_rows > BROADCAST_MAX_ROWS:
+        return False
+    return sampled or batch.limit(max_rows + 1).count() <= max_rows
+
+
+def rows_for_batch(table: DataFrame, batch: DataFrame, max_rows: int | None, sampled: bool = False) -> DataFrame:
     """The rows of a big table that share a path with the batch.
 
-    ``max_rows`` is a proven bound on the rows of the batch (a sample size). Up
-    to ``BROADCAST_MAX_ROWS`` the batch's paths are broadcast, so the table is
-    read but not shuffled; beyond, or without a bound, the table is returned as
-    it is and the caller's shuffle does the matching.
+    Up to ``max_rows`` rows, if that is small and the batch keeps to it
+    (``_is_small``), the batch's paths are broadcast, so the table is read but not
+    shuffled; else the table is returned as it is and the caller's shuffle does the
+    matching.
     """
-    if max_rows is None or max_rows > BROADCAST_MAX_ROWS:
+    if not _is_small(batch, max_rows, sampled):
         return table
     paths = batch.select(F.col("path").alias("_batch_path")).distinct()
     return table.join(F.broadcast(paths), table["path"].eqNullSafe(F.col("_batch_path")), "left_semi")
@@ -42,7 +51,7 @@ def drop_processed(
 
 
 def drop_known_paths(
-    df: DataFrame, ledger: DataFrame, on_change: str = "skip", max_rows: int | None = None
+    df: DataFrame, ledger: DataFrame, on_change: str = "skip", max_rows: int | None = None, sampled: bool = False
 ) -> DataFrame:
     """Rows of ``df`` not recorded yet, duplicates kept: a test by key, file by file.
 
@@ -60,13 +69,13 @@ def drop_known_paths(
         raise ValueError(f"on_change must be 'skip' or 'replace': {on_change}")
     keys = ["path"] if on_change == "skip" else CATALOG_COLUMNS
     lane = F.pmod(F.xxhash64(*keys), F.lit(_LANES)).alias("_lane")
-    known = rows_for_batch(ledger, df, max_rows).select(*[F.col(c).alias(f"_known_{c}") for c in keys], lane)
+    known = rows_for_batch(ledger, df, max_rows, sampled).select(*[F.col(c).alias(f"_known_{c}") for c in keys], lane)
     known = known.distinct().drop("_lane")
     if on_change == "skip":
         same = F.col("path") == F.col("_known_path")
     else:
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in keys])
-    if on_change == "skip" and max_rows is not None and max_rows <= BROADCAST_MAX_ROWS:
+    if on_change == "skip" and _is_small(df, max_rows, sampled):
         # Distinct paths of the batch: no more than its rows.
         return df.join(F.broadcast(known), same, "left_anti")
     return repeat_rows(count_copies(df).join(known, same, "left_anti"))

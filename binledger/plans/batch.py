@@ -2,6 +2,7 @@
 
 import hashlib
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from binledger.operators.extract import extract_from_store
 from binledger.operators.ledger import append_ledger, current_ledger, drop_known_paths, drop_processed, rows_for_batch
 from binledger.operators.sample import balanced_sample
 from binledger.plans.spread import spread
-from binledger.schemas import CATALOG_COLUMNS, LEDGER_SCHEMA, LISTING_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
+from binledger.schemas import CATALOG_COLUMNS, CATALOG_SCHEMA, LEDGER_SCHEMA, LISTING_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
 from binledger.sources.files import file_catalog
 from binledger.sources.tables import ParquetTable
 
@@ -38,9 +39,9 @@ def choose_files(
         raise ValueError(f"on_change must be 'process' or 'skip': {on_change}")
     picked = balanced_sample(catalog, n, seed, strict).select(CATALOG_COLUMNS)
     if on_change == "skip":
-        return drop_known_paths(distinct_files(picked), ledger, "skip", max_rows=n)
+        return drop_known_paths(distinct_files(picked), ledger, "skip", max_rows=n, sampled=True)
     # The difference is one of sets: it drops copies as well.
-    known = rows_for_batch(ledger, picked, n)
+    known = rows_for_batch(ledger, picked, n, sampled=True)
     if "batch" in ledger.columns:
         known = current_ledger(known)
     return drop_processed(picked, known)
@@ -55,7 +56,7 @@ def run_batch(
     ledger=None,
     base: str | None = None,
     batch: int | None = None,
-    seed: int = 42,
+    seed: int | None = None,
     strict: bool = True,
     strict_headers: bool = True,
     on_change: str = "process",
@@ -80,14 +81,20 @@ def run_batch(
     after a failure goes on from the staged rows and appends only what is
     missing in each table.
 
+    ``seed`` defaults to the batch number, so later batches draw other files.
+
     Raises BatchRejected, with nothing appended, if a row breaks a constraint of
-    the results table. A changed file chosen again does: its path is stored
+    the results table; the violations are a table beside the staged rows. A changed file chosen again does: its path is stored
     already. ``on_change='skip'`` avoids that.
     """
     batch = time.time_ns() // 1_000_000 if batch is None else batch
+    seed = batch if seed is None else seed
     if base is None:
         base = list(roots)[0].rstrip("/").rsplit("/", 1)[0]
-    wanted = (list(roots), glob, n, seed, on_change, results.location, ledger and ledger.location)
+    wanted = (
+        list(roots), base, glob, n, seed, strict, strict_headers, on_change, results.location, ledger and ledger.location,
+        _name_of(filesystem), None if catalog is None else _fingerprint(catalog),
+    )
     staged = ParquetTable(f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}")
     resume = _is_complete(spark, staged.path)
     if not resume:
@@ -96,25 +103,41 @@ def run_batch(
             listing = ParquetTable(staged.path + "-files")
             file_catalog(spark, roots, glob, base, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
             catalog = listing.read(spark, LISTING_SCHEMA)
-        chosen = choose_files(catalog, _recorded(spark, ledger, results), n, seed, strict, on_change)
-        parsed = extract_from_store(spread(chosen, n), base, filesystem, strict_headers)
+        picked = ParquetTable(staged.path + "-chosen")
+        done = _recorded(spark, ledger, results)
+        choose_files(catalog, done, n, seed, strict, on_change).write.mode("overwrite").parquet(picked.path)
+        chosen = picked.read(spark, CATALOG_SCHEMA)
+        parsed = extract_from_store(spread(chosen, chosen.count()), base, filesystem, strict_headers)
         parsed.write.mode("overwrite").parquet(staged.path)
     rows = staged.read(spark, RESULT_SCHEMA)
-    store_batch(spark, rows, batch, ledger=ledger, results=results, max_rows=n, resume=resume)
+    violations = staged.path + "-violations"
+    store_batch(spark, rows, batch, ledger=ledger, results=results, max_rows=n, resume=resume, violations=violations)
     return rows
 
 
 def store_batch(
-    spark: SparkSession, rows: DataFrame, batch: int, *, ledger, results, max_rows: int | None = None, resume: bool = True
+    spark: SparkSession,
+    rows: DataFrame,
+    batch: int,
+    *,
+    ledger,
+    results,
+    max_rows: int | None = None,
+    resume: bool = True,
+    violations: str | None = None,
 ) -> None:
     """Check result rows, held in a table of their own, and append them to the
     results and the ledger. ``resume`` leaves out what is there already;
-    ``max_rows`` bounds the number of rows, as in ``rows_for_batch``."""
+    ``max_rows`` as in ``rows_for_batch``. All violations are written to the folder
+    ``violations``, by default a new one; the error names it and counts them."""
     stored = results.read(spark, RESULT_SCHEMA)
     fresh = drop_processed(rows, stored, max_rows, RESULT_COLUMNS) if resume else rows
-    examples = check_results(fresh, stored, max_rows).limit(5).collect()
-    if examples:
-        raise BatchRejected("; ".join(f"{v['rule']}: {v['path']}" for v in examples))
+    found = ParquetTable(violations or f"{_staging_folder(spark, None)}/{batch}-{uuid.uuid4().hex}-violations")
+    check_results(fresh, stored, max_rows).write.mode("overwrite").parquet(found.path)
+    broken = spark.read.schema("path string, rule string, n_rows long").parquet(found.path)
+    counts = broken.groupBy("rule").agg(F.sum("n_rows").alias("n")).orderBy("rule").collect()  # one row per rule
+    if counts:
+        raise BatchRejected("; ".join(f"{c['rule']}: {c['n']} rows" for c in counts) + f"; see {found.path}")
     results.append(fresh)
     if ledger is not None:
         files = rows.select(CATALOG_COLUMNS)
@@ -146,6 +169,17 @@ def _staging_folder(spark, staging):
     return folder.rstrip("/") + "/batches"
 
 
+def _fingerprint(catalog):
+    """Tells catalogues apart, in whatever order their rows come."""
+    columns = [c for c in LISTING_SCHEMA.names if c in catalog.columns]
+    total = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    return [str(x) for x in catalog.agg(F.count("*"), total).first()]
+
+
+def _name_of(filesystem):
+    return filesystem and f"{filesystem.__module__}.{filesystem.__qualname__}"
+
+
 def _digest(value):
     return hashlib.md5(repr(value).encode()).hexdigest()[:16]
 

@@ -4,7 +4,6 @@ but here a row of some 60 bytes stands for a whole file."""
 from pyspark.sql import DataFrame
 
 FILES_PER_TASK = 2_000
-MAX_TASKS = 50_000
 
 
 def spread(df: DataFrame, n: int) -> DataFrame:
@@ -12,11 +11,4 @@ def spread(df: DataFrame, n: int) -> DataFrame:
     execution does not merge them."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(min(n, cores), -(-n // FILES_PER_TASK), 1)
-    return df.repartition(min(tasks, MAX_TASKS), "path")
-
-
-def widen(table: DataFrame) -> DataFrame:
-    """A table scan with a task for every core at least: one small file would be
-    one task. Larger tables stay as they are, without a shuffle."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return df.repartition(tasks, "path")

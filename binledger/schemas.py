@@ -22,8 +22,8 @@ RESULT_SCHEMA = T.StructType(
     CATALOG_SCHEMA.fields
     + [
         T.StructField("architecture", T.StringType()),
-        T.StructField("imports", T.IntegerType()),
-        T.StructField("exports", T.IntegerType()),
+        T.StructField("imports", T.LongType()),
+        T.StructField("exports", T.LongType()),
     ]
 )
 
@@ -39,6 +39,10 @@ SECTION_SCHEMA = T.StructType(
     ]
 )
 
+# Largest batch whose paths may be broadcast. An object key has at most 1024
+# bytes, so this many keys stay near 100 MB in the worst case.
+BROADCAST_MAX_ROWS = 100_000
+
 IMPORT_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -46,7 +50,3 @@ IMPORT_SCHEMA = T.StructType(
         T.StructField("n_symbols", T.IntegerType()),
     ]
 )
-
-# Largest batch whose paths may be broadcast. An object key has at most 1024
-# bytes, so this many keys stay near 100 MB in the worst case.
-BROADCAST_MAX_ROWS = 100_000

@@ -14,18 +14,20 @@ from binledger.functions.globs import glob_to_regex, raw_path
 from binledger.schemas import CATALOG_COLUMNS
 
 # Most file bytes a Python worker holds at a time, beyond a single larger file.
+_URI = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?(/[^?#]*)"
 _PIECE_BYTES = 64 * 1024 * 1024
-_LISTING_TASKS = 1_000
 
 
 def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
     """Catalogue rows from any table of file URIs and sizes, such as a store's
     inventory report: path is the raw (percent-encoded) URI path without scheme
     and host, type the text after the last dot of the name, or the whole name.
-    ``class_value`` defaults to the first folder of the path, if it is a number."""
+    A value that is no URI gives a row without path and type. ``class_value``
+    defaults to the first folder of the path, if it is a number."""
     uri = F.col(uri) if isinstance(uri, str) else uri
     size = F.col(size) if isinstance(size, str) else size
-    path = F.parse_url(uri, F.lit("PATH"))
+    # By a pattern, as parsing fails on a blank or bracket in a name.
+    path = F.when(uri.rlike(_URI), F.regexp_extract(uri, _URI, 1))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.regexp_extract("path", "^/([0-9]+)/", 1).try_cast("int")
     class_column = folder if class_value is None else F.lit(class_value).cast("int")
@@ -61,7 +63,7 @@ def file_catalog(
     settings (``fs.s3a.*`` endpoint, credentials) are those of the session.
 
     Spark's file scan passes over files of zero bytes; they come from a second
-    listing, one task per root, through ``filesystem`` (see ``store_connector``);
+    listing, dealt over as many tasks as roots, through ``filesystem`` (see ``store_connector``);
     ``empty_files=False`` leaves them out.
 
     Each folder is listed by one process, and the list kept on the driver; more
@@ -129,7 +131,7 @@ def _empty_files(spark, roots, glob, base, with_content, filesystem):
 
     rows = [(root, value, _folders_kept(root, base)) for root, value in roots.items()]
     folders = spark.createDataFrame(rows, "root string, class int, folders int")
-    files = folders.repartition(min(len(rows), _LISTING_TASKS), "root").mapInArrow(
+    files = folders.repartition(len(rows)).mapInArrow(
         list_empty, "path string, size long, type string, class int"
     )
     return files.withColumn("content", F.lit(b"")) if with_content else files

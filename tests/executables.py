@@ -115,8 +115,6 @@ def brute_force(data: bytes):
     if u32(fixed_end):
         at, end = place(u32(fixed_end))
         exports = u32(at + 20) if at + 40 <= end else 0
-    if max(imports, exports) > 2**31 - 1:
-        return CORRUPTED
     return "64" if wide else "32", imports, exports
 
 

@@ -32,7 +32,7 @@ class Store:
 
     def run(self, spark, n=10, **options):
         return B.run_batch(
-            spark, self.roots, n, **{"results": self.results, "ledger": self.ledger, "strict": False, **options}
+            spark, self.roots, n, **{"results": self.results, "ledger": self.ledger, "strict": False, "seed": 42, **options}
         )
 
     def stored(self, spark):
@@ -76,6 +76,35 @@ def test_unbounded_plan_gives_the_same(spark, store, monkeypatch):
     assert store.stored(spark) == store.expected(store.files)
 
 
+def test_another_request_is_another_batch(spark, store):
+    """The same batch number with another catalogue, base or header rule does its own
+    files, and gives none of the first one's rows."""
+    base, schema = f"{store.folder}/bucket", "path string, size long, type string, class int"
+    found = [(f"/{p.parent.name}/{p.name}", p.stat().st_size, p.suffix[1:]) for p in sorted((store.folder / "bucket").glob("[01]/*.exe"))]
+    first, second = ([(*f, int(f[0][1])) for f in half if " " not in f[0]] for half in (found[::2], found[1::2]))
+    for files in (first, second):
+        catalog = spark.createDataFrame(files, schema)
+        got = store.run(spark, 1000, batch=1, catalog=catalog, base=base)
+        assert {r.path for r in got.collect()} == {f[0] for f in files}
+    again = spark.createDataFrame(first, schema)
+    assert store.run(spark, 1000, batch=1, catalog=again, base=base, strict_headers=False).count() == 0
+
+
+def test_all_violations_are_kept(spark, tmp_path):
+    bad = [(f"/0/{i}.exe", None if i % 2 else 1, "exe", "16", 0, 0) for i in range(40)]
+    batch = spark.createDataFrame(bad, RESULT_SCHEMA)
+    results = ParquetTable(str(tmp_path / "results"))
+    with pytest.raises(B.BatchRejected, match="architecture_unknown: 40 rows; size_missing: 20 rows; see ") as error:
+        B.store_batch(spark, batch, 1, ledger=None, results=results)
+    kept = spark.read.parquet(str(error.value).rsplit("see ", 1)[1])
+    assert kept.count() == 60 and results.read(spark, RESULT_SCHEMA).count() == 0
+
+
+def test_default_seed_moves_on(spark, store):
+    paths = [{r.path for r in store.run(spark, 10, batch=b, seed=None).collect()} for b in (1, 2, 3)]
+    assert not paths[0] & paths[1] and len(set().union(*paths)) > 10
+
+
 def test_strict_sample_fails_before_anything_is_stored(spark, store):
     with pytest.raises(ValueError, match="larger than class"):
         store.run(spark, 1000, batch=1, strict=True)
@@ -86,7 +115,7 @@ def test_changed_file(spark, store):
     store.run(spark, 1000, batch=1)
     (store.folder / "bucket/0/a.exe").write_bytes(build(64, [9, 9, 9]))
     assert store.run(spark, 1000, batch=2, on_change="skip").count() == 0
-    with pytest.raises(B.BatchRejected, match="path_stored_already: /0/a.exe"):
+    with pytest.raises(B.BatchRejected, match="path_stored_already: 1 rows"):
         store.run(spark, 1000, batch=3)
     assert store.stored(spark) == store.expected(store.files)
 

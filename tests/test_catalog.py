@@ -118,9 +118,13 @@ def test_store_uri():
 
 def test_describe_files(spark):
     listing = spark.createDataFrame(
-        [("s3a://b/0/a.b.exe", 1), ("s3a://b/1/x%20y", 2**31), ("s3a://b/in/z+%2B.d%20l", 3)], "uri string, n long"
+        [("s3a://b/0/a.b.exe", 1), ("s3a://b/1/x%20y", 2**31), ("s3a://b/in/z+%2B.d%20l", 3), ("s3a://b/1/a [1].exe?x", 4), ("no uri", 5)], "uri string, n long"
     )
-    assert rows(describe_files(listing, "uri", "n")) == [
+    assert rows(describe_files(listing, "uri", "n").filter("size > 3 and size < 9")) == [
+        ("/1/a [1].exe", 4, "exe", 1),
+        (None, 5, None, None),
+    ]
+    assert rows(describe_files(listing, "uri", "n").filter("size < 4 or size > 9")) == [
         ("/0/a.b.exe", 1, "exe", 0),
         ("/1/x%20y", 2147483648, "x y", 1),
         ("/in/z+%2B.d%20l", 3, "d l", None),
@@ -152,11 +156,19 @@ def test_glob_on_long_names(files):
 
 
 def test_path_parts(spark, files):
-    names = ["test_path/test_name.dll", "/0/a.b.exe", "/a.exe", "plain", "/0/.profile", "/0/..ab", "/1/x..ab", "a//b.c", "/0/d."]
-    got = {r.path: (r.dir, r.name, r.extension) for r in path_parts(files([(n, 1, "") for n in names])).collect()}
-    for path, parts in got.items():
-        name, extension = os.path.splitext(os.path.basename(path))
-        assert parts == (os.path.dirname(path), name, extension.split(".")[-1]), path
+    want = {
+        "store/setup.dll": ("store", "setup", "dll"),
+        "/0/a.b.exe": ("/0", "a.b", "exe"),
+        "/a.exe": ("/", "a", "exe"),
+        "plain": ("", "plain", ""),
+        "/0/.profile": ("/0", ".profile", ""),
+        "/0/..ab": ("/0", "..ab", ""),
+        "/1/x..ab": ("/1", "x.", "ab"),
+        "a//b.c": ("a", "b", "c"),
+        "/0/d.": ("/0", "d", ""),
+    }
+    got = path_parts(files([(n, 1, "") for n in want])).collect()
+    assert {r.path: (r.dir, r.name, r.extension) for r in got} == want
 
 
 def test_distinct_union_counts(spark, files):

@@ -14,6 +14,7 @@ from binledger.operators.extract import (
     imports_by_file,
     sections_by_name,
 )
+from binledger.functions.symbols import ZeroEndedLists
 from binledger.operators.headers import header_columns
 from binledger.plans import table_files
 from binledger.schemas import RESULT_SCHEMA
@@ -103,9 +104,25 @@ def test_too_few_directories_is_the_sentinel(spark):
     assert extracted(extract_metadata(df)) == {"/0/d1.exe": CORRUPTED, "/0/d2.exe": ("32", 3, 4)}
 
 
-def test_export_count_beyond_int_is_the_sentinel(spark):
+def test_export_count_beyond_int_is_kept(spark):
     df = contents(spark, {"/0/e.dll": build(32, [1], 0x80000000), "/0/f.dll": build(32, [1], 0x7FFFFFFF)})
-    assert extracted(extract_metadata(df)) == {"/0/e.dll": CORRUPTED, "/0/f.dll": ("32", 1, 0x7FFFFFFF)}
+    assert extracted(extract_metadata(df)) == {"/0/e.dll": ("32", 1, 0x80000000), "/0/f.dll": ("32", 1, 0x7FFFFFFF)}
+
+
+def test_headers_behind_the_limit(spark):
+    df = contents(spark, {"/0/a.exe": build(64, [3], 2, header_offset=20_000)})
+    assert extracted(extract_metadata(df)) == {"/0/a.exe": CORRUPTED}
+    assert extracted(extract_metadata(df, header_limit=None)) == {"/0/a.exe": ("64", 3, 2)}
+    assert extracted(extract_metadata(df, header_limit=32_768)) == {"/0/a.exe": ("64", 3, 2)}
+
+
+def test_scan_keeps_stretches_not_zeros():
+    """Lists all over a region of zeros, then of ones: what is kept follows the lists."""
+    for data in (bytes(1 << 20), b"\1" * (1 << 20)):
+        lists = ZeroEndedLists(lambda pos, n, data=data: data[pos : pos + n], len(data), 4)
+        for start in range(0, 4000, 4):
+            assert lists.length(start, len(data)) == (0 if data[0] == 0 else (len(data) - start) // 4)
+        assert sum(map(len, lists.starts.values())) <= 1000
 
 
 def test_damaged_files_match_brute_force(spark):
@@ -150,6 +167,12 @@ def test_sections(spark):
     assert {(r.name, r.idx) for r in sections_by_name(sections).collect()} == {(".text", 2), (".rsrc", 1), (".idata", 3)}
 
 
+def test_sections_without_directories(spark):
+    files = {f"/0/{n}.exe": build(32, [2], n_directories=n) for n in (0, 1, 2)}
+    df = contents(spark, files)
+    assert {r.path: r.n for r in file_sections(df).groupBy("path").agg(F.count("*").alias("n")).collect()} == dict.fromkeys(files, 2)
+
+
 def test_section_count_beyond_the_file_is_cut(spark):
     data = bytearray(build(32, [2]))
     struct.pack_into("<H", data, 64 + 6, 65535)

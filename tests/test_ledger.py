@@ -32,6 +32,11 @@ def test_drop_known_paths(files, max_rows):
         drop_known_paths(batch, done, "other")
 
 
+def test_larger_batch_than_said_is_not_broadcast(files):
+    plan = plan_of(drop_processed(files(BATCH), files(DONE), len(BATCH) - 1))
+    assert "Broadcast" not in plan
+
+
 def test_bounded_batch_does_not_shuffle_the_ledger(spark, files, tmp_path):
     """The ledger is filtered against broadcast paths right above its scan."""
     files(DONE).write.parquet(str(tmp_path / "l"))

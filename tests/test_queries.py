@@ -24,7 +24,7 @@ def duck():
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
