@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.llm.staging import shared_folder
+from binledger.llm.staging import shared_folder, staged
 
 ORDER = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 _AT_ONCE = 1 << 20
 _BLOCKS = "kind int, block long, place int, word binary, gram long, n long, id {key}, train boolean, tokens binary"
 
@@ -212,13 +212,16 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
         if block.keys:
             yield from block.batches(number, key_type)
 
+    # A word or context is a row for every block that has it, so blocks are large.
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.coalesce(max(-(-total // BLOCK_BYTES), spark.sparkContext.defaultParallelism))
     folder, schema = shared_folder(spark, "ppm-blocks"), _BLOCKS.format(key=kind)
     rows.mapInArrow(code, schema).write.partitionBy("kind").option("compression", "zstd").parquet(folder)
     blocks = lambda: spark.read.schema(schema).parquet(folder)  # noqa: E731  (each with columns of its own)
     words = blocks().filter("kind = 0").select("block", "place", "word", "n")
     grams = blocks().filter("kind = 1").select("block", "place", "gram", "n")
     documents = blocks().filter("kind = 2").select("block", "id", "train", "tokens")
-    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
+    counts = staged(words.groupBy("word").agg(F.sum("n").alias("c")), "ppm-words")
     n_words, v_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     n_ends = documents.filter("train").count()
     n_all, v_all = n_words + n_ends, v_words + (n_ends > 0)
@@ -229,11 +232,11 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
 
     def trie(frame: pd.DataFrame) -> pd.DataFrame:
         gram = frame["gram"].to_numpy()
-        return pd.DataFrame({"gram": gram, "value": code_lengths(gram, frame["n"].to_numpy().astype(float), order0)})
+        return pd.DataFrame({"gram": gram, "value": code_lengths(gram, frame["n"].to_numpy().astype(float), order0).astype(np.float32)})
 
-    coded = sums.groupBy(F.expr("gram >> 8 & 255")).applyInPandas(trie, "gram long, value double")
-    of_words = words.join(counts, "word").select(F.col("block").alias("of_block"), F.lit(0).alias("kind"), "place", F.col("c").cast("double").alias("value"), "word", F.lit(None).cast("long").alias("gram"))
-    of_grams = grams.join(coded, "gram").select(F.col("block").alias("of_block"), F.lit(1).alias("kind"), "place", "value", F.lit(None).cast("binary").alias("word"), "gram")
+    coded = sums.groupBy(F.expr("gram >> 8 & 255")).applyInPandas(trie, "gram long, value float")
+    of_words = words.join(counts, "word").select(F.col("block").alias("of_block"), F.lit(0).alias("kind"), "place", "c", F.lit(None).cast("float").alias("value"), "word", F.lit(None).cast("long").alias("gram"))
+    of_grams = grams.join(coded, "gram").select(F.col("block").alias("of_block"), F.lit(1).alias("kind"), "place", F.lit(None).cast("long").alias("c"), "value", F.lit(None).cast("binary").alias("word"), "gram")
     looked_up = of_words.unionByName(of_grams)
 
     def score(documents: pa.Table, found: pa.Table) -> pa.Table:
@@ -242,9 +245,9 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
             part = part.take(pc.sort_indices(part.column("place")))
             return [part.column(c) for c in columns]
 
-        c, names = of(0, "value", "word")
+        c, names = of(0, "c", "word")
         log_of, grams = of(1, "value", "gram")
-        c, names, log_of, grams = c.to_numpy(), names.to_pylist(), log_of.to_numpy(), grams.to_numpy()
+        c, names, log_of, grams = c.to_numpy(), names.to_pylist(), log_of.to_numpy().astype(float), grams.to_numpy()
         base, known, out, held, size = np.log10(c + 1), c > 0, [], [], 0
 
         def coded():

@@ -164,11 +164,11 @@ def test_ppm(spark, order, monkeypatch):
     held = F.coalesce(F.col("doc_id") % 5 == 2, F.lit(False))
     got = ppm.ppm_scores(table(spark, texts), ~held, order=order).collect()
     want = list(brute_ppm([(t, i is None or i % 5 != 2) for i, t in texts], order))
-    rounded = lambda rows: sorted((a, b, c, round(d, 5), round(e, 5)) for a, b, c, d, e in rows)
-    assert rounded(r[2:] for r in got) == rounded(want)
+    for one, other in zip(sorted(tuple(r)[2:] for r in got), sorted(want), strict=True):
+        assert one[:3] == other[:3] and np.allclose(one[3:], other[3:], rtol=1e-6)
     assert ppm.ppm_scores(table(spark, []), F.lit(True)).count() == 0
     unlearned = ppm.ppm_scores(table(spark, [(1, "ab")]), F.lit(False)).first()
-    assert unlearned["n_known"] == 0 and abs(unlearned["score"] - 4 * math.log10(1 / 256)) < 1e-9
+    assert unlearned["n_known"] == 0 and abs(unlearned["score"] - 4 * math.log10(1 / 256)) < 1e-5
 
 
 def brute_simhash(text, n=4):
