@@ -15,7 +15,9 @@ _NAME = r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
 
 
 def _after(titles):
-    return "(?<=" + "|".join(rf"(?<![\p{{L}}]){t}\.? " for t in titles) + f")({_NAME})"
+    """Names behind a title. What is cheap to see comes first: most places have no
+    capital letter."""
+    return r"(?=\p{Lu})(?<= )(?<=" + "|".join(rf"(?<!\p{{L}}){t}\.? " for t in titles) + f")({_NAME})"
 
 
 # Groups 1 and 2 are names behind a title; the rest of an entity has no group.
@@ -24,17 +26,17 @@ PATTERN = "|".join(
         _after(MALE),
         _after(FEMALE),
         r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
-        r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
-        r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+        r"(?=[A-Z]{2}[0-9]{2})(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
         r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{24,}+",
+        r"(?=[0-9(+])(?:(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
         r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
         r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
         r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])",
         r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-        r"(?<![0-9])[0-9]{9,12}(?![0-9])",
+        r"(?<![0-9])[0-9]{9,12}(?![0-9]))",
     ]
 )
-_MAY_HAVE = r"[0-9@]|" + "|".join(rf"{t}\.? \p{{Lu}}" for t in [*MALE, *FEMALE])
+_TITLED = "(?=[" + "".join(sorted({t[0] for t in [*MALE, *FEMALE]})) + "])(?:" + "|".join([*MALE, *FEMALE]) + r")\.? \p{Lu}"
 _MOST_ROUNDS = 64
 
 
@@ -234,10 +236,14 @@ def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFram
     """
     value, own = F.col(f"`{text}`"), [c for c in df.columns if c != "n_entities"]
     passed = [F.col(f"`{c}`") for c in own]
-    found = F.when(value.rlike(_MAY_HAVE), F.regexp_extract_all(value, F.lit(PATTERN), F.lit(0)))
-    listed = df.select(*passed, F.coalesce(found, F.array().cast("array<string>")).alias("_mentions"))
+    may_have = value.rlike("[0-9@]") | value.rlike(_TITLED)
+    found = F.when(may_have, F.regexp_extract_all(value, F.lit(PATTERN), F.lit(0)))
+    # A generator's output: filters on it are not worked out anew below.
+    mentions = F.struct(F.coalesce(found, F.array().cast("array<string>")).alias("_mentions"))
+    listed = df.select(*passed, F.inline(F.array(mentions)))
     clean = listed.filter(F.size("_mentions") == 0).select(*passed, F.lit(0).alias("n_entities"))
-    groups = [F.regexp_extract_all(value, F.lit(PATTERN), F.lit(g)) for g in (1, 2)]
+    none = F.array_repeat(F.lit(""), F.size("_mentions"))
+    groups = [F.when(value.rlike(_TITLED), F.regexp_extract_all(value, F.lit(PATTERN), F.lit(g))).otherwise(none) for g in (1, 2)]
     hits = listed.filter(F.size("_mentions") > 0).select(
         *passed, "_mentions", groups[0].alias("_male"), groups[1].alias("_female"), F.monotonically_increasing_id().alias("_row")
     )
