@@ -39,11 +39,11 @@ def _buckets(codes, lengths, n_buckets):
 
 
 def _parts(text, lengths):
-    """A text in parts of bounded size that overlap, so that no n-gram is lost or
-    counted twice (but those of the shorter lengths in the overlap)."""
-    step = _AT_ONCE
-    for at in range(0, max(len(text), 1), step):
-        yield text[at : at + step]
+    """A text in parts of ``_AT_ONCE`` characters, each with the last ones of the part
+    before, so that no n-gram is lost. At a cut those of the overlap count twice, and a
+    few with a blank are added."""
+    for at in range(0, max(len(text), 1), _AT_ONCE):
+        yield text[max(at - max(lengths) + 1, 0) : at + _AT_ONCE]
 
 
 def train(
