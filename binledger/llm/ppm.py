@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from binledger.llm.staging import shared_folder, staged
 
 ORDER = 5
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 48 << 20
 _AT_ONCE = 1 << 20
 _BLOCKS = "kind int, block long, place int, word binary, gram long, n long, id {key}, train boolean, tokens binary"
 
@@ -115,7 +115,8 @@ class _Block:
         self.order, self.size = order, 0
         self.keys, self.train, self.rows, self.place = [], [], [], {}
         self.n, self.every = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.grams, self.sums, self.texts, self.waiting = np.zeros(0, np.int64), np.zeros(0), [], 0
+        self.grams, self.sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts, self.waiting = {True: [], False: []}, 0
 
     def add(self, key, train, text):
         words = text.lower().split()  # at 0x20 and 0x09 to 0x0D
@@ -130,19 +131,23 @@ class _Block:
         self.keys.append(key)
         self.train.append(train)
         self.rows.append(row)
-        self.texts.append((train, coded_text(words)))
+        self.texts[train].append(coded_text(words))
         self.waiting += len(text)
         self.size += len(text)
-        if self.waiting >= _AT_ONCE:
+        if self.waiting >= 2 * _AT_ONCE:
             self._count()
 
     def _count(self):
-        train = np.array([t for t, _ in self.texts], float)
-        for grams, of in grams_of([x for _, x in self.texts], self.order):
-            grams, sums = np.append(self.grams, grams), np.append(self.sums, train[of])
-            self.grams, place = np.unique(grams, return_inverse=True)
-            self.sums = np.bincount(place, sums, len(self.grams))
-        self.texts, self.waiting = [], 0
+        for train, texts in self.texts.items():
+            found = [grams for grams, _ in grams_of(texts, self.order)]
+            grams, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+            every = np.unique(np.concatenate([self.grams, grams]))
+            sums = np.zeros(len(every), np.int64)
+            sums[np.searchsorted(every, self.grams)] = self.sums
+            if train:
+                sums[np.searchsorted(every, grams)] += counts
+            self.grams, self.sums = every, sums
+        self.texts, self.waiting = {True: [], False: []}, 0
 
     def batches(self, number, key_type):
         """The block's rows for the written table."""
@@ -166,7 +171,7 @@ class _Block:
             yield batch(0, len(part), place=pa.array(np.arange(a, a + len(part), dtype=np.int32)), word=pa.array([words[i] for i in part], pa.binary()), n=pa.array(self.n[part]))
         for a in range(0, g, step):
             part = self.grams[a : a + step]
-            yield batch(1, len(part), place=pa.array(np.arange(a, a + len(part), dtype=np.int32)), gram=pa.array(part), n=pa.array(self.sums[a : a + step].astype(np.int64)))
+            yield batch(1, len(part), place=pa.array(np.arange(a, a + len(part), dtype=np.int32)), gram=pa.array(part), n=pa.array(self.sums[a : a + step]))
         for a in range(0, d, 1000):
             some = self.rows[a : a + 1000]
             # Byte planes: the first of all numbers, the second of all, ...
@@ -209,6 +214,7 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
                 if block.size >= BLOCK_BYTES:
                     yield from block.batches(number, key_type)
                     block, number = _Block(order), number + 1
+                    pa.default_memory_pool().release_unused()
         if block.keys:
             yield from block.batches(number, key_type)
 
@@ -269,6 +275,7 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
                 held, size = [], 0
         totals += coded() if held else []
         n, n_known, base_score = zip(*out) if out else [()] * 3
+        pa.default_memory_pool().release_unused()  # workers live on
         return pa.table(
             {
                 key: documents.column("id"),
