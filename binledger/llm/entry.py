@@ -96,7 +96,7 @@ def op9_token_files(spark, sf_dir):
 def op10_fuzzy_lines(spark, sf_dir):
     from binledger.llm import lines
 
-    return lines.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lines.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
 
 
 def queries():

@@ -144,7 +144,9 @@ def blocks(number, radius: int, extra: int):
     return F.array(*tables)
 
 
-def shard_links(numbers: DataFrame, radius: int, extra: int = 2, every: bool = False) -> DataFrame:
+def shard_links(
+    numbers: DataFrame, radius: int, extra: int = 2, every: bool = False, keys: str | None = None, slack: float | None = None
+) -> DataFrame:
     """Links (a, b) between ids whose numbers differ in ``radius`` bits or fewer.
 
     ``numbers``: distinct id and BIGINT fp, best a written table, as it is read twice.
@@ -156,9 +158,14 @@ def shard_links(numbers: DataFrame, radius: int, extra: int = 2, every: bool = F
     Keys of over about ``SHARD_NODES`` numbers, found in a sample of one number in
     ``_SAMPLED``, are dealt out by hash into lots of that size; each pair of lots is a
     shard of its own. What the sample misses is not lost, its shard is only larger.
+
+    A column ``keys`` of lists of hashes names other shards in place of these tables; then
+    only numbers that share a key are linked. With ``slack`` there is a column
+    size, too, and those whose sizes differ by more than this share of the larger are not linked.
     """
-    labels = ["label"] if every else []
-    keyed = numbers.select("id", "fp", *labels, F.explode(blocks(F.col("fp"), radius, extra)).alias("key"))
+    labels = [*(["label"] if every else []), *([] if slack is None else ["size"])]
+    tables = F.array_distinct(keys) if keys else blocks(F.col("fp"), radius, extra)
+    keyed = numbers.select("id", "fp", *labels, F.explode(tables).alias("key"))
     sampled = keyed.filter(F.pmod(F.xxhash64("fp", F.lit("sample")), F.lit(_SAMPLED)) == 0)
     found = sampled.groupBy("key").agg((F.count("*") * _SAMPLED).alias("n")).filter(F.col("n") > SHARD_NODES)
     hot = staged(found.select("key", F.ceil(F.col("n") / SHARD_NODES).cast("int").alias("lots")), "hot-keys")
@@ -179,9 +186,14 @@ def shard_links(numbers: DataFrame, radius: int, extra: int = 2, every: bool = F
             group = np.unique(frame["shard"].to_numpy(), return_inverse=True)[1]
             tree = BKTree(fp, group)
             labels = frame["label"].to_numpy() if every else np.arange(len(fp))
+            sizes = None if slack is None else frame["size"].to_numpy()
             for at in range(0, len(fp), SHARD_NODES):
                 queries = slice(at, at + SHARD_NODES)
                 for who, node in tree.search(fp[queries], group[queries], radius):
+                    if slack is not None:
+                        one, other = sizes[who + at], sizes[node]
+                        fits = np.abs(one - other) <= slack * np.maximum(one, other) + 1e-9
+                        who, node = who[fits], node[fits]
                     if every:
                         new = (labels[who + at] != labels[node]) & (ids[who + at] > ids[node])
                         yield pd.DataFrame({"a": ids[who + at][new], "b": ids[node][new]})

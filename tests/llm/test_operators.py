@@ -448,6 +448,27 @@ def test_fuzzy_lines(spark):
     assert lines.dedup_lines(table(spark, [])).count() == 0
 
 
+def edited_lines():
+    """Lines of 8 to 60 words and, of each, one with every sixth word replaced."""
+    own = random.Random(3)
+    word = lambda: "".join(own.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(own.randrange(2, 9)))
+    every = [[word() for _ in range(n)] for n in (8, 12, 20, 35, 60) for _ in range(16)]
+    changed = [[word() if i % 6 == 3 else w for i, w in enumerate(x)] for x in every]
+    return [" ".join(x) for x in every + changed]
+
+
+def test_fuzzy_lines_recall(spark):
+    # Against edit similarity of all pairs, without a filter by fingerprints.
+    texts = edited_lines()
+    close = [(a, b) for a in range(len(texts)) for b in range(a) if brute_distance(texts[a], texts[b]) <= 0.2 * max(len(texts[a]), len(texts[b]))]
+    of = grouped(range(len(texts)), close)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(table(spark, list(enumerate(texts))), runs=True).collect()}
+    want = {i: t if of[i] == i else "" for i, t in enumerate(texts)}
+    lost = [i for i in got if got[i] != want[i]]
+    assert len(close) >= 40 and not [i for i in lost if not got[i]]
+    assert len(lost) <= 0.1 * len(close)
+
+
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as entry
     import corpus_pipeline
