@@ -469,6 +469,21 @@ def test_fuzzy_lines_recall(spark):
     assert len(lost) <= 0.1 * len(close)
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    a, b, c, d = BASE[6:10]
+    rows = [(1, a), (2, a), (2, b), (3, b), (3, b), (None, a), (None, c), (None, c), (None, d)]
+    docs = table(spark, rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert same_rows(got.select("doc_id", "text").collect(), [(1, a), (2, b), (None, c), (None, d)])
+    spark.createDataFrame([(1, b), (2, c)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert same_rows(got.select("doc_id", "text").collect(), [(1, a), (2, a), (None, a), (None, d)])
+
+
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as entry
     import corpus_pipeline
