@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from binledger.llm.staging import staged
 
-MALE = ["Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Господин", "Г-н"]
-FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Г-жа"]
-_NAME = r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
+# Titles that tell no gender are among the male ones.
+_NEUTRAL = ["Dr", "Prof", "Professor", "Доктор", "Профессор"]
+MALE = ["Mr", "Herr", "Herrn", "Monsieur", "M", "Señor", "Sr", "Don", "Sir", "Lord", "Господин", "Г-н", *_NEUTRAL]
+FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Sra", "Señorita", "Srta", "Doña", "Lady", "Госпожа", "Г-жа"]
+# Not another title: in "Herr Dr. Weiß" the name comes behind the second.
+_NAME = r"(?!(?:" + "|".join(_NEUTRAL) + r")(?!\p{L}))\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+){0,3}"
 
 
 def _after(titles):
@@ -27,7 +30,8 @@ PATTERN = "|".join(
         _after(FEMALE),
         r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
         r"(?=[A-Z]{2}[0-9]{2})(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-        r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{24,}+",
+        r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{16,}+",
+        r"(?=[0-9A-Fa-f:]*[0-9])(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:])",
         r"(?=[0-9(+])(?:(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
         r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
         r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -47,8 +51,9 @@ def _kind(mention, male, female):
         .when(female != "", F.when(female.rlike(r"\p{IsCyrillic}"), "female_cyrillic").otherwise("female"))
         .when(mention.contains("@"), "email")
         .when(mention.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"), "ip")
+        .when(mention.contains(":"), "ip6")
         .when(mention.rlike(r"^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$") & mention.rlike(r"^.{15,42}$"), "account")
-        .when(mention.rlike("^[0-9A-Fa-f]{24,}$") & mention.rlike("[A-Fa-f]"), "hex")
+        .when(mention.rlike("^[0-9A-Fa-f]{16,}$") & mention.rlike("[A-Fa-f]"), "hex")
         .when(mention.rlike("[A-Za-z]"), "secret")
         .otherwise("number")
     )
@@ -139,7 +144,7 @@ def _surrogate(secret):
     head = F.substr(number, F.lit(1), length - 1)
     checked = F.concat(head, F.pmod(10 - _luhn(F.concat(head, F.lit("0"))), F.lit(10)).cast("string"))
     hexadecimal = F.array_join(
-        F.transform(_chars(name), lambda c, i: F.when(c.rlike("[A-F]"), _letter("ABCDEF", stream, i)).when(c.rlike("[a-f]"), _letter("abcdef", stream, i)).otherwise(_letter("0123456789", stream, i))),
+        F.transform(_chars(name), lambda c, i: F.when(c.rlike("[A-F]"), _letter("ABCDEF", stream, i)).when(c.rlike("[a-f]"), _letter("abcdef", stream, i)).when(c == ":", c).otherwise(_letter("0123456789", stream, i))),
         "",
     )
     last_dot = length - F.locate(".", F.reverse(name))
@@ -147,7 +152,7 @@ def _surrogate(secret):
     return (
         F.when(kind == "email", F.concat(F.substr(spelled, F.lit(1), last_dot), F.substr(name, last_dot + 1, length)))
         .when(kind == "ip", octets)
-        .when(kind == "hex", hexadecimal)
+        .when(kind.isin("hex", "ip6"), hexadecimal)
         .when(kind == "account", F.concat(F.substr(name, F.lit(1), F.lit(2)), F.substr(spelled, F.lit(3), length)))
         .when((kind == "number") & (length >= 13) & (_luhn(name) == 0), checked)
         .when(kind == "number", number)
@@ -215,16 +220,39 @@ def _written(kind, mention, surrogate):
         F.when(kind == "number", filled)
         .when(kind == "account", spaced)
         .when(kind == "email", cased)
-        .when(kind.isin("ip", "secret", "hex"), surrogate)
+        .when(kind.isin("ip", "ip6", "secret", "hex"), surrogate)
         .otherwise(shouted)
     )
 
 
+def _last_word(name):
+    return F.element_at(F.split(name, " "), -1)
+
+
+def _with_later_names(hits, value, own):
+    """``hits`` with the untitled mentions of the full names and surnames that a title
+    introduces in the same text, and the pattern of each text that finds them all."""
+    given = lambda c: F.array_distinct(F.filter(c, lambda x: x != ""))
+    wanted = lambda c: F.array_distinct(F.concat(given(c), F.transform(given(c), _last_word)))
+    hits = hits.select(*own, "_mentions", "_male", "_female", "_row", wanted("_male").alias("_men"), wanted("_female").alias("_women"))
+    longest = F.array_sort(F.array_union("_men", "_women"), lambda x, y: F.length(y) - F.length(x))
+    names = F.concat(F.lit(PATTERN + r"|(?=\p{Lu})(?<![\p{L}\p{N}])("), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    named = F.size("_men") + F.size("_women") > 0
+    hits = hits.select(*hits.columns, F.when(named, names).otherwise(F.lit(PATTERN)).alias("_pattern"), named.alias("_named"))
+    again = [F.when(F.col("_named"), F.regexp_extract_all(value, F.col("_pattern"), F.lit(g))) for g in range(4)]
+    hits = hits.select(*hits.columns, *[c.alias(f"_{g}") for g, c in enumerate(again)])
+    man = lambda x: F.array_contains("_men", x)
+    male = F.zip_with("_1", "_3", lambda t, x: F.when(t != "", t).when((x != "") & man(x), x).otherwise(""))
+    female = F.zip_with("_2", "_3", lambda t, x: F.when(t != "", t).when((x != "") & ~man(x), x).otherwise(""))
+    pick = lambda new, old: F.when(F.col("_named"), new).otherwise(F.col(old)).alias(old)
+    return hits.select(*own, pick(F.col("_0"), "_mentions"), pick(male, "_male"), pick(female, "_female"), "_row", "_pattern")
+
+
 def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFrame:
     """``df`` with surrogates for the entities in ``text``, and n_entities (mentions).
 
-    Found are names behind a title, mail and network addresses, account numbers, tokens of
-    24 or more letters and digits, phone numbers and other long numbers. A surrogate has the
+    Found are names behind a title and, in the same text, their full name and surname without
+    one, mail and network addresses, account numbers, tokens of 16 or more letters and digits, phone numbers and other long numbers. A surrogate has the
     kind, length, script, case and separators of the mention, a name the gender of its
     title; a number with a valid check digit gets a valid one. Mentions of one entity get
     one surrogate, in all documents; different entities never share one. The same
@@ -247,24 +275,24 @@ def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFram
     hits = listed.filter(F.size("_mentions") > 0).select(
         *passed, "_mentions", groups[0].alias("_male"), groups[1].alias("_female"), F.monotonically_increasing_id().alias("_row")
     )
-    hits = staged(hits, "entity-texts")
+    hits = staged(_with_later_names(hits, value, passed), "entity-texts")
     each = hits.select("_row", F.posexplode(F.arrays_zip("_mentions", "_male", "_female")).alias("_at", "_m")).select(
         "_row", "_at", F.col("_m._mentions").alias("mention"), F.col("_m._male").alias("male"), F.col("_m._female").alias("female")
     )
     kinds = each.withColumn("kind", _kind(F.col("mention"), F.col("male"), F.col("female")))
-    # Of two names the first is a given name; one alone is a surname.
-    is_name, two = (F.col("male") != "") | (F.col("female") != ""), F.col("mention").contains(" ")
+    # The last name is a surname, those before it are given names.
+    is_name = (F.col("male") != "") | (F.col("female") != "")
     words = F.when(is_name, F.split("mention", " ")).otherwise(F.array("mention"))
-    parts = kinds.select("_row", "_at", "kind", is_name.alias("is_name"), two.alias("two"), F.posexplode(words).alias("part", "mention"))
+    parts = kinds.select("_row", "_at", "kind", is_name.alias("is_name"), F.size(words).alias("n"), F.posexplode(words).alias("part", "mention"))
     surname = F.when(F.col("kind").endswith("cyrillic"), "surname_cyrillic").otherwise("surname")
-    parts = parts.withColumn("kind", F.when(F.col("is_name") & ((F.col("part") == 1) | ~F.col("two")), surname).otherwise(F.col("kind")))
+    parts = parts.withColumn("kind", F.when(F.col("is_name") & (F.col("part") == F.col("n") - 1), surname).otherwise(F.col("kind")))
     parts = parts.withColumn("canonical", _canonical(F.col("kind"), F.col("mention")))
     known = assign_surrogates(parts, secret)
     written = parts.join(known, ["kind", "canonical"]).select("_row", "_at", "part", _written(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
     places = written.groupBy("_row", "_at").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "new"))), lambda x: x["new"]), " ").alias("new"))
     # A text's own mentions are what a list can hold at most.
     lists = places.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "new"))), lambda x: x["new"]).alias("_new"))
-    gaps = F.split(value, PATTERN, -1)
+    gaps = F.split(value, F.col("_pattern"), -1)
     woven = F.array_join(F.flatten(F.zip_with(gaps, F.col("_new"), lambda gap, new: F.array(gap, F.coalesce(new, F.lit(""))))), "")
     done = hits.join(lists, "_row").select(
         *[woven.alias(text) if c == text else F.col(f"`{c}`") for c in own], F.size("_mentions").alias("n_entities")
