@@ -99,10 +99,66 @@ def op10_fuzzy_lines(spark, sf_dir):
     return lines.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), runs=True)
 
 
+def op11_collocations(spark, sf_dir):
+    from binledger.llm import stripes
+
+    return stripes.collocations(_read(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def queries():
     """One query per operator, and the pipeline."""
     return {name: fn for name, fn in globals().items() if name.startswith("op")}
 
 
+_COLLOCATIONS = r"""
+with pieces as (
+  select doc_id, coalesce(lang, 'und') as lang, piece, regexp_extract_all(t, '[^\x20\x09]+') as w
+  from (
+    select doc_id, lang, unnest(parts) as t, generate_subscripts(parts, 1) as piece
+    from (
+      select doc_id, lang, regexp_split_to_array(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+      ) as parts from documents
+    ) a
+  ) b
+),
+words as (select doc_id, lang, piece, unnest(w) as w1, unnest(range(len(w))) as i from pieces),
+grams as (
+  select lang, w1, lead(w1, 1) over pos as w2, lead(w1, 2) over pos as w3, lead(w1, 3) over pos as w4
+  from words window pos as (partition by doc_id, piece order by i)
+),
+f as (
+  select lang, [w1] as p, count(*) as f from grams group by all
+  union all select lang, [w1, w2], count(*) from grams where w2 is not null group by all
+  union all select lang, [w1, w2, w3], count(*) from grams where w3 is not null group by all
+  union all select lang, [w1, w2, w3, w4], count(*) from grams where w4 is not null group by all
+),
+candidates as (select * from f where f >= 30 and len(p) > 1),
+inner_parts as (
+  select lang, p[i:i + n - 1] as p, f from (
+    select *, unnest(range(1, len(p) - n + 2)) as i from (select *, unnest(range(2, len(p))) as n from candidates where len(p) > 2) x
+  ) y
+),
+inside as (select lang, p, max(f) as longer from inner_parts group by all),
+free as (
+  select c.* from candidates c left join inside s on c.lang = s.lang and c.p = s.p
+  where s.longer is null or 100 * s.longer < 80 * c.f
+),
+cuts as (select *, unnest(range(1, len(p))) as k from free),
+scored as (
+  select c.lang, c.p, c.f as a, c.k, x.f as l, y.f as r, cast(2000000::hugeint * c.f // (x.f + y.f) as bigint) as score
+  from cuts c join f x on x.lang = c.lang and x.p = c.p[1:c.k] join f y on y.lang = c.lang and y.p = c.p[c.k + 1:]
+),
+best as (select * from scored qualify row_number() over (partition by lang, p order by score, k) = 1),
+ranked as (
+  select lang, array_to_string(p, ' ') as phrase, a, l, r, score,
+         row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(p, ' '))) as rank
+  from best
+)
+select lang, rank, phrase, a, l, r, n, score
+from ranked join (select lang, count(*) as n from words group by lang) t using (lang) where rank <= 2000
+"""
+
+
 def oracle_sql():
-    return {}
+    return {"op11_collocations": _COLLOCATIONS}
