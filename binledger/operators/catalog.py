@@ -1,15 +1,27 @@
 """Filters, projections and reports over catalogue rows."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.functions.globs import glob_to_regex
+from binledger.functions.globs import compile_glob
 from binledger.schemas import CATALOG_COLUMNS
 
 
 def glob_files(df: DataFrame, glob: str) -> DataFrame:
-    """Rows whose whole path matches the glob, e.g. ``/?/*.???``."""
-    return df.filter(F.col("path").rlike(f"\\A{glob_to_regex(glob)}\\z"))
+    """Rows whose whole path matches the glob, e.g. ``/?/*.???`` or ``/{0,1}/[a-f]*.exe``
+    (see ``compile_glob``). What all matches start with goes to the scan as a filter of its
+    own, so a catalogue sorted by path is read in part."""
+    pattern = compile_glob(glob)
+    path = F.col("path")
+    if pattern.literal:
+        return df.filter(path.isin(list(pattern.prefixes)))
+    matches = path.rlike(f"\\A{pattern.regex}\\z")
+    if "" not in pattern.prefixes:
+        matches = reduce(or_, [path.startswith(p) for p in pattern.prefixes]) & matches
+    return df.filter(matches)
 
 
 def path_parts(df: DataFrame) -> DataFrame:
