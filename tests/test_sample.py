@@ -73,8 +73,45 @@ def test_absent_class(files):
     assert balanced_sample(df, 2, strict=False).count() == 1
 
 
-def test_no_class_is_ranked_as_a_whole(files, catalogue):
-    """The only order over many rows is that of one bucket; inner rows go to lanes."""
-    plan = balanced_sample(files(catalogue, with_class=True), 900, strict=False)._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" not in plan
-    assert "CartesianProduct" not in plan
+def test_nothing_is_ranked(files, catalogue):
+    """Filters over the files and a count of the copies of two rows: no order, no window."""
+    for n in (2, 900, 1500):
+        plan = balanced_sample(files(catalogue, with_class=True), n, strict=False)._jdf.queryExecution().toString()
+        assert not any(name in plan for name in ("Window", "Sort ", "Join", "rangepartitioning"))
+
+
+def test_rows_are_not_shuffled(files):
+    """Without copies at the cut the sample is a filter."""
+    data = [(f"/{c}/{i}.exe", i, "exe", c) for c in (0, 1) for i in range(500)]
+    plan = balanced_sample(files(data, with_class=True), 900)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_a_path_with_very_many_sizes(spark):
+    """One path is most of its class; the cut among its sizes is found by counting."""
+    df = spark.range(200_000).selectExpr(
+        "if(id % 10 = 0, concat('/0/', id, '.exe'), '/0/hot.exe') as path", "if(id = 1, null, id * 1000003 - 7) as size",
+        "'exe' as type", "0 as class",
+    ).repartition(8)
+    hot = df.filter("path = '/0/hot.exe'")
+    before = df.filter("md5(concat('5:', path)) < md5('5:/0/hot.exe')").count()
+    got = balanced_sample(df, 2 * (before + 100_000), seed=5, strict=False, classes=(0, 1))
+    sizes = [r["size"] for r in got.filter("path = '/0/hot.exe'").orderBy("size").collect()]
+    assert sizes == [r["size"] for r in hot.orderBy("size").limit(100_000).collect()]
+    assert got.count() == before + 100_000 and got.rdd.getNumPartitions() >= 8
+
+
+def test_order_of_other_columns(files, spark):
+    """Missing values first, numbers by value, text by its characters."""
+    values = [(None, "b"), (-5, "b"), (-5, "a"), (0, None), (0, "a"), (0, "a b"), (0, "a"), (7, "z"), (2**62, ""), (-(2**62), "")]
+    data = [("/0/a", size, kind, 0) for size, kind in values] + [("/1/a", 1, "x", 1)] * 10
+    ordered = sorted(data[:10], key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or ""))
+    for k in range(1, 11):
+        got = rows(balanced_sample(files(data, with_class=True), 2 * k).filter("class = 0"))
+        assert got == sorted(ordered[:k], key=repr)
+
+
+def test_missing_paths_and_clashing_columns(spark):
+    data = [(None, 1, "x", 0, "p"), ("", 1, "x", 0, "p"), (None, 1, "x", 0, "q"), ("/b", 2, "x", 1, None), ("/b", 2, "x", 1, "r")]
+    df = spark.createDataFrame(data, "path string, size long, type string, class int, files string")
+    assert rows(balanced_sample(df, 4, seed=1)) == sorted([data[0], data[2], data[3], data[4]], key=repr)
