@@ -3,7 +3,6 @@ SQL that gives the same rows on the same tables."""
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -18,18 +17,24 @@ from binledger.operators import catalog as C
 from binledger.operators import checks, extract, headers, ledger, sample
 from binledger.plans import table_files as tables
 from binledger.plans.batch import choose_files
-from binledger.plans.spread import spread
-from binledger.schemas import CATALOG_COLUMNS
+from binledger.plans.spread import size_ranges, spread
+from binledger.schemas import CATALOG_COLUMNS, RESULT_SCHEMA
+from binledger.sources.clustered import ClusteredLedger, drop_known_by_sketch
 from binledger.sources.files import describe_files
+from binledger.sources.folders import shared_folder
+from binledger.sources.tables import BatchTable
 
 # The operators for training data come with a subpackage that may be absent.
-if importlib.util.find_spec("binledger.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from binledger.llm import entry as llm
-else:
+except ImportError:
     corpus_pipeline = llm = None
 
 GLOB = "/?/*.???"
+BRACES = "/{0,1}/*[02468][!1-5].{exe,dl?}"
+BUCKETS = 16
+TASKS = 12
 N = 100
 SEED = 42
 
@@ -64,6 +69,17 @@ def _document_files(spark, sf_dir):
     return tables.document_files(_read(spark, sf_dir, "documents"))
 
 
+def _clustered(spark, log, compacted=()):
+    """The log's batches appended to a clustered ledger, one after the other; after those
+    named a compaction."""
+    done = ClusteredLedger(shared_folder(spark, "ledger"), buckets=BUCKETS, blocks=4)
+    for batch in (1, 2):
+        ledger.append_ledger(log.filter(F.col("batch") == batch), done, batch)
+        if batch in compacted:
+            done.compact(spark)
+    return done
+
+
 def q_catalog(spark, sf_dir):
     """From the URIs of the documents' files."""
     uri = F.concat(F.lit("s3a://bucket"), "path")
@@ -79,6 +95,10 @@ def q_glob_filter(spark, sf_dir):
     return _globbed(spark, sf_dir)
 
 
+def q_glob_braces(spark, sf_dir):
+    return C.glob_files(_catalog(spark, sf_dir), BRACES)
+
+
 def q_path_parts(spark, sf_dir):
     pages = describe_files(_read(spark, sf_dir, "pages"), "url", F.octet_length("html"), class_value=0)
     return C.path_parts(C.union_files(_catalog(spark, sf_dir), pages).select("path"))
@@ -138,6 +158,39 @@ def q_drop_known_paths_replace(spark, sf_dir):
     return ledger.drop_known_paths(tables.text_catalog(documents), done, "replace")
 
 
+def q_drop_known_paths_sketch(spark, sf_dir):
+    files, log = _globbed_and_log(spark, sf_dir)
+    return drop_known_by_sketch(files, _clustered(spark, log))
+
+
+def q_drop_known_paths_sketch_replace(spark, sf_dir):
+    """Bloom filters of a snapshot and of a later batch."""
+    files, log = _globbed_and_log(spark, sf_dir)
+    return drop_known_by_sketch(files, _clustered(spark, log, [1]), "replace")
+
+
+def q_choose_from_clustered(spark, sf_dir):
+    files, log = _globbed_and_log(spark, sf_dir)
+    return choose_files(files, _clustered(spark, log), N, SEED, strict=False)
+
+
+def q_compacted_ledger(spark, sf_dir):
+    log = _catalog_and_log(spark, sf_dir)[1]
+    return ledger.current_ledger(_clustered(spark, log, [1, 2]).read(spark))
+
+
+def q_size_ranges(spark, sf_dir):
+    return size_ranges(_globbed(spark, sf_dir), TASKS)
+
+
+def q_stored_batches(spark, sf_dir):
+    """The incremental batch appended twice, and the documents' files of another."""
+    stored = BatchTable(shared_folder(spark, "results"))
+    for batch, rows in ((1, q_incremental_batch), (2, q_extract_metadata), (1, q_incremental_batch)):
+        stored.append_batch(rows(spark, sf_dir), batch)
+    return stored.read(spark, RESULT_SCHEMA)
+
+
 def q_current_ledger(spark, sf_dir):
     return ledger.current_ledger(_catalog_and_log(spark, sf_dir)[1])
 
@@ -332,6 +385,12 @@ from ({page_paths}) t"""
         "catalog": _with(_CATALOG, select="select path, size, type, class from catalog"),
         "describe_files": page_files,
         "glob_filter": _with(_CATALOG, select="select path, size, type, class from globbed"),
+        "glob_braces": _with(
+            _CATALOG,
+            select="""
+select path, size, type, class from catalog
+where regexp_matches(path, '^/[01]/[^/]*[02468][^1-5/][.](exe|dl[^/])$')""",
+        ),
         "path_parts": _with(
             _CATALOG,
             select=f"""
@@ -384,6 +443,37 @@ select path, size, type, class from globbed g where not exists (select 1 from lo
 select path, size, type from texts t where not exists (
   select 1 from texts l where l.source < 'src2' and l.path is not distinct from t.path
     and l.size is not distinct from t.size and l.type is not distinct from t.type)""",
+        ),
+        "drop_known_paths_sketch": _with(
+            _CATALOG,
+            select="""
+select path, size, type, class from globbed g where not exists (select 1 from log l where l.path = g.path)""",
+        ),
+        "drop_known_paths_sketch_replace": _with(
+            _CATALOG,
+            """
+kept as (
+  select path, size, type from (
+    select *, row_number() over (partition by path order by batch desc, size desc, type desc) as version from log where batch = 1
+  ) t where version = 1
+  union all select path, size, type from log where batch = 2
+)""",
+            select="""
+select path, size, type, class from globbed g where not exists (
+  select 1 from kept l where l.path = g.path and l.size = g.size and l.type = g.type)""",
+        ),
+        "choose_from_clustered": _with(
+            _CATALOG, select="select path, size, type from picked except select path, size, type from current"
+        ),
+        "compacted_ledger": _with(_CATALOG, select="select path, size, type from current"),
+        "size_ranges": _with(
+            _CATALOG,
+            """
+weighed as (select *, substr(md5(path), 1, 3) as lane, size + 4096 as bytes from globbed)""",
+            select=f"""
+select path, size, type, class,
+       cast((sum(bytes) over (order by lane, path, size, type) - bytes) * {TASKS} // (select sum(bytes) from weighed) as int) as task
+from weighed""",
         ),
         "current_ledger": _with(_CATALOG, select="select path, size, type from current"),
         "class_counts": _with(
@@ -491,6 +581,7 @@ select path, rule, count(*) as n_rows from broken group by path, rule""",
             ),
         ),
     }
+    own["stored_batches"] = f"select * from ({own['incremental_batch']}) a union all select * from ({own['extract_metadata']}) b"
     if llm:
         own |= llm.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
     return own

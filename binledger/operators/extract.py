@@ -6,16 +6,30 @@ files without countable headers is blanked before it goes to Python.
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from binledger.functions import symbols
-from binledger.operators.headers import HEADER_LIMIT, header_columns
+from binledger.operators.headers import (
+    COFF_SIZE,
+    DIRECTORY_SIZE,
+    DOS_HEADER_SIZE,
+    FIXED_PART_64,
+    HEADER_LIMIT,
+    LFANEW_AT,
+    header_columns,
+)
 from binledger.schemas import CATALOG_COLUMNS, IMPORT_SCHEMA, RESULT_SCHEMA, SECTION_SCHEMA
-from binledger.sources.files import file_opener, read_files
+from binledger.sources.files import READ_ERRORS, file_opener, read_files, reason, store_settings
+
+# Bytes of one request for symbol lists, and requests kept for each file.
+_BLOCK = 256 * 1024
+_BLOCKS_KEPT = 8
 
 _HEADER_FIELDS = ["architecture", "n_sections", "section_offset", "export_rva", "import_rva"]
 
@@ -49,9 +63,25 @@ def _slices(data):
 
 
 def _reads(file):
-    """``take`` and size over an open file."""
+    """``take`` and size over an open file. Its section table and lists lie close together,
+    and each read may be a request to a store, so whole blocks are read and some kept."""
     size = file.size()
-    return (lambda pos, n: file.read_at(min(n, size - pos), pos) if pos < size else b""), size
+
+    @lru_cache(_BLOCKS_KEPT)
+    def block(i):
+        return file.read_at(min(_BLOCK, size - i * _BLOCK), i * _BLOCK)
+
+    def take(pos, n):
+        end = min(pos + n, size)
+        if pos >= end:
+            return b""
+        first, last = pos // _BLOCK, (end - 1) // _BLOCK
+        if last - first >= _BLOCKS_KEPT:
+            return file.read_at(end - pos, pos)
+        data = block(first) if first == last else b"".join(map(block, range(first, last + 1)))
+        return data[pos - first * _BLOCK : end - first * _BLOCK]
+
+    return take, size
 
 
 def _contents(batch):
@@ -166,44 +196,73 @@ def extract_metadata(
     return rows.mapInArrow(_count_contents, RESULT_SCHEMA)
 
 
+def _headers_end(head):
+    """Bytes from the start that hold the headers of a file which begins with ``head``."""
+    at = int.from_bytes(head[LFANEW_AT : LFANEW_AT + 4], "little")
+    return at + COFF_SIZE + FIXED_PART_64 + 2 * DIRECTORY_SIZE if head[:2] == b"MZ" and len(head) >= DOS_HEADER_SIZE else 0
+
+
 def extract_from_store(
     df: DataFrame,
     base: str,
     filesystem=None,
     strict_headers: bool = True,
     threads: int = 8,
-    header_limit: int = HEADER_LIMIT,
+    header_limit: int | None = HEADER_LIMIT,
+    errors: bool = False,
 ) -> DataFrame:
     """Same as ``extract_metadata`` for rows of path, size, type whose files lie
     under ``base``: each task fetches the first ``header_limit`` bytes of its own
-    rows, then only the section table and symbol lists, never whole files. A
-    missing file fails the task.
+    rows, then only the section table and symbol lists in blocks of 256 KiB, never
+    whole files. With ``header_limit=None`` headers are followed wherever they lie,
+    and fetched up to there.
+
+    A file that cannot be read fails the task. With ``errors`` it gives a row with the
+    reason in the column ``error``, without architecture and counts; ``error`` is missing
+    in other rows.
 
     ``filesystem`` is a function giving a ``pyarrow.fs.FileSystem``; without it
     the scheme of ``base`` decides. ``threads`` files are read at a time.
     """
-    open_file = file_opener(base, filesystem)
+    open_file = file_opener(base, filesystem, store_settings(df.sparkSession, base))
 
     def count_files(batches):
         def one(item):
-            path, usable, header = item
+            path, usable, error, header = item
+            if error:
+                return (None, None, None), error
             if not usable:
-                return _counts(None, header)
+                return _counts(None, header), None
             if not header["import_rva"] and not header["export_rva"]:
-                return header["architecture"], 0, 0
-            with open_file(path) as file:
-                return _counts(_reads(file), header)
+                return (header["architecture"], 0, 0), None
+            try:
+                with open_file(path) as file:
+                    return _counts(_reads(file), header), None
+            except READ_ERRORS as e:
+                if not errors:
+                    raise
+                return (None, None, None), reason(e)
 
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                items = zip(batch.column("path").to_pylist(), batch.column("usable").to_pylist(), _headers(batch))
-                yield _result_batch(batch, list(pool.map(one, items)))
-
-    heads = read_files(df.select(CATALOG_COLUMNS), base, header_limit - 1, filesystem, threads)
+                failed = batch.column("error").to_pylist()
+                items = zip(batch.column("path").to_pylist(), batch.column("usable").to_pylist(), failed, _headers(batch))
+                found = list(pool.map(one, items))
+                rows = _result_batch(batch, [f[0] for f in found])
+                if errors:
+                    rows = rows.append_column("error", pa.array([f[1] for f in found], pa.string()))
+                yield rows
+
+    first = HEADER_LIMIT if header_limit is None else header_limit
+    more = _headers_end if header_limit is None else None
+    heads = read_files(df.select(CATALOG_COLUMNS), base, first - 1, filesystem, threads, errors, more)
+    if not errors:
+        heads = heads.withColumn("error", F.lit(None).cast("string"))
     rows = header_columns(heads, strict_headers=strict_headers, header_limit=header_limit).select(
-        *CATALOG_COLUMNS, F.coalesce(_countable(), F.lit(False)).alias("usable"), *_HEADER_FIELDS
+        *CATALOG_COLUMNS, F.coalesce(_countable(), F.lit(False)).alias("usable"), "error", *_HEADER_FIELDS
     )
-    return rows.mapInArrow(count_files, RESULT_SCHEMA)
+    schema = StructType([*RESULT_SCHEMA.fields, StructField("error", StringType())]) if errors else RESULT_SCHEMA
+    return rows.mapInArrow(count_files, schema)
 
 
 def file_sections(

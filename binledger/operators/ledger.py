@@ -81,11 +81,16 @@ def drop_known_paths(
     return repeat_rows(count_copies(df).join(known, same, "left_anti"))
 
 
-def current_ledger(ledger: DataFrame) -> DataFrame:
-    """path, size, type of the newest batch of each path; in the same batch the
+def newest_rows(ledger: DataFrame) -> DataFrame:
+    """path, size, type, batch of the newest batch of each path; in the same batch the
     largest size, then type."""
     newest = F.max(F.struct("batch", "size", "type")).alias("_newest")
-    return ledger.groupBy("path").agg(newest).select("path", "_newest.size", "_newest.type")
+    return ledger.groupBy("path").agg(newest).select("path", "_newest.size", "_newest.type", "_newest.batch")
+
+
+def current_ledger(ledger: DataFrame) -> DataFrame:
+    """path, size, type of ``newest_rows``."""
+    return newest_rows(ledger).select(CATALOG_COLUMNS)
 
 
 def append_ledger(df: DataFrame, ledger, batch: int) -> None:

@@ -1,36 +1,48 @@
 """The whole job: choose files not done yet, extract, store, record."""
 
 import hashlib
+import re
 import time
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from binledger.operators.catalog import distinct_files
-from binledger.operators.checks import check_results
+from binledger.operators.checks import check_results, watch_rules
 from binledger.operators.extract import extract_from_store
+from binledger.operators.headers import HEADER_LIMIT
 from binledger.operators.ledger import append_ledger, current_ledger, drop_known_paths, drop_processed, rows_for_batch
 from binledger.operators.sample import balanced_sample
 from binledger.plans.spread import spread
 from binledger.schemas import CATALOG_COLUMNS, CATALOG_SCHEMA, LEDGER_SCHEMA, LISTING_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA
+from binledger.sources.clustered import ClusteredLedger
 from binledger.sources.files import file_catalog
+from binledger.sources.folders import exists, rename, shared_folder, subfolders
 from binledger.sources.tables import ParquetTable
 
+
 class BatchRejected(ValueError):
     """The batch breaks constraints of the results table."""
 
 
+class TooManyUnreadable(OSError):
+    """More files of the batch could not be read than is allowed."""
+
+
 def choose_files(
     catalog: DataFrame,
-    ledger: DataFrame,
+    ledger: DataFrame | ClusteredLedger,
     n: int = 100,
     seed: int = 42,
     strict: bool = True,
     on_change: str = "process",
 ) -> DataFrame:
     """path, size, type of the files of a balanced sample that the ledger does
-    not hold. ``ledger`` may be the log of all batches or path, size, type only.
+    not hold. ``ledger`` may be the log of all batches or path, size, type only, or a
+    ``ClusteredLedger``, of which only the buckets of the sample are read.
 
     ``on_change`` says what happens to a recorded file whose size changed:
     ``'process'`` chooses it again, ``'skip'`` leaves it out.
@@ -38,6 +50,12 @@ def choose_files(
     if on_change not in ("process", "skip"):
         raise ValueError(f"on_change must be 'process' or 'skip': {on_change}")
     picked = balanced_sample(catalog, n, seed, strict).select(CATALOG_COLUMNS)
+    if isinstance(ledger, ClusteredLedger):
+        # Drawn once: for its buckets, and to be compared.
+        drawn = ParquetTable(shared_folder(catalog.sparkSession, "picked"))
+        drawn.append(picked)
+        picked = drawn.read(catalog.sparkSession, CATALOG_SCHEMA)
+        ledger = ledger.read_for(picked)
     if on_change == "skip":
         return drop_known_paths(distinct_files(picked), ledger, "skip", max_rows=n, sampled=True)
     # The difference is one of sets: it drops copies as well.
@@ -64,14 +82,17 @@ def run_batch(
     filesystem=None,
     staging: str | None = None,
     catalog: DataFrame | None = None,
+    header_limit: int | None = HEADER_LIMIT,
+    unreadable: float = 0.01,
 ) -> DataFrame:
     """Process up to ``n`` files below ``roots`` and return their result rows.
 
     ``catalog`` gives the files instead, as path, size, type, class, e.g. from
     ``describe_files`` over an inventory table; ``base`` is needed then.
 
-    ``results`` and ``ledger`` are tables (``ParquetTable``, ``JdbcTable``);
-    without a ledger, files in the results table count as done.
+    ``results`` and ``ledger`` are tables (``ParquetTable``, ``JdbcTable``); without a
+    ledger, files in the results table count as done. With ``BatchTable`` and
+    ``ClusteredLedger`` appends may be repeated, and only a part of the ledger is read.
     ``base`` is the folder or bucket the paths start in, by default the parent
     of the first root.
 
@@ -83,6 +104,11 @@ def run_batch(
 
     ``seed`` defaults to the batch number, so later batches draw other files.
 
+    A file that cannot be read, for instance since it was deleted after it was listed,
+    is put aside with the reason (``unreadable_files``), stored and recorded nowhere, and
+    so chosen again by a later batch. More than the share ``unreadable`` of the files, and
+    more than one, raise TooManyUnreadable with nothing appended.
+
     Raises BatchRejected, with nothing appended, if a row breaks a constraint of
     the results table; the violations are a table beside the staged rows. A changed file chosen again does: its path is stored
     already. ``on_change='skip'`` avoids that.
@@ -93,28 +119,63 @@ def run_batch(
         base = list(roots)[0].rstrip("/").rsplit("/", 1)[0]
     wanted = (
         list(roots), base, glob, n, seed, strict, strict_headers, on_change, results.location, ledger and ledger.location,
-        _name_of(filesystem), None if catalog is None else _fingerprint(catalog),
+        _name_of(filesystem), None if catalog is None else _fingerprint(catalog), header_limit,
     )
-    staged = ParquetTable(f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}")
-    resume = _is_complete(spark, staged.path)
+    staged = f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}"
+    resume = _is_complete(spark, staged)
+    clean = False
     if not resume:
         if catalog is None:
-            # Listed once; the sample takes two passes over it.
-            listing = ParquetTable(staged.path + "-files")
+            # Listed once; the sample takes passes over it.
+            listing = ParquetTable(staged + "-files")
             file_catalog(spark, roots, glob, base, filesystem=filesystem).write.mode("overwrite").parquet(listing.path)
             catalog = listing.read(spark, LISTING_SCHEMA)
-        picked = ParquetTable(staged.path + "-chosen")
+        picked = ParquetTable(staged + "-chosen")
         done = _recorded(spark, ledger, results)
-        choose_files(catalog, done, n, seed, strict, on_change).write.mode("overwrite").parquet(picked.path)
-        chosen = picked.read(spark, CATALOG_SCHEMA)
-        parsed = extract_from_store(spread(chosen, chosen.count()), base, filesystem, strict_headers)
-        parsed.write.mode("overwrite").parquet(staged.path)
-    rows = staged.read(spark, RESULT_SCHEMA)
-    violations = staged.path + "-violations"
-    store_batch(spark, rows, batch, ledger=ledger, results=results, max_rows=n, resume=resume, violations=violations)
+        chosen = choose_files(catalog, done, n, seed, strict, on_change)
+        # What is counted of these tables is counted as they are written.
+        counted = Observation()
+        chosen.observe(counted, F.count(F.lit(1)).alias("files")).write.mode("overwrite").parquet(picked.path)
+        n_files = counted.get["files"]
+        files = spread(picked.read(spark, CATALOG_SCHEMA), n_files)
+        parsed = extract_from_store(files, base, filesystem, strict_headers, header_limit=header_limit, errors=True)
+        parsed = parsed.withColumn("readable", F.col("error").isNull())
+        counted = Observation()
+        watched = watch_rules(parsed, counted, F.col("readable"), unreadable=~F.col("readable"))
+        watched.write.mode("overwrite").partitionBy("readable").parquet(staged)
+        found = counted.get
+        clean = not any(found[rule] for rule in found if rule != "unreadable")
+    else:
+        n_files, lost = _staged(spark, staged).agg(F.count("*"), F.count_if(~F.col("readable"))).first()
+        found = {"unreadable": lost}
+    lost = found["unreadable"]
+    if lost > max(unreadable * n_files, 1):
+        # The next call reads the files again.
+        rename(spark, staged + "/_SUCCESS", staged + "/_REJECTED")
+        raise TooManyUnreadable(f"{lost} of {n_files} files could not be read; see {staged}")
+    rows = _staged(spark, staged).filter("readable").select(RESULT_COLUMNS)
+    violations = staged + "-violations"
+    store_batch(
+        spark, rows, batch, ledger=ledger, results=results, max_rows=n, resume=resume, violations=violations, row_rules=not clean
+    )
     return rows
 
 
+def _staged(spark, folder):
+    schema = T.StructType([*RESULT_SCHEMA.fields]).add("error", "string").add("readable", "boolean")
+    return spark.read.schema(schema).parquet(folder)
+
+
+def unreadable_files(spark: SparkSession, batch: int, staging: str | None = None) -> DataFrame:
+    """path, size, type, error of the files of a batch that could not be read."""
+    folder = _staging_folder(spark, staging)
+    names = [f for f in subfolders(spark, folder) if re.fullmatch(f"{batch}-[0-9a-f]{{16}}", f.rsplit("/", 1)[-1])]
+    found = [_staged(spark, f) for f in names if exists(spark, f"{f}/_SUCCESS") or exists(spark, f"{f}/_REJECTED")]
+    if not found:
+        return spark.createDataFrame([], T.StructType([*CATALOG_SCHEMA.fields]).add("error", "string"))
+    return reduce(DataFrame.unionByName, found).filter("not readable").select(*CATALOG_COLUMNS, "error")
+
+
 def store_batch(
     spark: SparkSession,
     rows: DataFrame,
@@ -125,23 +186,26 @@ def store_batch(
     max_rows: int | None = None,
     resume: bool = True,
     violations: str | None = None,
+    row_rules: bool = True,
 ) -> None:
     """Check result rows, held in a table of their own, and append them to the
     results and the ledger. ``resume`` leaves out what is there already;
     ``max_rows`` as in ``rows_for_batch``. All violations are written to the folder
     ``violations``, by default a new one; the error names it and counts them."""
-    stored = results.read(spark, RESULT_SCHEMA)
-    fresh = drop_processed(rows, stored, max_rows, RESULT_COLUMNS) if resume else rows
+    # A table of batches is written over, so nothing is left out, or compared with itself.
+    by_batch = hasattr(results, "append_batch")
+    stored = results.read(spark, RESULT_SCHEMA, but=batch) if by_batch else results.read(spark, RESULT_SCHEMA)
+    fresh = drop_processed(rows, stored, max_rows, RESULT_COLUMNS) if resume and not by_batch else rows
     found = ParquetTable(violations or f"{_staging_folder(spark, None)}/{batch}-{uuid.uuid4().hex}-violations")
-    check_results(fresh, stored, max_rows).write.mode("overwrite").parquet(found.path)
+    check_results(fresh, stored, max_rows, row_rules).write.mode("overwrite").parquet(found.path)
     broken = spark.read.schema("path string, rule string, n_rows long").parquet(found.path)
     counts = broken.groupBy("rule").agg(F.sum("n_rows").alias("n")).orderBy("rule").collect()  # one row per rule
     if counts:
         raise BatchRejected("; ".join(f"{c['rule']}: {c['n']} rows" for c in counts) + f"; see {found.path}")
-    results.append(fresh)
+    results.append_batch(fresh, batch) if by_batch else results.append(fresh)
     if ledger is not None:
         files = rows.select(CATALOG_COLUMNS)
-        if resume:
+        if resume and not isinstance(ledger, ClusteredLedger):
             files = drop_processed(files, current_ledger(rows_for_batch(_log(spark, ledger), files, max_rows)))
         append_ledger(files, ledger, batch)
 
@@ -151,7 +215,10 @@ def _log(spark, ledger):
 
 
 def _recorded(spark, ledger, results):
-    """The ledger's log; without a ledger the results table serves as one."""
+    """The ledger's log, or the ledger if it is clustered; without one the results table
+    serves as one."""
+    if isinstance(ledger, ClusteredLedger):
+        return ledger
     return results.read(spark, RESULT_SCHEMA).select(CATALOG_COLUMNS) if ledger is None else _log(spark, ledger)
 
 
@@ -185,5 +252,4 @@ def _digest(value):
 
 
 def _is_complete(spark, folder):
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder + "/_SUCCESS")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return exists(spark, folder + "/_SUCCESS")

@@ -1,9 +1,11 @@
 """Files in object stores and directories: listing and reading."""
 
+import os
 import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import islice, product
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -13,9 +15,11 @@ from pyspark.sql import functions as F
 from binledger.functions.globs import glob_to_regex, raw_path
 from binledger.schemas import CATALOG_COLUMNS
 
-# Most file bytes a Python worker holds at a time, beyond a single larger file.
 _URI = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?(/[^?#]*)"
+# Most file bytes a Python worker holds at a time, beyond a single larger file.
 _PIECE_BYTES = 64 * 1024 * 1024
+# What opening and reading a file may end with.
+READ_ERRORS = (OSError, pa.ArrowException)
 
 
 def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
@@ -27,7 +31,7 @@ def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
     uri = F.col(uri) if isinstance(uri, str) else uri
     size = F.col(size) if isinstance(size, str) else size
     # By a pattern, as parsing fails on a blank or bracket in a name.
-    path = F.when(uri.rlike(_URI), F.regexp_extract(uri, _URI, 1))
+    path = _one_form(F.when(uri.rlike(_URI), F.regexp_extract(uri, _URI, 1)))
     name = F.element_at(F.split("path", "/"), -1)
     folder = F.regexp_extract("path", "^/([0-9]+)/", 1).try_cast("int")
     class_column = folder if class_value is None else F.lit(class_value).cast("int")
@@ -39,10 +43,35 @@ def describe_files(df: DataFrame, uri, size, class_value=None) -> DataFrame:
 
 
 def _decoded(path: Column) -> Column:
-    """Percent-decoding that leaves ``+`` alone."""
-    return F.when(
-        F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    ).otherwise(path)
+    """Percent-decoding that leaves ``+`` alone, and a value that does not decode."""
+    plain = F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), F.coalesce(plain, path)).otherwise(path)
+
+
+def _one_form(path: Column) -> Column:
+    """A raw path as listings have it: encoded characters beyond ASCII are written out, so
+    that one file has one path. What does not decode stays as it is."""
+    ascii_kept = F.replace(F.regexp_replace(path, "%(?![89A-Fa-f][0-9A-Fa-f])", "%25"), F.lit("+"), F.lit("%2B"))
+    plain = F.try_url_decode(ascii_kept)
+    decodes = path.rlike("%[89A-Fa-f][0-9A-Fa-f]") & ~F.contains(plain, F.lit("\ufffd"))
+    return F.when(decodes, plain).otherwise(path)
+
+
+def names_between(store, folder: str, low: str, high: str | None):
+    """Name and size of the files right below a folder whose names are ``low`` or greater
+    and less than ``high``, in any order. A store that lists by ranges of names can do
+    better than this, which goes through the whole folder; a local one without keeping it."""
+    from pyarrow import fs
+
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                if low <= entry.name and (high is None or entry.name < high) and entry.is_file():
+                    yield entry.name, entry.stat().st_size
+    else:
+        for info in store.get_file_info(fs.FileSelector(folder)):
+            if info.is_file and low <= info.base_name and (high is None or info.base_name < high):
+                yield info.base_name, info.size
 
 
 def file_catalog(
@@ -53,6 +82,8 @@ def file_catalog(
     with_content: bool = False,
     empty_files: bool = True,
     filesystem=None,
+    splits=None,
+    names=names_between,
 ) -> DataFrame:
     """path, size, type, class of the files right below each root folder.
 
@@ -67,18 +98,27 @@ def file_catalog(
     ``empty_files=False`` leaves them out.
 
     Each folder is listed by one process, and the list kept on the driver; more
-    than 32 folders are listed by a Spark job. Where there are hundreds of
-    millions of files, give ``describe_files`` an inventory table instead.
+    than 32 folders are listed by a Spark job. ``splits``, a list of names, lists in tasks
+    instead, one for each root and range between two splits, zero-byte files included, and
+    nothing is kept: for folders of very many files. ``names`` is the function that lists a
+    range (see ``names_between``), such as one that asks the store for it. Where there is
+    an inventory table, give that to ``describe_files``.
     """
     if not isinstance(roots, dict):
         roots = {root: int(root.rstrip("/").rsplit("/", 1)[-1]) for root in roots}
     roots = {root.rstrip("/"): value for root, value in roots.items()}
+    settings = store_settings(spark, next(iter(roots), ""))
+    connect = store_connector(filesystem, settings)
+    if splits is not None:
+        if with_content:
+            raise ValueError("splits give no contents; see read_files")
+        return _list_ranges(_ranges(spark, roots, base, splits), glob, connect, names, lambda size: size or empty_files)
     scans = defaultdict(list)
     for root, value in roots.items():
         scans[value, _folders_kept(root, base)].append(root)
     parts = [_scan(spark, group, glob, *key, with_content) for key, group in scans.items()]
     if empty_files:
-        parts.append(_empty_files(spark, roots, glob, base, with_content, filesystem))
+        parts.append(_empty_files(spark, roots, glob, base, with_content, connect))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -106,34 +146,43 @@ def _scan(spark, roots, glob, class_value, folders, with_content):
     return files.select(*columns, *(["content"] if with_content else []))
 
 
-def _empty_files(spark, roots, glob, base, with_content, filesystem):
-    connect = store_connector(filesystem)
+def _list_ranges(ranges, glob, connect, names, keep):
+    """Function for tasks whose rows are ranges of names; gives catalogue rows of the names
+    that match the glob, in batches of 10,000."""
     pattern = glob_to_regex(glob)
+    schema = pa.schema([("path", "string"), ("size", "int64"), ("type", "string"), ("class", "int32")])
 
-    def list_empty(batches):
-        from pyarrow import fs
-
+    def listed(batches):
         for batch in batches:
-            for root, value, folders in zip(*[batch.column(c).to_pylist() for c in ("root", "class", "folders")]):
-                store, folder = connect(root)
-                found = [f.base_name for f in store.get_file_info(fs.FileSelector(folder)) if f.is_file and not f.size]
-                found = [name for name in found if re.fullmatch(pattern, raw_path(name))]
-                inside = "/" + "/".join(root.split("/")[-folders:]) + "/"
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "path": [raw_path(inside + name) for name in found],
-                        "size": [0] * len(found),
-                        "type": [name.split(".")[-1] for name in found],
-                        "class": [value] * len(found),
-                    },
-                    schema=pa.schema([("path", "string"), ("size", "int64"), ("type", "string"), ("class", "int32")]),
-                )
-
-    rows = [(root, value, _folders_kept(root, base)) for root, value in roots.items()]
-    folders = spark.createDataFrame(rows, "root string, class int, folders int")
-    files = folders.repartition(len(rows)).mapInArrow(
-        list_empty, "path string, size long, type string, class int"
-    )
+            for row in batch.to_pylist():
+                store, folder = connect(row["root"])
+                inside = "/" + "/".join(row["root"].split("/")[-row["folders"] :]) + "/"
+                found = ((n, s) for n, s in names(store, folder, row["low"], row["high"]) if keep(s) and re.fullmatch(pattern, raw_path(n)))
+                while some := list(islice(found, 10_000)):
+                    columns = {
+                        "path": [raw_path(inside + n) for n, _ in some],
+                        "size": [s for _, s in some],
+                        "type": [n.split(".")[-1] for n, _ in some],
+                        "class": [row["class"]] * len(some),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns, schema=schema)
+
+    return ranges.mapInArrow(listed, "path string, size long, type string, class int")
+
+
+def _ranges(spark, roots, base, splits):
+    """One row for each root folder and range of names between splits, dealt one by one."""
+    edges = ["", *sorted(set(splits) - {""}), None]
+    rows = [
+        (i, root, value, _folders_kept(root, base), low, high)
+        for i, ((root, value), (low, high)) in enumerate(product(roots.items(), zip(edges, edges[1:])))
+    ]
+    schema = "task int, root string, class int, folders int, low string, high string"
+    return spark.createDataFrame(rows, schema).repartitionById(len(rows), "task")
+
+
+def _empty_files(spark, roots, glob, base, with_content, connect):
+    files = _list_ranges(_ranges(spark, roots, base, []), glob, connect, names_between, lambda size: not size)
     return files.withColumn("content", F.lit(b"")) if with_content else files
 
 
@@ -145,25 +194,57 @@ def store_uri(base: str) -> str:
     return base if "://" in base or not base.startswith("file:") else "file://" + base[len("file:") :]
 
 
-def store_connector(filesystem=None):
+def store_settings(spark: SparkSession, base: str) -> dict:
+    """What the session's ``fs.s3a.*`` settings, those of the bucket first, say for
+    ``pyarrow.fs.S3FileSystem``; nothing for other stores."""
+    if not store_uri(base).startswith("s3://"):
+        return {}
+    hadoop = spark._jsc.hadoopConfiguration()
+    bucket = store_uri(base)[len("s3://") :].split("/", 1)[0]
+
+    def get(name):
+        return hadoop.get(f"fs.s3a.bucket.{bucket}.{name}") or hadoop.get(f"fs.s3a.{name}")
+
+    settings = {
+        "access_key": get("access.key"),
+        "secret_key": get("secret.key"),
+        "session_token": get("session.token"),
+        "region": get("endpoint.region"),
+        "role_arn": get("assumed.role.arn"),
+    }
+    if "Anonymous" in (get("aws.credentials.provider") or ""):
+        settings = {"anonymous": True, "region": settings["region"]}
+    endpoint = get("endpoint")
+    if endpoint:
+        scheme, _, host = endpoint.rpartition("://")
+        settings["endpoint_override"] = host
+        settings["scheme"] = scheme or ("http" if get("connection.ssl.enabled") == "false" else "https")
+        settings["force_virtual_addressing"] = get("path.style.access") != "true"
+    return {k: v for k, v in settings.items() if v is not None}
+
+
+def store_connector(filesystem=None, settings: dict | None = None):
     """Function for use inside tasks: folder URI -> (``pyarrow.fs`` store, folder
-    in it). ``filesystem`` is a function giving the store, for settings a URI
-    cannot hold, such as anonymous access; without it the scheme decides."""
+    in it). ``filesystem`` is a function giving the store, for what neither a URI nor the
+    session's settings hold; without it the scheme decides, with ``store_settings``."""
 
     def connect(base):
         from pyarrow import fs
 
         uri = store_uri(base)
-        store, folder = (filesystem(), uri.split("://", 1)[-1]) if filesystem else fs.FileSystem.from_uri(uri)
+        if filesystem or settings:
+            store, folder = filesystem() if filesystem else fs.S3FileSystem(**settings), uri.split("://", 1)[-1]
+        else:
+            store, folder = fs.FileSystem.from_uri(uri)
         return store, folder.rstrip("/")
 
     return connect
 
 
-def file_opener(base: str, filesystem=None):
+def file_opener(base: str, filesystem=None, settings: dict | None = None):
     """Function for use inside tasks: path of a catalogue row -> open file below
     ``base``. The connection is made once per Python worker."""
-    connect = store_connector(filesystem)
+    connect = store_connector(filesystem, settings)
     connection = []
 
     def open_file(path):
@@ -175,29 +256,53 @@ def file_opener(base: str, filesystem=None):
     return open_file
 
 
-def read_files(df: DataFrame, base: str, range_bytes: int = 0, filesystem=None, threads: int = 8) -> DataFrame:
+def read_files(
+    df: DataFrame, base: str, range_bytes: int = 0, filesystem=None, threads: int = 8, errors: bool = False, more=None
+) -> DataFrame:
     """Add ``content`` to catalogue rows: the bytes of each file below ``base``,
     fetched by the task that holds the row. ``range_bytes`` asks for bytes 0 to
-    ``range_bytes``, both included, as in an HTTP range; 0 means the whole file.
+    ``range_bytes``, both included, as in an HTTP range; 0 means the whole file. ``more``
+    is a function that tells from these bytes how many are needed from the start; if that
+    is more than there are, the rest is fetched too.
+
+    A file that cannot be read fails the task. With ``errors`` it gives a row without
+    content, and the reason in the column ``error``, which is missing in other rows.
     """
-    open_file = file_opener(base, filesystem)
+    open_file = file_opener(base, filesystem, store_settings(df.sparkSession, base))
 
-    def one(path):
+    def fetch(path):
         with open_file(path) as file:
-            return file.read_at(range_bytes + 1, 0) if range_bytes else file.read()
+            data = file.read_at(range_bytes + 1, 0) if range_bytes else file.read()
+            needed = more(data) if more else 0
+            return data + file.read_at(needed - len(data), len(data)) if len(data) < min(needed, file.size()) else data
+
+    def one(path):
+        try:
+            return fetch(path), None
+        except READ_ERRORS as e:
+            if not errors:
+                raise
+            return None, reason(e)
 
     def read(batches):
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
                 sizes = [range_bytes + 1] * batch.num_rows if range_bytes else batch.column("size").to_pylist()
                 for piece in _pieces(batch, sizes):
-                    content = list(pool.map(one, piece.column("path").to_pylist()))
-                    yield pa.RecordBatch.from_arrays(
-                        piece.columns + [pa.array(content, pa.binary())], names=piece.schema.names + ["content"]
-                    )
+                    found = list(pool.map(one, piece.column("path").to_pylist()))
+                    new = {"content": pa.array([f[0] for f in found], pa.binary())}
+                    if errors:
+                        new["error"] = pa.array([f[1] for f in found], pa.string())
+                    yield pa.RecordBatch.from_arrays([*piece.columns, *new.values()], names=[*piece.schema.names, *new])
 
     rows = df.select(*CATALOG_COLUMNS, *[c for c in df.columns if c not in CATALOG_COLUMNS])
-    return rows.mapInArrow(read, rows.select("*", F.lit(None).cast("binary").alias("content")).schema)
+    schema = rows.select("*", F.lit(None).cast("binary").alias("content")).schema
+    return rows.mapInArrow(read, schema.add("error", "string") if errors else schema)
+
+
+def reason(error) -> str:
+    """An error in a few words for a table."""
+    return f"{type(error).__name__}: {error}"[:500]
 
 
 def _pieces(batch, sizes):

@@ -3,6 +3,7 @@
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -30,6 +31,30 @@ class ParquetTable:
         df.write.mode("append").parquet(self.path)
 
 
+@dataclass(frozen=True)
+class BatchTable:
+    """A folder of Parquet files with a partition for each batch, which a batch is written
+    over: the same append again, also after a half-done one, leaves the same rows."""
+
+    path: str
+
+    @property
+    def location(self) -> str:
+        return self.path
+
+    def read(self, spark: SparkSession, schema: T.StructType, but: int | None = None) -> DataFrame:
+        """The table with the given schema, without the rows of batch ``but``; empty before
+        the first append."""
+        partitioned = T.StructType([f for f in schema if f.name != "batch"]).add("batch", "long")
+        rows = ParquetTable(self.path).read(spark, partitioned)
+        return (rows if but is None else rows.filter(rows["batch"] != but)).select(schema.names)
+
+    def append_batch(self, df: DataFrame, batch: int) -> None:
+        rows = df.withColumn("batch", F.lit(batch).cast("bigint"))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch").parquet(self.path)
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """A table of a SQL database.

@@ -183,3 +183,69 @@ def test_every_file_is_read_once(spark, store):
 def test_staging_folder(spark, store):
     assert B._staging_folder(spark, "/x/") == "/x/batches"
     assert B._staging_folder(spark, None).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_deleted_file_is_put_aside_and_tried_again(spark, store):
+    """A file deleted after the listing, and one that cannot be opened as a file."""
+    listed = B.file_catalog(spark, store.roots, "*.???", f"{store.folder}/bucket")
+    catalog = spark.createDataFrame(listed.collect(), listed.schema)
+    victims = ["/0/r2.exe", "/1/r3.exe"]
+    kept = {v: (store.folder / "bucket" / v[1:]).read_bytes() for v in victims}
+    for v in victims:
+        (store.folder / "bucket" / v[1:]).unlink()
+    (store.folder / "bucket" / victims[1][1:]).mkdir()
+    options = {"catalog": catalog, "base": f"{store.folder}/bucket", "unreadable": 0.2}
+    got = rows(store.run(spark, 1000, batch=1, **options))
+    assert got == store.stored(spark) == store.expected(set(store.files) - set(victims))
+    aside = B.unreadable_files(spark, 1)
+    assert sorted(r["path"] for r in aside.filter("path like '/%/r_.exe'").collect() if r["path"] in victims) == victims
+    assert all(r["error"] for r in aside.collect())
+    (store.folder / "bucket" / victims[1][1:]).rmdir()
+    for v, data in kept.items():
+        (store.folder / "bucket" / v[1:]).write_bytes(data)
+    assert {r["path"] for r in store.run(spark, 1000, batch=2, **options).collect()} == set(victims)
+    assert store.stored(spark) == store.expected(store.files)
+    assert B.unreadable_files(spark, 2).count() == 0 == B.unreadable_files(spark, 77).count()
+
+
+def test_too_many_unreadable_files(spark, store):
+    catalog = spark.createDataFrame(
+        [(f"/0/gone{i}.exe", 5, "exe", 0) for i in range(20)] + [("/1/r1.exe", len(store.files["/1/r1.exe"][0]), "exe", 1)],
+        "path string, size long, type string, class int",
+    )
+    options = {"catalog": catalog, "base": f"{store.folder}/bucket"}
+    for _ in range(2):
+        with pytest.raises(B.TooManyUnreadable, match="20 of 21 files"):
+            store.run(spark, 1000, batch=5, **options)
+    assert store.stored(spark) == [] and store.recorded(spark) == []
+    assert B.unreadable_files(spark, 5).count() == 20
+    assert store.run(spark, 1000, batch=5, unreadable=1.0, **options).count() == 1
+
+
+def test_header_limit_of_the_job(spark, store):
+    """Headers behind 8 KiB are damaged by default, and followed with None or a larger limit."""
+    late = build(64, [3, 2], 4, header_offset=100_000)
+    (store.folder / "bucket/0/late.exe").write_bytes(late)
+    architectures = []
+    for batch, limit in enumerate([8192, None, 200_000]):
+        results = ParquetTable(f"{store.folder}/results{batch}")
+        options = {"results": results, "ledger": None, "header_limit": limit, "strict_headers": False}
+        got = store.run(spark, 1000, batch=batch, **options)
+        architectures.append(got.filter("path = '/0/late.exe'").first()["architecture"])
+    assert architectures == [None, "64", "64"]
+
+
+def test_rules_counted_in_the_write(spark):
+    """The numbers of the write are those of the check of the written rows."""
+    from pyspark.sql import Observation
+
+    from binledger.operators.checks import check_results, watch_rules
+
+    bad = [("/0/a", 1, "exe", "16", 0, 0), (None, None, "html5", "32", 0, 0), ("x" * 300, 2, None, None, 0, 0), ("/0/a", 1, "exe", "64", 0, 0)]
+    df = spark.createDataFrame(bad, RESULT_SCHEMA)
+    counted = Observation()
+    watch_rules(df, counted).collect()
+    whole = {r["rule"]: r["n"] for r in check_results(df).groupBy("rule").agg({"n_rows": "sum"}).toDF("rule", "n").collect()}
+    assert {rule: n for rule, n in counted.get.items() if n} == {r: n for r, n in whole.items() if r != "path_repeated"}
+    rest = check_results(df, row_rules=False)
+    assert rows(rest) == [("/0/a", "path_repeated", 2)]

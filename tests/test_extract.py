@@ -216,3 +216,55 @@ def test_derived_executables_match_the_generator(spark):
         sound = size not in (49, 50) and not (size % 7 == 0 and 64 + 8 * (k % 300) + 24 + 112 <= 3072)
         want = ("64" if k % 2 else "32", sum((k + i) % 40 for i in range(n)), size - 1) if sound else CORRUPTED
         assert got[f"/0/{k}.exe"] == want, k
+
+
+def test_blocks_of_a_file_are_fetched_once():
+    """Lists of 60 DLLs all over a file cost a request for each block, not for each list."""
+    from binledger.functions import symbols
+    from binledger.operators.extract import _BLOCK, _reads
+
+    class File:
+        def __init__(self, data):
+            self.data, self.reads = data, []
+
+        def size(self):
+            return len(self.data)
+
+        def read_at(self, n, at):
+            self.reads.append((at, n))
+            return self.data[at : at + n]
+
+    rng = random.Random(4)
+    file = File(rng.randbytes(3 * _BLOCK + 1000))
+    take, size = _reads(file)
+    for _ in range(500):
+        at, n = rng.randrange(size + 2000), rng.randrange(5000)
+        assert take(at, n) == file.data[at : at + n]
+    assert len(file.reads) <= 4
+    assert take(0, size * 2) == file.data and take(10, 20 * _BLOCK) == file.data[10:]
+    many = File(build(64, [i % 50 for i in range(60)], 5))
+    take, size = _reads(many)
+    sections = symbols.read_sections(take, 64 + 24 + 112 + 128, 2)
+    assert sum(symbols.dll_symbol_counts(take, size, symbols.section_spans(sections), 0x3028, 8)) == sum(i % 50 for i in range(60))
+    assert len(many.reads) == 1
+
+
+def test_unreadable_files_have_a_reason(spark, files, tmp_path):
+    (tmp_path / "0").mkdir()
+    (tmp_path / "0/a.exe").write_bytes(build(64, [3], 2))
+    (tmp_path / "0/folder.exe").mkdir()
+    df = files([("/0/a.exe", 1, "exe"), ("/0/gone.exe", 1, "exe"), ("/0/folder.exe", 1, "exe")])
+    got = {r["path"]: r for r in extract_from_store(df, str(tmp_path), errors=True).collect()}
+    assert got["/0/a.exe"]["error"] is None and got["/0/a.exe"]["imports"] == 3
+    for path in ("/0/gone.exe", "/0/folder.exe"):
+        assert got[path]["error"] and got[path]["architecture"] is None and got[path]["imports"] is None
+
+
+def test_store_reads_follow_late_headers(spark, files, tmp_path):
+    (tmp_path / "0").mkdir()
+    for at in (64, 8100, 20_000, 300_000):
+        (tmp_path / f"0/{at}.exe").write_bytes(build(64, [3], 2, header_offset=at))
+    df = files([(f"/0/{at}.exe", 1, "exe") for at in (64, 8100, 20_000, 300_000)])
+    late = extracted(extract_from_store(df, str(tmp_path)))
+    assert late["/0/20000.exe"] == late["/0/300000.exe"] == CORRUPTED and late["/0/64.exe"] == ("64", 3, 2)
+    assert set(extracted(extract_from_store(df, str(tmp_path), header_limit=None)).values()) == {("64", 3, 2)}
