@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from binledger.llm.staging import small_batches
+from binledger.llm.staging import small_batches, staged
 
 TOKENIZERS = "byte_bpe_50k"
+PIECES = "piece_bpe_32k"
 
 
 def _read(spark, sf_dir, name):
@@ -105,6 +106,29 @@ def op11_collocations(spark, sf_dir):
     return stripes.collocations(_read(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_aligned_tokens(spark, sf_dir):
+    import public_tokenizers
+
+    from binledger.llm import alignment
+
+    with open(public_tokenizers.path(f"{TOKENIZERS}.json"), encoding="utf-8") as file:
+        a = alignment.ByteLevelCodec(file.read())
+    with open(public_tokenizers.path(f"{PIECES}.model"), "rb") as file:
+        b = alignment.PieceModelCodec(file.read())
+    aligned = alignment.align_tokens(_read(spark, sf_dir, "documents").select("doc_id", "text"), a, b)
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    aligned = staged(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "links", digest), "aligned")
+    pairs = alignment.possible_pairs(a.open().token_bytes, b.open().token_bytes)
+    found = alignment.best_links(aligned, alignment.link_counts(aligned), pairs)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_license_scan(spark, sf_dir):
+    from binledger.llm import licenses
+
+    return licenses.scan_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     """One query per operator, and the pipeline."""
     return {name: fn for name, fn in globals().items() if name.startswith("op")}

@@ -9,14 +9,14 @@ import numpy as np
 import pyarrow.compute as pc
 
 _OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def split(text: str) -> list:
     """Keys of the pieces of a text: the first as a tuple, a later one as the
     string behind its space."""
     run = "  " in text or any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE)
-    parts = _CUT.split(text) if run else text.split(" ")
+    parts = CUT.split(text) if run else text.split(" ")
     parts[0] = (parts[0],)
     return parts
 

@@ -1,0 +1,105 @@
+import re
+
+import pytest
+
+from binledger.llm import entry, licenses
+
+TYPES = "doc_id long, text string"
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+
+def brute_force(texts, statements=licenses.STATEMENTS, notices=licenses.NOTICES, phrases=licenses.PHRASES):
+    """Every phrase at every place, every template against every block."""
+    out = []
+    for text in texts:
+        words = words_of(text)
+        hits = [(i, label) for phrase, label in phrases.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+        base = {label for _, label in hits}
+        found, score = set(base), 0.0
+        for cut, templates, share in ((r"\n", statements, 1.0), (r"\n[\x20\x09\x0B-\x0D]*\n", notices, 0.8)):
+            for block in re.split(cut, text or ""):
+                held = set(words_of(block))
+                for label, template in templates.items():
+                    wanted = set(words_of(template))
+                    if wanted and len(held & wanted) >= share * len(wanted) - 1e-9:
+                        found.add(label)
+                        score = max(score, len(held & wanted) / len(wanted))
+        places = [i for i, _ in hits]
+        out.append((len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(found)), score))
+    return out
+
+
+def scanned(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), TYPES).repartition(3)
+    got = licenses.scan_licenses(df, **options)
+    assert got.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return [tuple(r)[1:] for r in sorted(got.collect())]
+
+
+NOTICE = licenses.NOTICES["mit"].split()
+TEXTS = [
+    "Licensed under the Apache License, Version 2.0.",
+    "Some prose.\nThis work is licensed under the GNU General Public License, version 3.\nMore prose.",
+    "Released under the MIT License. mit-license MIT/LICENSE apache\nlicense cc.by CC BY cc by",
+    "Licensed under CC BY-NC 4.0.",
+    "Released under the BSD License.",
+    "released under the license",
+    "Licensed under the Apache License,\nVersion 2.0.",
+    " ".join(NOTICE),
+    "Intro\n\n" + "\n".join(" ".join(NOTICE[i : i + 7]) for i in range(0, len(NOTICE), 7)) + "\n \t\nOutro",
+    " ".join(NOTICE[: len(NOTICE) * 9 // 10]) + " the end",
+    " ".join(NOTICE[: len(NOTICE) // 2]),
+    "\n\n".join(NOTICE),
+    " ".join(reversed(NOTICE)) + " " + licenses.NOTICES["bsd"],
+    "",
+    None,
+    "...",
+    "É license 许可 mit é license",
+    "xmit license, mit licenses, mitlicense, gnu general public licensed",
+    "GNU General Public License GNU General Public License",
+    "Licensed under CC BY-NC 4.0.",
+]
+
+
+def test_query_against_every_pair(spark):
+    assert scanned(spark, TEXTS) == brute_force(TEXTS)
+
+
+def test_own_templates_at_the_threshold(spark):
+    """Templates of many sizes, blocks with just enough and one word too few."""
+    notices = {f"t{n}": " ".join(f"w{i}" for i in range(n)) for n in (1, 2, 5, 9, 10, 11, 40)}
+    texts = [" ".join(f"w{i}" for i in range(n)) + " w0 w0 other" for n in (0, 1, 2, 3, 4, 7, 8, 9, 31, 32, 33, 40)]
+    texts += [" ".join(f"w{i}" for i in range(39, 39 - n, -1)) for n in (7, 8, 31, 32)] + ["w0 " * 500]
+    options = {"statements": {"first": "w1 w0 w1", "none": "..."}, "notices": notices, "phrases": {"w0 w0": "twice", "w0": "once"}}
+    assert scanned(spark, texts, **options) == brute_force(texts, **options)
+
+
+def test_no_templates(spark):
+    assert scanned(spark, TEXTS, statements={}, notices={}) == brute_force(TEXTS, {}, {})
+
+
+def test_repeated_keys_and_clashing_columns(spark):
+    rows = [(1, TEXTS[0], "x", 5), (1, TEXTS[4], "y", 6), (None, TEXTS[0], "z", 7)]
+    df = spark.createDataFrame(rows, "row int, text string, words string, labels int")
+    got = sorted((tuple(r) for r in licenses.scan_licenses(df, key="row").collect()), key=repr)
+    assert [(r[0], r[6]) for r in got] == [(1, "apache,apache-2.0"), (1, "bsd"), (None, "apache,apache-2.0")]
+
+
+def test_no_rows(spark):
+    assert licenses.scan_licenses(spark.createDataFrame([], TYPES)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["mit license " * 50_000, "a" * 1_000_000, "\n" * 100_000 + "cc by"])
+def test_very_long_texts(spark, text):
+    assert scanned(spark, [text]) == brute_force([text])
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), TYPES)
+    plan = licenses.scan_licenses(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+    assert "op13_license_scan" in entry.queries()
