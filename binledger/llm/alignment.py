@@ -5,6 +5,7 @@ doubling these pointers until they rest leads each token to the last one of its
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +43,24 @@ class ByteLevelCodec:
         self.token_bytes = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
             self.token_bytes[i] = bytes(of[c] for c in name) if all(c in of for c in name) else name.encode()
+        self.n_bytes = np.array([len(x) for x in self.token_bytes], np.int64)
         self.library = library
         return self
 
-    def encode(self, texts) -> list:
-        """Ids of a space and each text."""
-        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a space and each piece, one after the other, and how many each has. Pieces
+        that neither begin nor end with white space are encoded as one text, as fewer calls."""
+        alone = np.array([t[0].isspace() or t[-1].isspace() for t in pieces], bool)
+        order = np.argsort(alone, kind="stable")
+        spaced, n = [" " + pieces[i] for i in order.tolist()], len(pieces) - int(alone.sum())
+        texts = ["".join(spaced[k : min(k + 1000, n)]) for k in range(0, n, 1000)] + spaced[n:]
+        rows = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(r.ids for r in rows), np.int64)
+        ends = np.cumsum([len(t.encode()) for t in spaced])
+        last = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
+        counts = np.diff(last, prepend=0)
+        of = np.argsort(order)
+        return ids[ranges((last - counts)[of], counts[of])], counts[of]
 
 
 class PieceModelCodec:
@@ -65,10 +78,12 @@ class PieceModelCodec:
         self.token_bytes = [
             bytes([int(name[3:5], 16)]) if self.library.is_byte(i) else name.replace("▁", " ").encode() for i, name in zip(ids, names)
         ]
+        self.n_bytes = np.array([len(x) for x in self.token_bytes], np.int64)
         return self
 
-    def encode(self, texts) -> list:
-        return self.library.encode(list(texts), num_threads=1)
+    def encode(self, pieces) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.library.encode(pieces, num_threads=1)
+        return np.fromiter(chain.from_iterable(rows), np.int64), np.fromiter(map(len, rows), np.int64, len(rows))
 
 
 def terminals(a_ends, b_ends) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +117,7 @@ class Aligner:
 
     def open(self):
         self.a, self.b = self.a.open(), self.b.open()
-        self.n_bytes = [np.array([len(x) for x in c.token_bytes], np.int64) for c in (self.a, self.b)]
+        self.spelled = [str(i) for i in range(max(len(self.a.token_bytes), len(self.b.token_bytes)))]
         self.pairs = possible_pairs(self.a.token_bytes, self.b.token_bytes)
         self._forget()
         return self
@@ -115,20 +130,17 @@ class Aligner:
 
     def _learn(self, texts):
         """Aligns new pieces, all at once as if they were one text."""
-        rows_a, rows_b = self.a.encode(texts), self.b.encode(texts)
+        (a, n_a), (b, n_b) = self.a.encode(texts), self.b.encode(texts)
         targets = [b" " + t.encode() for t in texts]
-        name_a, name_b = self.a.token_bytes.__getitem__, self.b.token_bytes.__getitem__
-        good = [
-            b"".join(map(name_a, x)) == t and b"".join(map(name_b, y)) == t for x, y, t in zip(rows_a, rows_b, targets)
-        ]
-        rows = [(x, y) if g else ((), ()) for x, y, g in zip(rows_a, rows_b, good)]
-        n_a, n_b = (np.array([len(r[side]) for r in rows], np.int64) for side in (0, 1))
-        a, b = (np.array([i for r in rows for i in r[side]], np.int64) for side in (0, 1))
-        a_ends, b_ends = np.cumsum(self.n_bytes[0][a]), np.cumsum(self.n_bytes[1][b])
+        good = _gives_back(self.a, a, n_a, targets) & _gives_back(self.b, b, n_b, targets)
+        if not good.all():
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
+        a_ends, b_ends = np.cumsum(self.a.n_bytes[a]), np.cumsum(self.b.n_bytes[b])
         of_a, of_b = terminals(a_ends, b_ends)
         last = np.unique(of_b)  # in the order of the text
-        piece = np.repeat(np.arange(len(rows)), n_b)[last]
-        n_groups = np.bincount(piece, minlength=len(rows))
+        piece = np.repeat(np.arange(len(texts)), n_b)[last]
+        n_groups = np.bincount(piece, minlength=len(texts))
         # The two last tokens of a group end together, and no others.
         links = pair_places(self.pairs, a[np.searchsorted(a_ends, b_ends[last])], b[last])
         self._name(a, b, of_a, of_b, last, n_groups)
@@ -137,7 +149,7 @@ class Aligner:
             self.facts, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.facts, self.starts))
         while self.used + len(links) > len(self.links):
             self.links = np.concatenate([self.links, np.zeros_like(self.links)])
-        self.facts[n : n + k] = np.stack([n_a, n_b, n_groups, n_groups, np.array(good, np.int64)], axis=1)
+        self.facts[n : n + k] = np.stack([n_a, n_b, n_groups, n_groups, good.astype(np.int64)], axis=1)
         self.starts[n : n + k] = self.used + np.cumsum(n_groups) - n_groups
         self.links[self.used : self.used + len(links)] = links
         self.used += len(links)
@@ -147,7 +159,8 @@ class Aligner:
         """The groups of each piece as text."""
         at_a = np.searchsorted(of_a, last, "right").tolist()
         at_b = np.searchsorted(of_b, last, "right").tolist()
-        a, b = [str(i) for i in a.tolist()], [str(i) for i in b.tolist()]
+        spelled = self.spelled.__getitem__
+        a, b = list(map(spelled, a.tolist())), list(map(spelled, b.tolist()))
         names = [
             ",".join(a[i:j]) + "|" + ",".join(b[k:m]) for i, j, k, m in zip([0, *at_a], at_a, [0, *at_b], at_b)
         ]
@@ -193,6 +206,17 @@ class Aligner:
         return pa.RecordBatch.from_arrays(columns, names=["groups", "links", "n_a", "n_b", "n_groups", "n_links"])
 
 
+def _gives_back(codec, ids, counts, targets):
+    """Whether the tokens of each piece are its bytes again."""
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    sizes = np.diff(np.concatenate([[0], np.cumsum(codec.n_bytes[ids])])[ends])
+    parts = list(map(codec.token_bytes.__getitem__, ids.tolist()))
+    if (sizes == np.array([len(t) for t in targets], np.int64)).all() and b"".join(parts) == b"".join(targets):
+        return np.ones(len(targets), bool)
+    ends = ends.tolist()
+    return np.array([b"".join(parts[i:j]) == t for i, j, t in zip(ends, ends[1:], targets)], bool)
+
+
 def possible_pairs(a_bytes, b_bytes) -> np.ndarray:
     """All pairs of ids (a << 32 | b, ascending) whose tokens can end together over the
     same bytes: one's bytes end with the other's. No more than the bytes of both
@@ -248,6 +272,14 @@ def align_tokens(df: DataFrame, codec_a, codec_b, text: str = "text") -> DataFra
     return rows.mapInArrow(align, schema)
 
 
+def _links(column):
+    """All links of a column of lists of them, and where each row's end, after a zero."""
+    offsets = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    links = np.frombuffer(data, "<i4") if data and data.size else np.zeros(0, "<i4")
+    return links[offsets[0] // 4 : offsets[-1] // 4], (offsets - offsets[0]) // 4
+
+
 def link_counts(aligned: DataFrame) -> DataFrame:
     """pair (place in ``possible_pairs``) and n, how many links of all texts hold it. No
     more rows than possible pairs."""
@@ -255,12 +287,11 @@ def link_counts(aligned: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                if value.is_valid:
-                    links = np.frombuffer(value.as_buffer(), "<i4")
-                    if len(links) and links.max() >= len(total):
-                        total = np.concatenate([total, np.zeros(int(links.max()) + 1, np.int64)])
-                    total[: int(links.max()) + 1 if len(links) else 0] += np.bincount(links)
+            links, _ = _links(batch.column(0))
+            found = np.bincount(links, minlength=1)
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found), np.int64)])
+            total[: len(found)] += found
         pair = np.flatnonzero(total)
         for at in range(0, len(pair), 50_000):
             some = pair[at : at + 50_000]
@@ -289,12 +320,10 @@ def best_links(aligned: DataFrame, counts: DataFrame, pairs: np.ndarray) -> Data
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, is_best = table()
-            found = []
-            for value in batch.column(at):
-                links = np.frombuffer(value.as_buffer(), "<i4") if value.is_valid else np.zeros(0, np.int32)
-                found.append((int(is_best[links].sum()), int(counts[links].sum())))
+            links, ends = _links(batch.column(at))
+            sums = [np.diff(np.concatenate([[0], np.cumsum(x[links], dtype=np.int64)])[ends]) for x in (is_best, counts)]
             columns = [c for i, c in enumerate(batch.columns) if i != at]
-            columns += [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)]
+            columns += [pa.array(x, pa.int64()) for x in sums]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_best", "count_sum"])
 
     schema = rows.drop("links").schema.add("n_best", "long").add("count_sum", "long")

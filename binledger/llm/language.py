@@ -20,30 +20,44 @@ def has_letter(text):
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _codes(texts):
-    """Lower-case code points of several texts with a blank before, between and after."""
-    joined = " " + "\n".join(texts).lower() + " "
-    return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def _buckets(codes, lengths, n_buckets):
-    """Bucket of the n-gram that starts at each place, one array per length."""
+def _grams(texts, lengths, n_buckets):
+    """(place in texts, bucket) of every n-gram of texts in lower case with a blank before
+    and behind each, about ``_AT_ONCE`` characters at a time, in the order of the texts. No
+    n-gram goes from one text to the next, and none of a long text is lost or counted twice."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        padded = f" {text.lower()} "
+        for at in range(0, len(padded), _AT_ONCE):
+            part = padded[at : at + _AT_ONCE + max(lengths) - 1]
+            held.append((i, part, min(_AT_ONCE, len(padded) - at)))
+            size += len(part)
+            if size >= _AT_ONCE:
+                yield from _hashed(held, lengths, n_buckets)
+                held, size = [], 0
+    if held:
+        yield from _hashed(held, lengths, n_buckets)
+
+
+def _hashed(held, lengths, n_buckets):
+    """(place, bucket) of the n-grams of one length that start in the first characters of
+    each part, as many as the part says, and end in it."""
+    codes = np.frombuffer("".join(part for _, part, _ in held).encode("utf-32-le", "surrogatepass"), np.uint32)
+    places, sizes, firsts = (np.array(x, np.int64) for x in zip(*[(i, len(part), n) for i, part, n in held]))
+    ends = np.cumsum(sizes)
+    owner = np.repeat(places, sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(codes))
+    own = np.repeat(ends - sizes + firsts, sizes) > np.arange(len(codes))
     value = np.zeros(len(codes), np.uint32)
     for n in range(1, max(lengths) + 1):
         if len(codes) < n:
             return
-        value = value[: len(codes) - n + 1] * np.uint32(0x01000193) + codes[n - 1 :] * _BASES[(n - 1) % len(_BASES)]
+        size = len(codes) - n + 1
+        value = value[:size] * np.uint32(0x01000193) + codes[n - 1 :] * _BASES[(n - 1) % len(_BASES)]
         if n in lengths:
             mixed = value ^ value >> np.uint32(15)
-            yield ((mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - (n_buckets - 1).bit_length())).astype(np.int64)
-
-
-def _parts(text, lengths):
-    """A text in parts of ``_AT_ONCE`` characters, each with the last ones of the part
-    before, so that no n-gram is lost. At a cut those of the overlap count twice, and a
-    few with a blank are added."""
-    for at in range(0, max(len(text), 1), _AT_ONCE):
-        yield text[max(at - max(lengths) + 1, 0) : at + _AT_ONCE]
+            bucket = (mixed * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - (n_buckets - 1).bit_length())
+            inside = own[:size] & (left[:size] >= n)
+            yield owner[:size][inside], bucket[inside].astype(np.int64)
 
 
 def train(
@@ -76,9 +90,8 @@ def train(
                     if len(sums) >= MAX_LANGUAGES:
                         raise ValueError(f"more than {MAX_LANGUAGES} labels")
                     sums[name] = np.zeros(buckets, np.int64)
-                for group in _grouped(texts, lengths):
-                    for at in _buckets(_codes(group), lengths, buckets):
-                        sums[name] += np.bincount(at, minlength=buckets)
+                for _, at in _grams(texts, lengths, buckets):
+                    sums[name] += np.bincount(at, minlength=buckets)
         for name, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.record_batch(
@@ -102,20 +115,6 @@ def train(
     return names, np.log((sums + smoothing) / totals).astype(np.float32) if names else sums.astype(np.float32)
 
 
-def _grouped(texts, lengths):
-    """Lists of texts of about ``_AT_ONCE`` characters; a longer text is cut."""
-    held, size = [], 0
-    for text in texts:
-        for part in _parts(text, lengths):
-            held.append(part)
-            size += len(part)
-            if size >= _AT_ONCE:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
 def predict(
     df: DataFrame, names: list[str], matrix: np.ndarray, text: str = "text", lengths: tuple = LENGTHS
 ) -> DataFrame:
@@ -134,19 +133,20 @@ def predict(
         names, matrix = shared.value
         columns = np.ascontiguousarray(matrix.T)
         for batch in batches:
-            best, share = [], []
-            for value in batch.to_pylist():
-                if value is None or not names:
-                    best.append("und")
-                    share.append(0.0)
-                    continue
-                total = np.zeros(len(names))
-                for part in _parts(value, lengths):
-                    for at in _buckets(_codes([part]), lengths, buckets):
-                        total += [c[at].sum(dtype=np.float64) for c in columns]
-                top = int(total.argmax())
-                best.append(names[top])
-                share.append(float(1 / np.exp(total - total[top]).sum()))
+            texts = batch.to_pylist()
+            named = [i for i, t in enumerate(texts) if t is not None and names]
+            # All n-grams of the batch times the matrix: sums of its rows by text.
+            total = np.zeros((len(named), len(names)))
+            for owner, at in _grams([texts[i] for i in named], lengths, buckets):
+                heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
+                for k, column in enumerate(columns):
+                    total[owner[heads], k] += np.add.reduceat(column[at], heads, dtype=np.float64) if len(at) else 0
+            best, share = ["und"] * len(texts), np.zeros(len(texts))
+            if named:
+                top = total.argmax(axis=1)
+                share[named] = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+                for i, k in zip(named, top.tolist()):
+                    best[i] = names[k]
             yield pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(share, pa.float64())], ["lang_pred", "score"])
 
     column = F.col(f"`{text}`")

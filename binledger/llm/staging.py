@@ -28,6 +28,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it if a frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def share(spark: SparkSession, value):
     """Broadcasts an object of this package; call the result for it in a task. A worker
     unpacks it once and keeps it for its later tasks."""

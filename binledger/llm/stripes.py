@@ -22,6 +22,8 @@ from binledger.llm.staging import staged
 #: has many segments, dealt out by the next word.
 SEGMENT = 1 << 18
 _SALTS = 32
+# A word's id is made of the place where it was met: block number and code in the block.
+_BLOCK_BITS, _CODE_BITS = 16, 26
 _BREAK = b"."
 #: The characters that end a piece.
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", _BREAK * 10)
@@ -30,23 +32,22 @@ _BLOCKS = "block long, lang string, words array<string>, counts array<long>, cod
 _GROWN = pa.schema(
     [
         ("block", pa.int64()),
-        ("lang", pa.string()),
         # a stripe
         ("phrase", pa.int64()),
         ("segment", pa.int32()),
         ("nexts", pa.binary()),
         ("counts", pa.binary()),
         # or what goes on to the next level
-        ("places", pa.binary()),
         ("words", pa.binary()),
+        ("ids", pa.binary()),
         ("phrases", pa.binary()),
+        ("phrase_ids", pa.binary()),
     ]
 )
 _GROWN_TYPES = (
-    "block long, lang string, phrase long, segment int, nexts binary, counts binary, "
-    "places binary, words binary, phrases binary"
+    "block long, phrase long, segment int, nexts binary, counts binary, words binary, ids binary, phrases binary, phrase_ids binary"
 )
-_MERGED = "block long, lang string, phrase long, nexts array<long>, ids array<long>, counts array<long>"
+_MERGED = "block long, phrase long, nexts array<long>, ids array<long>, weights array<long>"
 
 
 def lower_pieces(data: bytes) -> list:
@@ -81,7 +82,7 @@ def text_blocks(df: DataFrame, text: str, lang: str, tokens: int = 1 << 20) -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 33
+        number = TaskContext.get().partitionId() << _BLOCK_BITS
         held = {}
         for batch in batches:
             for name, value in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -118,72 +119,94 @@ def _pairs(a, b, more_a, more_b):
     return number[: len(a)], number[len(a) :]
 
 
-def _stripe_rows(number, name, phrase, total, following):
-    """Stripes of one block from phrase, its total, and next word of each place."""
+def _stripe_rows(number, phrase, segments, following):
+    """Stripes of one block from phrase, its number of segments, and next word of each place."""
     order = np.lexsort((following, phrase))
-    phrase, following, total = phrase[order], following[order], total[order]
+    phrase, following, segments = phrase[order], following[order], segments[order]
     at = np.flatnonzero(np.r_[True, (phrase[1:] != phrase[:-1]) | (following[1:] != following[:-1])])
     counts = np.diff(np.r_[at, len(phrase)])
-    phrase, following, segments = phrase[at], following[at], 1 + total[at] // SEGMENT
+    phrase, following, segments = phrase[at], following[at], segments[at]
     mixed = (following.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
     segment = (mixed % segments.astype(np.uint64)).astype(np.int32)
     order = np.lexsort((segment, phrase))
     phrase, segment, following, counts = phrase[order], segment[order], following[order], counts[order]
     heads = np.flatnonzero(np.r_[True, (phrase[1:] != phrase[:-1]) | (segment[1:] != segment[:-1])])
-    ends = np.r_[heads[1:], len(phrase)]
+    spans = list(zip(heads.tolist(), np.r_[heads[1:], len(phrase)].tolist()))
     nexts, sizes = following.astype("<i8").tobytes(), counts.astype("<i4").tobytes()
-    spans = list(zip(heads.tolist(), ends.tolist()))
     none = pa.nulls(len(heads), pa.binary())
     columns = [
         pa.array(np.full(len(heads), number, np.int64)),
-        pa.array([name] * len(heads), pa.string()),
         pa.array(phrase[heads], pa.int64()),
         pa.array(segment[heads], pa.int32()),
         pa.array([nexts[8 * i : 8 * j] for i, j in spans], pa.binary()),
         pa.array([sizes[4 * i : 4 * j] for i, j in spans], pa.binary()),
     ]
-    return pa.Table.from_arrays([*columns, none, none, none], schema=_GROWN)
+    return pa.Table.from_arrays([*columns, none, none, none, none], schema=_GROWN)
 
 
 def _grow(state: pa.Table, facts: pa.Table) -> pa.Table:
-    """Stripes of one block at the next level, and its state for the level after. At level
-    1 the state has codes and the facts are code -> id, total of frequent words; then the
-    facts are (phrase, next) -> id, total of the block's frequent phrases."""
+    """Stripes of one block at the next level, and its state for the level after.
+
+    The state is the block's text as a stream of codes of words, -1 where something was
+    left out or a piece ends, with the words' ids, and a stream of the frequent phrases that
+    start at each place. At level 1 the facts are code -> id of frequent words; then they are
+    (phrase, next) -> id of the block's frequent phrases. Each has its number of segments."""
     if not state.num_rows or not facts.num_rows:
         return _GROWN.empty_table()
-    number, name = state["block"][0].as_py(), state["lang"][0].as_py()
-    ids, totals = facts["id"].to_numpy(), facts["total"].to_numpy()
-    n = facts["n"][0].as_py()
+    number, n = state["block"][0].as_py(), facts["n"][0].as_py()
     if n == 1:
-        codes = np.frombuffer(state["codes"][0].as_py(), "<i4")
+        words = np.frombuffer(state["codes"][0].as_py(), "<i4")
         code = facts["code"].to_numpy()
-        order = np.argsort(code)
-        places = np.flatnonzero(np.isin(codes, code))
-        at = np.searchsorted(code[order], codes[places])
-        word = phrase = ids[order][at]
-        total = totals[order][at]
+        ids = np.full(max(int(words.max()), int(code.max())) + 2, -1)  # that of a break, -1, is the last
+        ids[code] = facts["id"].to_numpy()
+        segments = np.ones(len(ids), np.int64)
+        segments[code] = facts["segments"].to_numpy()
+        phrase, many = ids[words], segments[words]
     else:
-        places, word, before = (np.frombuffer(state[c][0].as_py(), "<i8") for c in ("places", "words", "phrases"))
-        following = _looked_up(places, word, places + n - 1, -1)
-        have, want = _pairs(facts["phrase"].to_numpy(), facts["next"].to_numpy(), before, following)
+        words = np.frombuffer(state["words"][0].as_py(), "<i4")
+        ids = np.r_[np.frombuffer(state["ids"][0].as_py(), "<i8"), -1]
+        starts = np.flatnonzero(words[: 1 - n] >= 0)
+        if n == 2:
+            before = ids[words[starts]]
+        else:
+            phrases = np.frombuffer(state["phrases"][0].as_py(), "<i4")
+            starts = starts[phrases[starts] >= 0]
+            before = np.frombuffer(state["phrase_ids"][0].as_py(), "<i8")[phrases[starts]]
+        lists = [facts[c].combine_chunks() for c in ("nexts", "ids", "weights")]
+        sizes = np.diff(lists[0].offsets.to_numpy())
+        nexts, found, weights = (x.flatten().to_numpy() for x in lists)
+        have, want = _pairs(np.repeat(facts["phrase"].to_numpy(), sizes), nexts, before, ids[words[starts + n - 1]])
         order = np.argsort(have)
-        phrase = _looked_up(have[order], ids[order], want, -1)
-        total = _looked_up(have[order], totals[order], want, 0)
+        phrase, many = np.full(len(words), -1), np.ones(len(words), np.int64)
+        phrase[starts] = _looked_up(have[order], found[order], want, -1)
+        many[starts] = _looked_up(have[order], weights[order], want, 1)
     # One word more needs a frequent phrase here and one at the next place.
-    here = phrase >= 0
-    grows = here & (_looked_up(places[here], phrase[here], places + 1, -1) >= 0)
-    if not grows.any():
+    grows = np.flatnonzero((phrase[:-1] >= 0) & (phrase[1:] >= 0))
+    if not len(grows):
         return _GROWN.empty_table()
-    stripes = _stripe_rows(number, name, phrase[grows], total[grows], _looked_up(places, word, places[grows] + n, -1))
-    starts = places[grows]
-    needed = np.zeros(int(starts[-1]) + n + 2, bool)
+    stripes = _stripe_rows(number, phrase[grows], many[grows], ids[words[grows + n]])
+    needed = np.zeros(len(words) + 1, bool)
     for i in range(n + 1):
-        needed[starts + i] = True
-    stay = np.flatnonzero(places < len(needed))
-    stay = stay[needed[places[stay]]]
-    rest = {"places": places, "words": word, "phrases": np.where(grows, phrase, -1)}
-    values = {c: pa.array([v[stay].astype("<i8").tobytes()], pa.binary()) for c, v in rest.items()}
-    values |= {"block": pa.array([number], pa.int64()), "lang": pa.array([name], pa.string())}
+        needed[grows + i] = True
+    places = np.flatnonzero(needed)
+    gap = np.r_[0, np.diff(places) > 1]
+    to = np.arange(len(places)) + np.cumsum(gap)
+    values = {"block": pa.array([number], pa.int64())}
+
+    def stream(name, ids_name, which):
+        """A column of codes with gaps and one of what the codes stand for."""
+        kinds, codes = np.unique(which, return_inverse=True)
+        codes = codes - (kinds[0] < 0)
+        out = np.full(int(to[-1]) + 1, -1, "<i4")
+        out[to] = codes
+        values[name] = pa.array([out.tobytes()], pa.binary())
+        values[ids_name] = pa.array([kinds[kinds >= 0].astype("<i8").tobytes()], pa.binary())
+
+    stream("words", "ids", ids[words[places]])
+    if n > 1:
+        starting = np.full(len(words), -1)
+        starting[grows] = phrase[grows]
+        stream("phrases", "phrase_ids", starting[places])
     columns = [values.get(f.name, pa.nulls(1, f.type)) for f in _GROWN]
     return pa.concat_tables([pa.Table.from_arrays(columns, schema=_GROWN), stripes])
 
@@ -207,31 +230,30 @@ def _whole_stripes(batches, least=1 << 22):
         yield pd.concat(held, ignore_index=True)
 
 
-def _lists(block, lang, phrase, nexts, ids, counts):
+def _lists(block, phrase, nexts, ids, weights):
     heads = np.flatnonzero(np.r_[True, (phrase[1:] != phrase[:-1]) | (block[1:] != block[:-1])])
     offsets = pa.array(np.r_[heads, len(phrase)], pa.int32())
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (nexts, ids, counts)]
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (nexts, ids, weights)]
     blocks = pa.array(block[heads], pa.int64(), mask=block[heads] < 0)
-    return pa.RecordBatch.from_arrays(
-        [blocks, pa.array(lang[heads], pa.string()), pa.array(phrase[heads], pa.int64()), *lists],
-        names=["block", "lang", "phrase", "nexts", "ids", "counts"],
-    )
+    names = ["block", "phrase", "nexts", "ids", "weights"]
+    return pa.RecordBatch.from_arrays([blocks, pa.array(phrase[heads], pa.int64()), *lists], names=names)
 
 
-def _merged(stripes: DataFrame, least: int, n: int) -> DataFrame:
+def _merged(stripes: DataFrame, least: int) -> DataFrame:
     """The stripes of all blocks added up, what is frequent in them: once without a block,
-    for the table of phrases, and once for each block that has it. Ids come from the
-    level, the task and a count in it; both uses are one table, so they agree."""
+    with the counts, for the table of phrases, and once for each block that has it, with
+    numbers of segments. Ids, those of one level, come from the task and a count in it; both
+    uses are one table, so they agree."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        spare = (n << 57) + (TaskContext.get().partitionId() << 33)
+        spare = TaskContext.get().partitionId() << 33
         for frame in _whole_stripes(batches):
             row = np.repeat(np.arange(len(frame)), frame["nexts"].map(len).to_numpy(np.int64) // 8)
             following = np.frombuffer(b"".join(frame["nexts"]), "<i8")
             counts = np.frombuffer(b"".join(frame["counts"]), "<i4").astype(np.int64)
-            phrase, block, lang = (frame[c].to_numpy() for c in ("phrase", "block", "lang"))
+            phrase, block = frame["phrase"].to_numpy(), frame["block"].to_numpy()
             order = np.lexsort((following, phrase[row]))
             p, q = phrase[row][order], following[order]
             at = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (q[1:] != q[:-1])])
@@ -242,60 +264,64 @@ def _merged(stripes: DataFrame, least: int, n: int) -> DataFrame:
             ids = np.where(kept, spare + np.cumsum(kept) - 1, -1)
             spare += int(kept.sum())
             first = at[kept]
-            yield _lists(np.full(len(first), -1), lang[row][order][first], p[first], q[first], ids[kept], sums[kept])
+            yield _lists(np.full(len(first), -1), p[first], q[first], ids[kept], sums[kept])
             entry = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(order)]))
             back = np.flatnonzero(kept[entry])
             back = back[np.argsort(row[order][back], kind="stable")]
             who, entry = row[order][back], entry[back]
-            yield _lists(block[who], lang[who], p[back], q[back], ids[entry], sums[entry])
+            yield _lists(block[who], p[back], q[back], ids[entry], 1 + sums[entry] // SEGMENT)
 
     sorted_stripes = stripes.repartition("phrase", "segment").sortWithinPartitions("phrase", "segment")
     return staged(sorted_stripes.mapInArrow(merge, _MERGED), "phrase-stripes")
 
 
-def _entries(merged: DataFrame) -> DataFrame:
-    entry = F.explode(F.arrays_zip("nexts", "ids", "counts")).alias("e")
-    return merged.select("block", "lang", "phrase", entry).select(
-        "block", "lang", "phrase", F.col("e.nexts").alias("next"), F.col("e.ids").alias("id"), F.col("e.counts").alias("total")
-    )
-
-
 def frequent_phrases(blocks: DataFrame, least: int = 30, longest: int = 4) -> DataFrame:
     """Phrases of 1 to ``longest`` words that stand at least ``least`` times in the texts of
     a language (``text_blocks``), overlaps counted, no punctuation inside: lang, words, f,
-    heads and tails (how often its first 1, 2, ... words occur, and its last 1, 2, ...), id,
-    prefix and suffix (ids of the phrase without its last and without its first word)."""
+    heads and tails (how often its first 1, 2, ... words occur, and its last 1, 2, ...), id
+    among the phrases of as many words, prefix and suffix (ids of the phrase without its
+    last and without its first word)."""
     listed = blocks.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w"))
-    listed = listed.select("block", "lang", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counted = listed.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    level = staged(counted.withColumn("id", F.monotonically_increasing_id()), "phrase-words")
-    empty = F.array().cast("array<bigint>")
-    none = F.lit(None).cast("long")
-    words = level.select(
+    place = F.col("block") * F.lit(1 << _CODE_BITS) + F.col("code")
+    same = Window.partitionBy("lang", "word")
+    # A word has a row for each block; one shuffle brings them together, and the first of
+    # its places is its id.
+    counted = (
+        listed.select("block", "lang", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"), place.alias("place"))
+        .select("*", F.sum("n").over(same).alias("f"), F.min("place").over(same).alias("id"))
+        .filter(F.col("f") >= least)
+    )
+    once = F.col("place") == F.col("id")
+    met = counted.select(
+        "block", "code", "id", F.when(once, F.col("lang")).alias("lang"), F.when(once, F.col("word")).alias("word"), "f"
+    )
+    met = staged(met, "phrase-words")
+    empty, none = F.array().cast("array<bigint>"), F.lit(None).cast("long")
+    words = met.filter("lang is not null").select(
         "lang", F.array("word").alias("words"), "f", empty.alias("heads"), empty.alias("tails"), "id",
         none.alias("prefix"), none.alias("suffix"), none.alias("next"),
     )
     levels = [words]
-    state = blocks.select("block", "lang", "codes")
-    facts = listed.join(level, ["lang", "word"]).select(
-        F.col("block").alias("block"), "code", "id", F.col("f").alias("total"), F.lit(1).alias("n")
-    )
+    state = blocks.select("block", "codes")
+    segments = F.floor(F.col("f") / SEGMENT) + 1
+    facts = met.select("block", "code", "id", segments.alias("segments"), F.lit(1).alias("n"))
     for n in range(1, longest):
         both = state.groupBy("block").cogroup(facts.groupBy("block")).applyInArrow(_grow, _GROWN_TYPES)
         grown = staged(both, "phrase-level")
-        merged = _merged(grown.filter(F.col("phrase").isNotNull()).select("block", "lang", "phrase", "segment", "nexts", "counts"), least, n)
-        found = _entries(merged.filter(F.col("block").isNull())).drop("block")
+        merged = _merged(grown.filter("phrase is not null").select("block", "phrase", "segment", "nexts", "counts"), least)
+        entry = F.inline(F.arrays_zip(F.col("nexts").alias("next"), F.col("ids").alias("id"), F.col("weights").alias("total")))
+        found = merged.filter("block is null").select("phrase", entry)
         levels.append(staged(_named(found, levels[-1], n), "phrase-table"))
-        state = grown.filter(F.col("phrase").isNull()).select("block", "lang", "places", "words", "phrases")
-        facts = _entries(merged.filter(F.col("block").isNotNull())).select("block", "phrase", "next", "id", "total", F.lit(n + 1).alias("n"))
+        state = grown.filter("phrase is null").select("block", "words", "ids", "phrases", "phrase_ids")
+        facts = merged.filter("block is not null").select("block", "phrase", "nexts", "ids", "weights", F.lit(n + 1).alias("n"))
     return reduce(DataFrame.unionByName, levels).drop("next")
 
 
 def _named(found, below, n):
     """The phrases of n + 1 words with words, parts and their counts, from those of n."""
     head = below.select(
-        F.col("id").alias("phrase"), F.col("words").alias("_words"), F.col("f").alias("_f"), F.col("heads").alias("_heads"),
-        (F.col("next") if n == 1 else F.col("suffix")).alias("_suffix"),
+        F.col("id").alias("phrase"), "lang", F.col("words").alias("_words"), F.col("f").alias("_f"), F.col("heads").alias("_heads"),
+        F.col("suffix").alias("_suffix"),
     )
     tail = below.select(
         F.col("id").alias("suffix"), F.element_at("words", -1).alias("_last"), F.col("f").alias("_tail_f"), F.col("tails").alias("_tails"),
@@ -341,10 +367,11 @@ def collocations(
     all_words = F.aggregate("counts", F.lit(0).cast("long"), lambda total, n: total + n)
     totals = blocks.groupBy("lang").agg(F.sum(all_words).alias("n"))  # one row per language
     phrases = staged(frequent_phrases(blocks, least, longest), "phrases")
-    longer = [phrases.select(F.col(side).alias("id"), "f").filter("id is not null") for side in ("prefix", "suffix")]
-    covers = longer[0].union(longer[1]).groupBy("id").agg(F.max("f").alias("_longer"))
+    n_words = F.size("words")
+    longer = [phrases.filter(n_words > 2).select((n_words - 1).alias("n_words"), F.col(side).alias("id"), "f") for side in ("prefix", "suffix")]
+    covers = longer[0].union(longer[1]).groupBy("n_words", "id").agg(F.max("f").alias("_longer"))
     outside = F.coalesce(100 * F.col("_longer") < inside * F.col("f"), F.lit(True))
-    candidates = phrases.filter(F.size("words") > 1).join(covers, "id", "left").filter(outside)
+    candidates = phrases.filter(n_words > 1).withColumn("n_words", n_words).join(covers, ["n_words", "id"], "left").filter(outside)
     # heads[k - 1] and the k-th last of tails belong to the cut after k words.
     score = f"cast({int(scale)} * cast(f as decimal(19,0)) div cast(head + tails[size(tails) - 1 - k] as decimal(20,0)) as bigint)"
     cut = f"transform(heads, (head, k) -> struct({score} as score, k, head as l, tails[size(tails) - 1 - k] as r))"

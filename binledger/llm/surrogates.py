@@ -7,7 +7,7 @@ it, however written, gets that surrogate in the mention's own format.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from binledger.llm.staging import staged
+from binledger.llm.staging import free_name, staged
 
 # Titles that tell no gender are among the male ones.
 _NEUTRAL = ["Dr", "Prof", "Professor", "Доктор", "Профессор"]
@@ -28,10 +28,10 @@ PATTERN = "|".join(
     [
         _after(MALE),
         _after(FEMALE),
-        r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
+        r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
         r"(?=[A-Z]{2}[0-9]{2})(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
         r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{16,}+",
-        r"(?=[0-9A-Fa-f:]*[0-9])(?<![\p{L}\p{N}:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:])",
+        r"(?<![\p{L}\p{N}:])(?=[A-Fa-f:]{0,38}+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:])",
         r"(?=[0-9(+])(?:(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
         r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
         r"(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -71,17 +71,22 @@ def _canonical(kind, mention):
 
 
 def _stream(secret, kind, name, attempt, length):
-    """Hexadecimal digits of keyed hashes, two for each character wanted."""
+    """Keyed hashes in hexadecimal digits, two digits for each character wanted."""
     seed = F.concat_ws("|", F.lit(secret), kind, name, attempt.cast("string"))
-    hashes = F.transform(
+    return F.transform(
         F.sequence(F.lit(0), F.floor(length / 32).cast("int")), lambda i: F.sha2(F.concat(F.lit(secret), seed, F.lit("|"), i.cast("string")), 256)
     )
-    return F.array_join(hashes, "")
+
+
+def _once(value, body):
+    """``body`` of a value that is worked out once, not anew for each element inside."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _pick(stream, i, n):
     """Number below ``n`` for place ``i`` of a stream."""
-    return (F.conv(F.substr(stream, 2 * i + 1, F.lit(2)), 16, 10).cast("int") % n).cast("int")
+    digits = F.substr(F.element_at(stream, F.floor(i / 32).cast("int") + 1), 2 * (i % 32) + 1, F.lit(2))
+    return (F.conv(digits, 16, 10).cast("int") % n).cast("int")
 
 
 def _letter(alphabet, stream, i):
@@ -125,7 +130,7 @@ def _luhn(digits):
 def _name(stream, attempt, syllables, endings):
     """A name built of syllables; later attempts have longer ones, so names never run out."""
     parts = F.transform(F.sequence(F.lit(0), 1 + F.floor(attempt / 4).cast("int")), lambda i: F.element_at(F.array(*map(F.lit, syllables)), _pick(stream, i, len(syllables)) + 1))
-    end = F.element_at(F.array(*map(F.lit, endings)), _pick(stream, 2 + F.floor(attempt / 4).cast("int"), len(endings)) + 1)
+    end = F.element_at(F.array(*map(F.lit, endings)), _pick(stream, F.lit(2) + F.floor(attempt / 4).cast("int"), len(endings)) + 1)
     return F.concat(F.array_join(parts, ""), end)
 
 
@@ -138,17 +143,22 @@ def _surrogate(secret):
     kind, name, attempt = F.col("kind"), F.col("canonical"), F.col("attempt")
     length = F.length(name)
     stream = _stream(secret, kind, name, attempt, F.greatest(length, F.lit(64)))
-    spelled = F.array_join(F.transform(_chars(name), lambda c, i: _like(c, stream, i)), "")
+    spelled = _once(stream, lambda s: F.array_join(F.transform(_chars(name), lambda c, i: _like(c, s, i)), ""))
     # The first digit of a number stays: it tells country codes and card kinds.
     number = F.concat(F.substr(name, F.lit(1), F.lit(1)), F.substr(spelled, F.lit(2), length))
     head = F.substr(number, F.lit(1), length - 1)
     checked = F.concat(head, F.pmod(10 - _luhn(F.concat(head, F.lit("0"))), F.lit(10)).cast("string"))
-    hexadecimal = F.array_join(
-        F.transform(_chars(name), lambda c, i: F.when(c.rlike("[A-F]"), _letter("ABCDEF", stream, i)).when(c.rlike("[a-f]"), _letter("abcdef", stream, i)).when(c == ":", c).otherwise(_letter("0123456789", stream, i))),
-        "",
+    digit = lambda c, s, i: (
+        F.when(c.rlike("[A-F]"), _letter("ABCDEF", s, i))
+        .when(c.rlike("[a-f]"), _letter("abcdef", s, i))
+        .when(c == ":", c)
+        .otherwise(_letter("0123456789", s, i))
     )
+    hexadecimal = _once(stream, lambda s: F.array_join(F.transform(_chars(name), lambda c, i: digit(c, s, i)), ""))
     last_dot = length - F.locate(".", F.reverse(name))
-    octets = F.concat_ws(".", F.lit("10"), *[_pick(stream, F.lit(i), 256).cast("string") for i in range(3)])
+    # Private addresses, then reserved ones, then any, so that they never run out.
+    first = F.when(attempt < 4, F.lit(10)).when(attempt < 16, 240 + _pick(stream, F.lit(3), 16)).otherwise(1 + _pick(stream, F.lit(3), 254))
+    octets = F.concat_ws(".", first.cast("string"), *[_pick(stream, F.lit(i), 256).cast("string") for i in range(3)])
     return (
         F.when(kind == "email", F.concat(F.substr(spelled, F.lit(1), last_dot), F.substr(name, last_dot + 1, length)))
         .when(kind == "ip", octets)
@@ -176,7 +186,9 @@ def assign_surrogates(entities: DataFrame, secret: str) -> DataFrame:
     entities = staged(entities.select("kind", "canonical").distinct(), "entities")
     pending, done = entities.withColumn("attempt", F.lit(0)), None
     for _ in range(_MOST_ROUNDS):
-        proposed = pending.withColumn("surrogate", _surrogate(secret))
+        # Hashing is the work, and a written table of few bytes would be one task.
+        tasks = pending.sparkSession.sparkContext.defaultParallelism * 4
+        proposed = pending.repartition(tasks, "kind", "canonical").withColumn("surrogate", _surrogate(secret))
         real = entities.select(F.col("kind").alias("_kind"), F.col("canonical").alias("_real"))
         clash = (F.col("kind") == F.col("_kind")) & (F.col("surrogate") == F.col("_real"))
         free = proposed.join(real, clash, "left_anti")
@@ -213,7 +225,7 @@ def _written(kind, mention, surrogate):
         lambda a: a["out"],
     )
     cased = F.array_join(
-        F.transform(_chars(mention), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substr(surrogate, i + 1, F.lit(1)))).otherwise(F.substr(surrogate, i + 1, F.lit(1)))), ""
+        F.zip_with(_chars(mention), _chars(surrogate), lambda c, x: F.when(c.rlike(r"\p{Lu}"), F.upper(x)).otherwise(x)), ""
     )
     shouted = F.when(mention == F.upper(mention), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (
@@ -229,12 +241,12 @@ def _last_word(name):
     return F.element_at(F.split(name, " "), -1)
 
 
-def _with_later_names(hits, value, own):
+def _with_later_names(hits, value, own, row):
     """``hits`` with the untitled mentions of the full names and surnames that a title
     introduces in the same text, and the pattern of each text that finds them all."""
     given = lambda c: F.array_distinct(F.filter(c, lambda x: x != ""))
     wanted = lambda c: F.array_distinct(F.concat(given(c), F.transform(given(c), _last_word)))
-    hits = hits.select(*own, "_mentions", "_male", "_female", "_row", wanted("_male").alias("_men"), wanted("_female").alias("_women"))
+    hits = hits.select(*own, "_mentions", "_male", "_female", row, wanted("_male").alias("_men"), wanted("_female").alias("_women"))
     longest = F.array_sort(F.array_union("_men", "_women"), lambda x, y: F.length(y) - F.length(x))
     names = F.concat(F.lit(PATTERN + r"|(?=\p{Lu})(?<![\p{L}\p{N}])("), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))
     named = F.size("_men") + F.size("_women") > 0
@@ -245,7 +257,7 @@ def _with_later_names(hits, value, own):
     male = F.zip_with("_1", "_3", lambda t, x: F.when(t != "", t).when((x != "") & man(x), x).otherwise(""))
     female = F.zip_with("_2", "_3", lambda t, x: F.when(t != "", t).when((x != "") & ~man(x), x).otherwise(""))
     pick = lambda new, old: F.when(F.col("_named"), new).otherwise(F.col(old)).alias(old)
-    return hits.select(*own, pick(F.col("_0"), "_mentions"), pick(male, "_male"), pick(female, "_female"), "_row", "_pattern")
+    return hits.select(*own, pick(F.col("_0"), "_mentions"), pick(male, "_male"), pick(female, "_female"), row, "_pattern")
 
 
 def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFrame:
@@ -263,6 +275,7 @@ def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFram
     column named n_entities is replaced; ``text`` keeps its place.
     """
     value, own = F.col(f"`{text}`"), [c for c in df.columns if c != "n_entities"]
+    row = free_name("_row", df)
     passed = [F.col(f"`{c}`") for c in own]
     may_have = value.rlike("[0-9@]") | value.rlike(_TITLED)
     found = F.when(may_have, F.regexp_extract_all(value, F.lit(PATTERN), F.lit(0)))
@@ -273,28 +286,28 @@ def replace_entities(df: DataFrame, secret: str, text: str = "text") -> DataFram
     none = F.array_repeat(F.lit(""), F.size("_mentions"))
     groups = [F.when(value.rlike(_TITLED), F.regexp_extract_all(value, F.lit(PATTERN), F.lit(g))).otherwise(none) for g in (1, 2)]
     hits = listed.filter(F.size("_mentions") > 0).select(
-        *passed, "_mentions", groups[0].alias("_male"), groups[1].alias("_female"), F.monotonically_increasing_id().alias("_row")
+        *passed, "_mentions", groups[0].alias("_male"), groups[1].alias("_female"), F.monotonically_increasing_id().alias(row)
     )
-    hits = staged(_with_later_names(hits, value, passed), "entity-texts")
-    each = hits.select("_row", F.posexplode(F.arrays_zip("_mentions", "_male", "_female")).alias("_at", "_m")).select(
-        "_row", "_at", F.col("_m._mentions").alias("mention"), F.col("_m._male").alias("male"), F.col("_m._female").alias("female")
+    hits = staged(_with_later_names(hits, value, passed, row), "entity-texts")
+    each = hits.select(row, F.posexplode(F.arrays_zip("_mentions", "_male", "_female")).alias("_at", "_m")).select(
+        row, "_at", F.col("_m._mentions").alias("mention"), F.col("_m._male").alias("male"), F.col("_m._female").alias("female")
     )
     kinds = each.withColumn("kind", _kind(F.col("mention"), F.col("male"), F.col("female")))
     # The last name is a surname, those before it are given names.
     is_name = (F.col("male") != "") | (F.col("female") != "")
     words = F.when(is_name, F.split("mention", " ")).otherwise(F.array("mention"))
-    parts = kinds.select("_row", "_at", "kind", is_name.alias("is_name"), F.size(words).alias("n"), F.posexplode(words).alias("part", "mention"))
+    parts = kinds.select(row, "_at", "kind", is_name.alias("is_name"), F.size(words).alias("n"), F.posexplode(words).alias("part", "mention"))
     surname = F.when(F.col("kind").endswith("cyrillic"), "surname_cyrillic").otherwise("surname")
     parts = parts.withColumn("kind", F.when(F.col("is_name") & (F.col("part") == F.col("n") - 1), surname).otherwise(F.col("kind")))
     parts = parts.withColumn("canonical", _canonical(F.col("kind"), F.col("mention")))
     known = assign_surrogates(parts, secret)
-    written = parts.join(known, ["kind", "canonical"]).select("_row", "_at", "part", _written(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
-    places = written.groupBy("_row", "_at").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "new"))), lambda x: x["new"]), " ").alias("new"))
+    written = parts.join(known, ["kind", "canonical"]).select(row, "_at", "part", _written(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("new"))
+    places = written.groupBy(row, "_at").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "new"))), lambda x: x["new"]), " ").alias("new"))
     # A text's own mentions are what a list can hold at most.
-    lists = places.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "new"))), lambda x: x["new"]).alias("_new"))
+    lists = places.groupBy(row).agg(F.transform(F.sort_array(F.collect_list(F.struct("_at", "new"))), lambda x: x["new"]).alias("_new"))
     gaps = F.split(value, F.col("_pattern"), -1)
     woven = F.array_join(F.flatten(F.zip_with(gaps, F.col("_new"), lambda gap, new: F.array(gap, F.coalesce(new, F.lit(""))))), "")
-    done = hits.join(lists, "_row").select(
+    done = hits.join(lists, row).select(
         *[woven.alias(text) if c == text else F.col(f"`{c}`") for c in own], F.size("_mentions").alias("n_entities")
     )
     return clean.unionByName(done)

@@ -35,61 +35,73 @@ def window_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def greedy_tiles(item: list, document: list, seeds, n: int) -> list[tuple[int, int, int]]:
+def greedy_tiles(item, document, seeds, n: int) -> list[tuple[int, int, int]]:
     """Tiles (place in item, place in document, length) of greedy string tiling with
     matches of ``n`` words or more.
 
     The longest match of words that are in no tile yet becomes a tile, again and again; of
-    equally long ones the first in the item, then in the document. ``seeds``: all pairs of
-    places with equal hashes of ``n`` words. A match that a tile has cut is taken up again
-    with what is left of it, so every round sees the longest free match.
+    equally long ones the first in the item, then in the document. ``seeds``: pairs of
+    places with equal hashes of ``n`` words, at least those with which such pairs begin on
+    their diagonal. A match that a tile has cut is taken up again with what is left of it,
+    so every round sees the longest free match.
     """
-    at, matches = set(seeds), []
-    for i, j in at:
-        if (i - 1, j - 1) in at and item[i - 1] == document[j - 1]:
+    item, document, matches = np.asarray(item, np.int64), np.asarray(document, np.int64), []
+    for i, j in set(seeds):
+        if i and j and item[i - 1] == document[j - 1]:
             continue
-        k = 0
-        while i + k < len(item) and j + k < len(document) and item[i + k] == document[j + k]:
-            k += 1
+        k = _common(item, document, i, j)
         if k >= n:
             matches.append((-k, i, j))
     heapq.heapify(matches)
-    used_item, used_document, tiles = set(), set(), []
+    used_item, used_document, tiles = np.zeros(len(item), bool), np.zeros(len(document), bool), []
     while matches:
         length, i, j = heapq.heappop(matches)
-        runs, begin = [], None
-        for k in range(-length + 1):
-            if k < -length and i + k not in used_item and j + k not in used_document:
-                begin = k if begin is None else begin
-            elif begin is not None:
-                runs.append((begin, k - begin))
-                begin = None
-        if runs == [(0, -length)]:
-            used_item.update(range(i, i - length))
-            used_document.update(range(j, j - length))
+        free = ~(used_item[i : i - length] | used_document[j : j - length])
+        if free.all():
+            used_item[i : i - length] = used_document[j : j - length] = True
             tiles.append((i, j, -length))
-        else:
-            for begin, k in runs:
-                if k >= n:
-                    heapq.heappush(matches, (-k, i + begin, j + begin))
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], free, [0]])))
+        for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if end - begin >= n:
+                heapq.heappush(matches, (begin - end, i + begin, j + begin))
     return tiles
 
 
+def _common(item, document, i, j, at_once=64):
+    """How many words are equal from two places on, compared in ever longer stretches."""
+    k = 0
+    while True:
+        size = min(at_once, len(item) - i - k, len(document) - j - k)
+        same = item[i + k : i + k + size] == document[j + k : j + k + size]
+        if not same.all():
+            return k + int(same.argmin())
+        k += size
+        if size < at_once:
+            return k
+        at_once *= 2
+
+
 class ItemBlock:
     """A bounded number of test items, their words as numbers, and their seeds."""
 
     def __init__(self, items, n: int):
         self.n, self.words, self.items = n, {}, []
-        hashes, places = [], []
+        hashes, before, places = [], [], []
         for item_id, text in items:
             ids = [self.words.setdefault(w, len(self.words)) for w in words_of(text)]
-            found = window_hashes(np.array(ids, np.int64), n)
-            hashes.append(found)
+            found = window_hashes(np.array(ids, np.int64), n).tolist()
+            hashes += found
+            before += [None, *found[:-1]] if found else []
             places += [(len(self.items), i) for i in range(len(found))]
             self.items.append((item_id, ids))
-        hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.places = hashes[order], [places[k] for k in order]
+        # Places of a hash stand together, and among them those with the same one before.
+        order = sorted(range(len(hashes)), key=lambda k: (hashes[k], before[k] is not None, before[k] or 0))
+        self.places, self.of, self.after = [places[k] for k in order], {}, {}
+        for at, k in enumerate(order):
+            for table, key in ((self.of, hashes[k]), (self.after, (hashes[k], before[k]))):
+                table[key] = (table.get(key, (at,))[0], at + 1)
+        self.hashes = np.unique(np.array(hashes, np.uint64))
 
     def found(self, texts):
         """(place in texts, item_id, words of the item, tiles) of every pair of a text and
@@ -102,17 +114,19 @@ class ItemBlock:
             ends.append(len(ids))
         ids, ends = np.array(ids, np.int64), np.array(ends, np.int64)
         seen = window_hashes(ids, self.n)
-        low = np.searchsorted(self.hashes, seen)
-        hit = np.flatnonzero((low < len(self.hashes)) & (self.hashes[np.minimum(low, max(len(self.hashes) - 1, 0))] == seen)) if len(self.hashes) else []
+        hit = np.flatnonzero(np.isin(seen, self.hashes)) if len(self.hashes) else np.zeros(0, np.int64)
         pairs = defaultdict(list)
-        of = np.searchsorted(ends, hit, side="right") if len(hit) else []
-        for place, t in zip(hit, of):
-            start = ends[t - 1] if t else 0
-            k = low[place]
-            while k < len(self.hashes) and self.hashes[k] == seen[place]:
+        of = np.searchsorted(ends, hit, side="right")
+        own = seen[hit].tolist()
+        previous = [None if place == 0 else h for place, h in zip(hit.tolist(), seen[np.maximum(hit - 1, 0)].tolist())]
+        for place, t, value, last in zip(hit.tolist(), of.tolist(), own, previous):
+            start = int(ends[t - 1]) if t else 0
+            low, high = self.of[value]
+            # Where the windows before are equal, too, the match has begun there.
+            a, b = (high, high) if last is None else self.after.get((value, last), (high, high))
+            for k in (*range(low, a), *range(b, high)):
                 item, i = self.places[k]
-                pairs[int(t), item].append((i, int(place - start)))
-                k += 1
+                pairs[t, item].append((i, place - start))
         for (t, item), seeds in pairs.items():
             item_id, item_ids = self.items[item]
             document = ids[ends[t - 1] if t else 0 : ends[t] - 1].tolist()

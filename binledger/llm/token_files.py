@@ -27,15 +27,21 @@ class LibraryCodec:
 
     def __init__(self, json: str):
         self.json, self.table = json, None
+        self.whole, self.added = None, ()
 
     def __getstate__(self):
-        return {"json": self.json, "table": None}
+        return {"json": self.json, "table": None, "whole": None, "added": ()}
 
     def encode(self, texts) -> list[np.ndarray]:
+        """Ids of each text as the library gives them without adding special tokens. Texts
+        that hold one of the vocabulary's added tokens are encoded whole, as that is an id
+        of its own in the midst of a piece; all others piece by piece."""
         if self.table is None:
             from tokenizers import Tokenizer
 
             library = Tokenizer.from_str(self.json)
+            self.whole = Tokenizer.from_str(self.json)
+            self.added = [t.content for t in library.get_added_tokens_decoder().values()]
             library.encode_special_tokens = True
 
             # A token of a byte-level vocabulary has a character for each byte.
@@ -61,7 +67,14 @@ class LibraryCodec:
 
             # Only for vocabularies that split at spaces as byte-level ones do.
             self.table = PieceTable(encoded, most=700_000)
-        return self.table.ids(texts)
+        whole = [i for i, t in enumerate(texts) if t and any(a in t for a in self.added)]
+        if not whole:
+            return self.table.ids(texts)
+        apart = set(whole)
+        found = self.table.ids([None if i in apart else t for i, t in enumerate(texts)])
+        for i, row in zip(whole, self.whole.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
+            found[i] = np.array(row.ids, np.uint32)
+        return found
 
 
 class _SequenceFile:

@@ -85,8 +85,8 @@ def test_no_templates(spark):
 def test_repeated_keys_and_clashing_columns(spark):
     rows = [(1, TEXTS[0], "x", 5), (1, TEXTS[4], "y", 6), (None, TEXTS[0], "z", 7)]
     df = spark.createDataFrame(rows, "row int, text string, words string, labels int")
-    got = sorted((tuple(r) for r in licenses.scan_licenses(df, key="row").collect()), key=repr)
-    assert [(r[0], r[6]) for r in got] == [(1, "apache,apache-2.0"), (1, "bsd"), (None, "apache,apache-2.0")]
+    got = sorted(((r["row"], r["labels"]) for r in licenses.scan_licenses(df, key="row").collect()), key=repr)
+    assert got == [(1, "apache,apache-2.0"), (1, "bsd"), (None, "apache,apache-2.0")]
 
 
 def test_no_rows(spark):
