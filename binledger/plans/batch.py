@@ -123,7 +123,6 @@ def run_batch(
     )
     staged = f"{_staging_folder(spark, staging)}/{batch}-{_digest(wanted)}"
     resume = _is_complete(spark, staged)
-    clean = False
     if not resume:
         if catalog is None:
             # Listed once; the sample takes passes over it.
@@ -133,27 +132,9 @@ def run_batch(
         picked = ParquetTable(staged + "-chosen")
         done = _recorded(spark, ledger, results)
         chosen = choose_files(catalog, done, n, seed, strict, on_change)
-        # What is counted of these tables is counted as they are written.
-        counted = Observation()
-        chosen.observe(counted, F.count(F.lit(1)).alias("files")).write.mode("overwrite").parquet(picked.path)
-        n_files = counted.get["files"]
-        files = spread(picked.read(spark, CATALOG_SCHEMA), n_files)
-        parsed = extract_from_store(files, base, filesystem, strict_headers, header_limit=header_limit, errors=True)
-        parsed = parsed.withColumn("readable", F.col("error").isNull())
-        counted = Observation()
-        watched = watch_rules(parsed, counted, F.col("readable"), unreadable=~F.col("readable"))
-        watched.write.mode("overwrite").partitionBy("readable").parquet(staged)
-        found = counted.get
-        clean = not any(found[rule] for rule in found if rule != "unreadable")
-    else:
-        n_files, lost = _staged(spark, staged).agg(F.count("*"), F.count_if(~F.col("readable"))).first()
-        found = {"unreadable": lost}
-    lost = found["unreadable"]
-    if lost > max(unreadable * n_files, 1):
-        # The next call reads the files again.
-        rename(spark, staged + "/_SUCCESS", staged + "/_REJECTED")
-        raise TooManyUnreadable(f"{lost} of {n_files} files could not be read; see {staged}")
-    rows = _staged(spark, staged).filter("readable").select(RESULT_COLUMNS)
+        n_files = write_counted(chosen, picked.path)
+        extract_batch(picked.read(spark, CATALOG_SCHEMA), n_files, staged, base, filesystem, strict_headers, header_limit)
+    rows, clean = readable_rows(spark, staged, unreadable)
     violations = staged + "-violations"
     store_batch(
         spark, rows, batch, ledger=ledger, results=results, max_rows=n, resume=resume, violations=violations, row_rules=not clean
@@ -161,6 +142,42 @@ def run_batch(
     return rows
 
 
+def write_counted(df: DataFrame, folder: str) -> int:
+    """Writes rows and counts them in the same job."""
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
+    return counted.get["rows"]
+
+
+def extract_batch(files, n_files, folder, base, filesystem=None, strict_headers=True, header_limit=HEADER_LIMIT) -> None:
+    """Reads ``n_files`` files once and writes result rows, and those of unreadable files,
+    below ``folder``, with what is counted of them in the same job beside it."""
+    spark, counted = files.sparkSession, Observation()
+    parsed = extract_from_store(spread(files, n_files), base, filesystem, strict_headers, header_limit=header_limit, errors=True)
+    parsed = parsed.withColumn("readable", F.col("error").isNull())
+    watched = watch_rules(parsed, counted, F.col("readable"), unreadable=~F.col("readable"), files=F.lit(True))
+    watched.write.mode("overwrite").partitionBy("readable").parquet(folder)
+    found = spark.createDataFrame(list(counted.get.items()), "name string, n long")
+    found.coalesce(1).write.mode("overwrite").parquet(folder + "-counts")
+
+
+def readable_rows(spark: SparkSession, folder: str, unreadable: float) -> tuple[DataFrame, bool]:
+    """Result rows of the files that could be read, and whether the job that wrote them
+    counted no broken rule of one row. Too many unreadable files raise, and are read
+    again by the next call."""
+    found = {}
+    if exists(spark, folder + "-counts/_SUCCESS"):
+        found = {r["name"]: r["n"] for r in spark.read.schema("name string, n long").parquet(folder + "-counts").collect()}
+    if not found:  # the job ended between the two writes
+        n_files, lost = _staged(spark, folder).agg(F.count("*"), F.count_if(~F.col("readable"))).first()
+        found = {"files": n_files, "unreadable": lost, "not counted": 1}
+    lost, n_files = found.pop("unreadable"), found.pop("files")
+    if lost > max(unreadable * n_files, 1):
+        rename(spark, folder + "/_SUCCESS", folder + "/_REJECTED")
+        raise TooManyUnreadable(f"{lost} of {n_files} files could not be read; see {folder}")
+    return _staged(spark, folder).filter("readable").select(RESULT_COLUMNS), not any(found.values())
+
+
 def _staged(spark, folder):
     schema = T.StructType([*RESULT_SCHEMA.fields]).add("error", "string").add("readable", "boolean")
     return spark.read.schema(schema).parquet(folder)

@@ -18,6 +18,7 @@ from binledger.schemas import CATALOG_COLUMNS
 _URI = "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/?#]*)?(/[^?#]*)"
 # Most file bytes a Python worker holds at a time, beyond a single larger file.
 _PIECE_BYTES = 64 * 1024 * 1024
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 # What opening and reading a file may end with.
 READ_ERRORS = (OSError, pa.ArrowException)
 
@@ -134,6 +135,25 @@ def _folders_kept(root, base):
 
 def _scan(spark, roots, glob, class_value, folders, with_content):
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(roots)
+    return _described(files, class_value, folders, with_content)
+
+
+def file_stream(spark: SparkSession, roots, glob: str = "*.???", base: str | None = None, max_files: int | None = None) -> DataFrame:
+    """``file_catalog`` as a stream of the files that come: each once, by its path, at most
+    ``max_files`` at a time from each root. Files of zero bytes are passed over."""
+    if not isinstance(roots, dict):
+        roots = {root: int(root.rstrip("/").rsplit("/", 1)[-1]) for root in roots}
+    parts = []
+    for root, value in roots.items():
+        stream = spark.readStream.format("binaryFile").schema(_BINARY_FILE).option("pathGlobFilter", glob)
+        if max_files:
+            stream = stream.option("maxFilesPerTrigger", max_files)
+        root = root.rstrip("/")
+        parts.append(_described(stream.load(root), value, _folders_kept(root, base), False))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _described(files, class_value, folders, with_content):
     raw = F.parse_url("_metadata.file_path", F.lit("PATH"))
     path = F.regexp_extract(raw, f"((?:/[^/]+){{{folders + 1}}})$", 1)
     columns = [
