@@ -185,4 +185,6 @@ from ranked join (select lang, count(*) as n from words group by lang) t using (
 
 
 def oracle_sql():
-    return {"op11_collocations": _COLLOCATIONS}
+    from binledger.llm import licenses
+
+    return {"op11_collocations": _COLLOCATIONS, "op13_license_scan": licenses.scan_sql()}

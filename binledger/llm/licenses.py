@@ -229,3 +229,49 @@ def _joined_templates(scanned, order, heads):
     shared = F.size(F.array_intersect("ranks", "template")).alias("shared")
     pairs = meets.filter(long_enough & in_prefix & in_reach).select("row", "label", "n", "least", shared)
     return pairs.filter("shared >= least").select("row", "label", (F.col("shared") / F.col("n")).alias("share"))
+
+
+def scan_sql(table: str = "documents", key: str = "doc_id", text: str = "text") -> str:
+    """The same rows as ``scan_licenses`` with its defaults, in DuckDB's SQL: every template
+    against every block."""
+
+    def listed(words):
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    words = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    templates = ",\n  ".join(f"('{label}', '{unit}', {listed(of)}, {least})" for _, label, unit, of, least in template_table(STATEMENTS, NOTICES))
+    phrases = ",\n  ".join(f"('{label}', {listed(p.split(' '))})" for p, label in PHRASES.items())
+    return f"""
+with docs as (
+  select {key}, t, regexp_extract_all(t, {words}) as w
+  from (select {key}, translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}') as t from {table}) a
+),
+templates(label, unit, words, least) as (values
+  {templates}
+),
+phrases(label, p) as (values
+  {phrases}
+),
+blocks as (
+  select {key}, 'line' as unit, unnest(string_split(t, chr(10))) as b from docs union all
+  select {key}, 'paragraph', unnest(regexp_split_to_array(t, '\\n[\\x20\\x09\\x0B-\\x0D]*\\n')) from docs
+),
+sets as (select {key}, unit, list_distinct(regexp_extract_all(b, {words})) as s from blocks),
+hits as (
+  select {key}, label, cast(len(list_intersect(s, words)) as double) / len(words) as share
+  from sets join templates using (unit) where len(list_intersect(s, words)) >= least
+),
+found as (select {key}, list(distinct label) as labels, max(share) as score from hits group by {key}),
+places as (
+  select {key}, label, i - 1 as at_word
+  from (select {key}, w, unnest(range(1, len(w) + 1)) as i from docs) x join phrases on w[i:i + len(p) - 1] = p
+),
+base as (
+  select {key}, count(*) as n, min(at_word) as first_word, max(at_word) as last_word, list(distinct label) as labels
+  from places group by {key}
+)
+select {key}, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') as labels,
+       coalesce(score, 0.0) as score
+from docs left join base using ({key}) left join found using ({key})"""
