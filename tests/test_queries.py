@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
-DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN"}
+DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE"}
 
 
 def normal(table):
