@@ -66,7 +66,8 @@ class LibraryCodec:
                 return ids[ranges(starts[of], counts[of])], counts[of]
 
             # Only for vocabularies that split at spaces as byte-level ones do.
-            self.table = PieceTable(encoded, most=700_000)
+            # Workers live on, and another job's codec may come beside this one: no larger table.
+            self.table = PieceTable(encoded)
         whole = [i for i, t in enumerate(texts) if t and any(a in t for a in self.added)]
         if not whole:
             return self.table.ids(texts)

@@ -3,9 +3,12 @@
 import random
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from binledger.llm import lines, near, staging
+from binledger.llm import lines, near, staging, token_files
+
+P = pytest.importorskip("public_tokenizers")
 
 WORDS = [f"{a}{b}{c}" for a in ("ri", "sto", "la", "clou") for b in ("ver", "ne", "mp") for c in ("s", "ed", "ing", "ly")]
 
@@ -62,3 +65,13 @@ def test_keys_of_a_hot_shard_and_labels(spark, monkeypatch):
     monkeypatch.setattr(near, "SHARD_NODES", 8)
     monkeypatch.setattr(near, "_SAMPLED", 1)
     assert one and links() == one
+
+
+def test_known_pieces_are_bounded():
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        codec = token_files.LibraryCodec(file.read())
+    want = codec.encode(["river 7x1 7x2"])[0].tolist()
+    for part in range(4):
+        codec.encode([" ".join(f"{i:x}q" for i in range(part * 100_000, (part + 1) * 100_000))])
+    assert codec.table.count <= 350_000
+    assert codec.encode(["river 7x1 7x2"])[0].tolist() == want
