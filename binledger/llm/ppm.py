@@ -26,6 +26,7 @@ from binledger.llm.staging import shared_folder, staged
 ORDER = 5
 BLOCK_BYTES = 48 << 20
 _AT_ONCE = 1 << 20
+_GRAMS = 1 << 18
 _BLOCKS = "kind int, block long, place int, word binary, gram long, n long, id {key}, train boolean, tokens binary"
 
 
@@ -39,9 +40,9 @@ def grams_of(texts: list[bytes], order: int = ORDER) -> Iterator[tuple[np.ndarra
     context bytes in the top byte), and the place of its text; in pieces."""
     data, lengths = np.frombuffer(b"".join(texts), np.uint8), np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(lengths) - lengths
-    for at in range(0, len(data), _AT_ONCE):
-        piece = data[max(at - order, 0) : at + _AT_ONCE].astype(np.int64)
-        place = np.arange(at, min(at + _AT_ONCE, len(data)))
+    for at in range(0, len(data), _GRAMS):
+        piece = data[max(at - order, 0) : at + _GRAMS].astype(np.int64)
+        place = np.arange(at, min(at + _GRAMS, len(data)))
         of = np.searchsorted(begins, place, side="right") - 1
         depth = np.minimum(place - begins[of], order)
         skip = len(piece) - len(place)
@@ -139,8 +140,12 @@ class _Block:
 
     def _count(self):
         for train, texts in self.texts.items():
-            found = [grams for grams, _ in grams_of(texts, self.order)]
-            grams, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *found]), return_counts=True)
+            # Counted piece by piece: all grams of the texts are many times the texts.
+            found = [np.unique(grams, return_counts=True) for grams, _ in grams_of(texts, self.order)]
+            found = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ()))]
+            grams, of = np.unique(found[0], return_inverse=True)
+            counts = np.zeros(len(grams), np.int64)
+            np.add.at(counts, of, found[1])
             every = np.unique(np.concatenate([self.grams, grams]))
             sums = np.zeros(len(every), np.int64)
             sums[np.searchsorted(every, self.grams)] = self.sums
@@ -180,6 +185,13 @@ class _Block:
             yield batch(2, len(some), id=keys, train=pa.array(self.train[a : a + 1000], pa.bool_()), tokens=pa.array(tokens, pa.binary()))
 
 
+def looked_up_columns(found: pa.Table, kind: int, *columns: str) -> list[pa.ChunkedArray]:
+    """Columns of the rows of one kind, by place; no other column is copied."""
+    part = found.select(["place", *columns]).filter(pc.equal(found.column("kind"), kind))
+    order = pc.sort_indices(part.column("place"))
+    return [part.column(c).take(order) for c in columns]
+
+
 def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
     """One row per row of ``df``: key, train, n_tokens, n_known, train_tokens, base_score and
     score.
@@ -217,6 +229,7 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
                     pa.default_memory_pool().release_unused()
         if block.keys:
             yield from block.batches(number, key_type)
+        pa.default_memory_pool().release_unused()  # workers live on
 
     # A word or context is a row for every block that has it, so blocks are large.
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -246,13 +259,9 @@ def ppm_scores(df: DataFrame, train, key: str = "doc_id", text: str = "text", or
     looked_up = of_words.unionByName(of_grams)
 
     def score(documents: pa.Table, found: pa.Table) -> pa.Table:
-        def of(kind, *columns):
-            part = found.filter(pc.equal(found.column("kind"), kind))
-            part = part.take(pc.sort_indices(part.column("place")))
-            return [part.column(c) for c in columns]
-
-        c, names = of(0, "c", "word")
-        log_of, grams = of(1, "value", "gram")
+        c, names = looked_up_columns(found, 0, "c", "word")
+        log_of, grams = looked_up_columns(found, 1, "value", "gram")
+        del found
         c, names, log_of, grams = c.to_numpy(), names.to_pylist(), log_of.to_numpy().astype(float), grams.to_numpy()
         base, known, out, held, size = np.log10(c + 1), c > 0, [], [], 0
 

@@ -1,12 +1,15 @@
 """What operators leave on disk and hold in memory."""
 
 import random
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from binledger.llm import lines, near, staging, token_files
+from binledger.llm import lines, near, ppm, staging, token_files
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -67,6 +70,39 @@ def test_keys_of_a_hot_shard_and_labels(spark, monkeypatch):
     assert one and links() == one
 
 
+def test_grams_are_counted_in_little_memory():
+    rng = random.Random(1)
+    text = " ".join(rng.choices(WORDS, k=300_000)).encode()
+    block = ppm._Block(ppm.ORDER)
+    tracemalloc.start()
+    for i in range(0, len(text), 1 << 16):
+        block.add(None, True, text[i : i + (1 << 16)])
+    block._count()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # 2 MB of text wait; before, this took 92 MB
+    sizes = [len(text[i : i + (1 << 16)].split()) for i in range(0, len(text), 1 << 16)]
+    assert sum(map(len, block.rows)) == sum(sizes)
+    whole = ppm._Block(ppm.ORDER)
+    pieces = [ppm.coded_text(text[i : i + (1 << 16)].split()) for i in range(0, len(text), 1 << 16)]
+    grams, counts = np.unique(np.concatenate([g for g, _ in ppm.grams_of(pieces)]), return_counts=True)
+    assert not len(whole.grams) and (block.grams == grams).all() and (block.sums == counts).all()
+
+
+def test_looked_up_columns_copy_no_others():
+    n = 50_000
+    rows = dict(kind=[1] * n, place=list(range(n))[::-1], gram=list(range(n)), word=[b"x" * 400] * n)
+    found = pa.table(rows, schema=pa.schema([("kind", pa.int32()), ("place", pa.int32()), ("gram", pa.int64()), ("word", pa.binary())]))
+    outer, pool = pa.default_memory_pool(), pa.system_memory_pool()  # nothing else uses it
+    pa.set_memory_pool(pool)
+    try:
+        (grams,) = ppm.looked_up_columns(found, 1, "gram")
+    finally:
+        pa.set_memory_pool(outer)
+    assert grams.to_pylist() == rows["gram"][::-1]
+    assert pool.max_memory() < 4 << 20  # the words are 20 MB
+
+
 def test_known_pieces_are_bounded():
     with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         codec = token_files.LibraryCodec(file.read())
