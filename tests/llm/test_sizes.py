@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from binledger.llm import lines, near, ppm, staging, token_files
+from binledger.llm.components import components
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -58,6 +59,41 @@ def test_edit_distance_ends_early():
             assert found == exact if exact <= most else found > most
 
 
+def test_components_make_their_links_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def other(a):
+        made.add(1)
+        return a + 1
+
+    links = spark.range(0, 100, 2, 2).select(F.col("id").alias("a"), other.asNondeterministic()("id").alias("b"))
+    got = {tuple(r) for r in components(links).collect()}
+    assert got == {(i, i - i % 2) for i in range(100)}
+    assert made.value == 50  # before, 150
+
+
+@pytest.mark.parametrize("few", [1, 16])
+def test_edits_of_many_pairs(monkeypatch, few):
+    monkeypatch.setattr(lines, "_FEW", few)
+    rng, xs, ys = random.Random(4), [], []
+    for size in (0, 1, 63, 64, 65, 130, 300):
+        for letters in ("ab", "abcdefgh ", "\u65e5\u672c\u8a9e\U0001d4b3e"):
+            for _ in range(12):
+                x = rng.choices(letters, k=rng.randrange(size + 1))
+                y = list(x)
+                for _ in range(rng.randrange(1 + max(1, len(x) // 3))):
+                    at = rng.randrange(len(y) + 1)
+                    y[at : at + rng.randrange(2)] = rng.choices(letters, k=rng.randrange(2))
+                half = rng.choice([0, 0, len(y) // 2])
+                xs, ys = [*xs, "".join(x)], [*ys, "".join(y[half:] + y[:half])]
+    most = np.array([int(0.2 * max(len(x), len(y))) for x, y in zip(xs, ys)])
+    want = [lines.edit_distance(x, y) <= m for x, y, m in zip(xs, ys, most)]
+    assert 30 < sum(want) < len(want) - 30
+    assert lines.edits_within(xs, ys, most).tolist() == want
+    assert lines.edits_within([], [], most[:0]).tolist() == []
+
+
 def test_keys_of_a_hot_shard_and_labels(spark, monkeypatch):
     """Lines that all share their keys, first one shard, then in lots: the same links."""
     values = [f"the {w} of the same old river by the sea was there again" for w in WORDS]
