@@ -106,6 +106,25 @@ def test_keys_of_a_hot_shard_and_labels(spark, monkeypatch):
     assert one and links() == one
 
 
+def test_pairs_of_a_common_passage_are_not_written(spark, monkeypatch):
+    """Lines that share a passage and are not similar, but for a few: the same groups as by
+    all their pairs, which are many more than the rows written."""
+    rng, n = random.Random(6), 150
+    tail = " ".join(rng.choices(WORDS, k=24))
+    heads = [" ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(16)) for _ in range(n)]
+    values = [f"{h} {tail}" for h in heads] + [f"{h[:-1]}x {tail}" for h in heads[:6]]
+    rows = [(i, rng.getrandbits(62), v, len(v), i, lines.char_counts([v])[0].tobytes()) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id long, fp long, norm string, size int, label long, counts binary")
+    written = []
+    monkeypatch.setattr(lines, "staged", lambda df, name: written.append(staging.staged(df, name)) or written[-1])
+    got = {tuple(r) for r in components(lines.label_links(df, df, 3, 0.8, True)).collect()}
+    keyed = lambda x: lines.marked(x, lines.word_marks, ["label"])
+    pairs = staging.staged(near.shard_links(df, 22, every=True, keyed=keyed, slack=1 - 0.8), "pairs")
+    assert got == {tuple(r) for r in components(lines.similar(pairs, df, 0.8)).collect()}
+    assert {i for i, _ in got} >= {*range(6), *range(n, n + 6)} and len(got) < n
+    assert sum(w.count() for w in written) < pairs.count() / 2
+
+
 def test_grams_are_counted_in_little_memory():
     rng = random.Random(1)
     text = " ".join(rng.choices(WORDS, k=300_000)).encode()
